@@ -47,6 +47,15 @@ def _curated(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
     return batch.curate(star.applications(spark, sf_dir), ingest_time())
 
 
+def _curated_once(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
+    """For queries over several curated tables: the applications are written first.
+
+    Otherwise each of the tables would derive the applications anew.
+    """
+    raw = sinks.write_parquet(star.applications(spark, sf_dir), shared_folder(spark))
+    return batch.curate(raw, ingest_time())
+
+
 # Sources, catalog, sinks
 
 
@@ -183,17 +192,17 @@ def table_enquiry_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_digits_to_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star.applications(spark, sf_dir)
-    return rows.select("id", clean.digits_to_int(F.col("emp_length")).alias("emp_length"))
+    return rows.select("id", clean.digits_to_int("emp_length").alias("emp_length"))
 
 
 def clean_state_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star.applications(spark, sf_dir)
-    return rows.select("id", clean.state_code(F.col("addr_state")).alias("address_state"))
+    return rows.select("id", clean.state_code("addr_state").alias("address_state"))
 
 
 def clean_loan_term_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star.applications(spark, sf_dir)
-    return rows.select("id", clean.term_years(F.col("term")).alias("loan_term_years"))
+    return rows.select("id", clean.term_years("term").alias("loan_term_years"))
 
 
 def clean_total_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,14 +213,14 @@ def clean_date_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star.applications(spark, sf_dir)
     return rows.select(
         "id",
-        clean.real_date(F.col("last_pymnt_d")).alias("last_payment_date"),
-        clean.real_date(F.col("next_pymnt_d")).alias("next_payment_date"),
+        clean.real_date("last_pymnt_d").alias("last_payment_date"),
+        clean.real_date("next_pymnt_d").alias("next_payment_date"),
     )
 
 
 def clean_purpose_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star.applications(spark, sf_dir)
-    purpose = clean.allowed_or_other(F.col("purpose"), LOAN_PURPOSES)
+    purpose = clean.allowed_or_other("purpose", LOAN_PURPOSES)
     return rows.select("id", purpose.alias("loan_purpose"))
 
 
@@ -254,7 +263,7 @@ def agg_floor_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dup_keys_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     return duplicates.duplicate_verification_members(
         *vars(curated).values(), curated.heavy_keys()
     )
@@ -269,49 +278,49 @@ def dup_keys_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     return curated.verification(curated.heavy_keys())
 
 
 def table_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     return curated.bad_members(curated.heavy_keys())
 
 
 def bad_members_of_three(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     return duplicates.bad_members(curated.loans, curated.delinquency, curated.records)
 
 
 def table_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     heavy = curated.heavy_keys()
     return duplicates.good_customers(curated.customers, curated.bad_members(heavy), heavy)
 
 
 def join_repayment_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     return scoring.repayments_with_loans(
         curated.repayments, curated.loans, curated.heavy_keys()
     )
 
 
 def join_repayment_member(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     heavy = curated.heavy_keys()
     points = scoring.repayment_points(curated.repayments, curated.loans, CARD, heavy)
     return scoring.repayment_points_by_member(points, curated.loans, heavy)
 
 
 def join_repayment_member_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     return scoring.unique_loan_points_by_member(
         curated.repayments, curated.loans, CARD, curated.heavy_keys()
     )
 
 
 def score_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
+    curated = _curated_once(spark, sf_dir)
     heavy = curated.heavy_keys()
     good = duplicates.good_customers(curated.customers, curated.bad_members(heavy), heavy)
     return scoring.score_base(
@@ -328,7 +337,7 @@ def score_last_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(
         "loan_id",
         scores.last_payment_points(
-            F.col("last_payment_amount"), F.col("monthly_installment"), CARD
+            "last_payment_amount", "monthly_installment", CARD
         ).alias("last_payment_pts"),
     )
 
@@ -338,7 +347,7 @@ def score_total_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(
         "loan_id",
         scores.total_payment_points(
-            F.col("total_payment_received"), F.col("funded_amount"), CARD
+            "total_payment_received", "funded_amount", CARD
         ).alias("total_payment_pts"),
     )
 
@@ -348,30 +357,28 @@ def score_payment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select(
         "member_id",
         scores.payment_history(
-            F.col("last_payment_pts"), F.col("total_payment_pts"), CARD
+            "last_payment_pts", "total_payment_pts", CARD
         ).alias("payment_history_pts"),
     )
 
 
 def score_default_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = scores.default_counts(
-        *map(F.col, ("delinq_2yrs", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"))
-    )
+    counts = ("delinq_2yrs", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
     return clean_fill_zero(spark, sf_dir).select(
-        "member_id", scores.defaulters_history(counts, CARD).alias("defaulters_history_pts")
+        "member_id", scores.defaulters_history(*counts, CARD).alias("defaulters_history_pts")
     )
 
 
 def score_loan_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_loans(spark, sf_dir).select(
-        "loan_id", scores.loan_status_points(F.col("loan_status"), CARD).alias("loan_status_pts")
+        "loan_id", scores.loan_status_points("loan_status", CARD).alias("loan_status_pts")
     )
 
 
 def score_home_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_customers(spark, sf_dir).select(
         "member_id",
-        scores.home_ownership_points(F.col("home_ownership"), CARD).alias("home_ownership_pts"),
+        scores.home_ownership_points("home_ownership", CARD).alias("home_ownership_pts"),
     )
 
 
@@ -390,24 +397,20 @@ def score_credit_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _health_inputs(spark, sf_dir).select(
         "id",
         scores.credit_use_points(
-            F.col("funded_amount"), F.col("total_high_credit_limit"), CARD
+            "funded_amount", "total_high_credit_limit", CARD
         ).alias("credit_use_pts"),
     )
 
 
 def score_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_customers(spark, sf_dir).select(
-        "member_id", scores.grade_points(F.col("grade"), CARD).alias("grade_pts")
+        "member_id", scores.grade_points("grade", CARD).alias("grade_pts")
     )
 
 
 def _financial_health(spark: SparkSession, sf_dir: str, card: Scorecard) -> DataFrame:
     health = scores.financial_health(
-        scores.loan_status_points(F.col("loan_status"), card),
-        scores.home_ownership_points(F.col("home_ownership"), card),
-        scores.credit_use_points(F.col("funded_amount"), F.col("total_high_credit_limit"), card),
-        scores.grade_points(F.col("grade"), card),
-        card,
+        "loan_status", "home_ownership", "funded_amount", "total_high_credit_limit", "grade", card
     )
     return _health_inputs(spark, sf_dir).select("id", health.alias("financial_health_pts"))
 

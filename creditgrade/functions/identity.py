@@ -12,4 +12,5 @@ from creditgrade.schema import MEMBER_KEY_COLUMNS, MEMBER_KEY_SEPARATOR
 
 def member_key(columns: Sequence[str] = MEMBER_KEY_COLUMNS) -> Column:
     """SHA-256 (64 hex digits) over the columns' text; nulls are left out of the text."""
-    return F.sha2(F.concat_ws(MEMBER_KEY_SEPARATOR, *columns), 256)
+    text = ", ".join(columns)
+    return F.expr(f"sha2(concat_ws('{MEMBER_KEY_SEPARATOR}', {text}), 256)")

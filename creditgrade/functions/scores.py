@@ -8,106 +8,123 @@ from pyspark.sql import functions as F
 from creditgrade.scorecard import Scorecard
 
 
-def last_payment_points(paid: Column, installment: Column, card: Scorecard) -> Column:
+def last_payment_points(paid: str, installment: str, card: Scorecard) -> Column:
     """Points for the last payment against the monthly installment."""
     # Below half and below the full installment rate the same; both are tested
     # because half is the higher limit when an installment is negative.
-    return (
-        F.when((paid < installment * 0.5) | (paid < installment), card.very_bad_rated_pts)
-        .when(paid == installment, card.good_rated_pts)
-        .when(paid <= installment * 1.5, card.very_good_rated_pts)
-        .when(paid > installment * 1.5, card.excellent_rated_pts)
-        .otherwise(card.unacceptable_rated_pts)
+    return F.expr(
+        f"""
+        CASE WHEN {paid} < {installment} * 0.5D OR {paid} < {installment}
+                THEN {card.very_bad_rated_pts}
+             WHEN {paid} = {installment} THEN {card.good_rated_pts}
+             WHEN {paid} <= {installment} * 1.5D THEN {card.very_good_rated_pts}
+             WHEN {paid} > {installment} * 1.5D THEN {card.excellent_rated_pts}
+             ELSE {card.unacceptable_rated_pts} END
+        """
     )
 
 
-def total_payment_points(received: Column, funded: Column, card: Scorecard) -> Column:
+def total_payment_points(received: str, funded: str, card: Scorecard) -> Column:
     """Points for the total received against the funded amount."""
-    half = funded * 0.5
-    return (
-        F.when(received >= half, card.very_good_rated_pts)
-        .when((received < half) & (received > 0), card.good_rated_pts)
-        .otherwise(card.unacceptable_rated_pts)
+    return F.expr(
+        f"""
+        CASE WHEN {received} >= {funded} * 0.5D THEN {card.very_good_rated_pts}
+             WHEN {received} < {funded} * 0.5D AND {received} > 0 THEN {card.good_rated_pts}
+             ELSE {card.unacceptable_rated_pts} END
+        """
     )
 
 
-def loan_status_points(status: Column, card: Scorecard) -> Column:
-    text = F.lower(status)
-    return (
-        F.when(text.contains("fully paid"), card.excellent_rated_pts)
-        .when(text.contains("current"), card.good_rated_pts)
-        .when(text.contains("in grace period"), card.bad_rated_pts)
-        .when(text.contains("late"), card.very_bad_rated_pts)
-        .otherwise(card.unacceptable_rated_pts)  # charged off, default, unknown
+def loan_status_points(status: str, card: Scorecard) -> Column:
+    """Points by what the status contains; charged off, default and others get the least."""
+    return F.expr(
+        f"""
+        CASE WHEN contains(lower({status}), 'fully paid') THEN {card.excellent_rated_pts}
+             WHEN contains(lower({status}), 'current') THEN {card.good_rated_pts}
+             WHEN contains(lower({status}), 'in grace period') THEN {card.bad_rated_pts}
+             WHEN contains(lower({status}), 'late') THEN {card.very_bad_rated_pts}
+             ELSE {card.unacceptable_rated_pts} END
+        """
     )
 
 
-def home_ownership_points(ownership: Column, card: Scorecard) -> Column:
-    text = F.lower(ownership)
-    return (
-        F.when(text.endswith("own"), card.excellent_rated_pts)
-        .when(text.endswith("rent"), card.good_rated_pts)
-        .when(text.endswith("mortgage"), card.bad_rated_pts)
-        .otherwise(card.very_bad_rated_pts)
+def home_ownership_points(ownership: str, card: Scorecard) -> Column:
+    return F.expr(
+        f"""
+        CASE WHEN endswith(lower({ownership}), 'own') THEN {card.excellent_rated_pts}
+             WHEN endswith(lower({ownership}), 'rent') THEN {card.good_rated_pts}
+             WHEN endswith(lower({ownership}), 'mortgage') THEN {card.bad_rated_pts}
+             ELSE {card.very_bad_rated_pts} END
+        """
     )
 
 
-def credit_use_points(funded: Column, credit_limit: Column, card: Scorecard) -> Column:
+def credit_use_points(funded: str, credit_limit: str, card: Scorecard) -> Column:
     """Points for the funded amount as a share of the credit limit."""
-    return (
-        F.when(funded <= credit_limit * 0.10, card.excellent_rated_pts)
-        .when(funded <= credit_limit * 0.20, card.very_good_rated_pts)
-        .when(funded <= credit_limit * 0.30, card.good_rated_pts)
-        .when(funded <= credit_limit * 0.50, card.bad_rated_pts)
-        .when(funded <= credit_limit * 0.70, card.very_bad_rated_pts)
-        .otherwise(card.unacceptable_rated_pts)
+    return F.expr(
+        f"""
+        CASE WHEN {funded} <= {credit_limit} * 0.10D THEN {card.excellent_rated_pts}
+             WHEN {funded} <= {credit_limit} * 0.20D THEN {card.very_good_rated_pts}
+             WHEN {funded} <= {credit_limit} * 0.30D THEN {card.good_rated_pts}
+             WHEN {funded} <= {credit_limit} * 0.50D THEN {card.bad_rated_pts}
+             WHEN {funded} <= {credit_limit} * 0.70D THEN {card.very_bad_rated_pts}
+             ELSE {card.unacceptable_rated_pts} END
+        """
     )
 
 
-def grade_points(grade: Column, card: Scorecard) -> Column:
-    return (
-        F.when(grade == "A", card.excellent_rated_pts)
-        .when(grade == "B", card.very_good_rated_pts)
-        .when(grade == "C", card.good_rated_pts)
-        .when(grade == "D", card.bad_rated_pts)
-        .when(grade == "E", card.very_bad_rated_pts)
-        .otherwise(card.unacceptable_rated_pts)
+def grade_points(grade: str, card: Scorecard) -> Column:
+    return F.expr(
+        f"""
+        CASE {grade} WHEN 'A' THEN {card.excellent_rated_pts}
+             WHEN 'B' THEN {card.very_good_rated_pts} WHEN 'C' THEN {card.good_rated_pts}
+             WHEN 'D' THEN {card.bad_rated_pts} WHEN 'E' THEN {card.very_bad_rated_pts}
+             ELSE {card.unacceptable_rated_pts} END
+        """
     )
 
 
-def payment_history(last_payment_pts: Column, total_payment_pts: Column, card: Scorecard) -> Column:
-    return (last_payment_pts + total_payment_pts) * card.payment_history_weight
+def payment_history(last_payment_pts: str, total_payment_pts: str, card: Scorecard) -> Column:
+    weight = card.payment_history_weight
+    return F.expr(f"({last_payment_pts} + {total_payment_pts}) * {weight}D")
 
 
-def default_counts(delinquencies: Column, records: Column, bankruptcies: Column, enquiries: Column) -> Column:
-    return delinquencies + records + bankruptcies + enquiries
-
-
-def defaulters_history(counts: Column, card: Scorecard) -> Column:
+def defaulters_history(
+    delinquencies: str, records: str, bankruptcies: str, enquiries: str, card: Scorecard
+) -> Column:
     """Weighted raw counts: more incidents give a higher score."""
-    return counts * card.defaulters_history_weight
+    counts = f"{delinquencies} + {records} + {bankruptcies} + {enquiries}"
+    return F.expr(f"({counts}) * {card.defaulters_history_weight}D")
 
 
 def financial_health(
-    status_pts: Column, ownership_pts: Column, use_pts: Column, grade_pts: Column, card: Scorecard
+    status: str, ownership: str, funded: str, credit_limit: str, grade: str, card: Scorecard
 ) -> Column:
-    weight = card.financial_health_weight
+    """Weighted points of the loan status, home ownership, credit use and grade."""
+    unweighted = (
+        loan_status_points(status, card)
+        + home_ownership_points(ownership, card)
+        + credit_use_points(funded, credit_limit, card)
+    )
+    by_grade, weight = grade_points(grade, card), card.financial_health_weight
     if card.grade_weight_scope == "all":
-        return (status_pts + ownership_pts + use_pts + grade_pts) * weight
-    return status_pts + ownership_pts + use_pts + grade_pts * weight
+        return (unweighted + by_grade) * weight
+    return unweighted + by_grade * weight
 
 
-def total_score(payment_pts: Column, defaulters_pts: Column, health_pts: Column) -> Column:
-    return payment_pts + defaulters_pts + health_pts
+def total_score(payment_pts: str, defaulters_pts: str, health_pts: str) -> Column:
+    return F.expr(f"{payment_pts} + {defaulters_pts} + {health_pts}")
 
 
-def grade_band(score: Column, card: Scorecard) -> Column:
+def grade_band(score: str, card: Scorecard) -> Column:
     """Letter of the score; a null score has none."""
-    return (
-        F.when(score > card.very_good_grade_pts, "A")
-        .when(score > card.good_grade_pts, "B")
-        .when(score > card.bad_grade_pts, "C")
-        .when(score > card.very_bad_grade_pts, "D")
-        .when(score > card.unacceptable_grade_pts, "E")
-        .when(score <= card.unacceptable_grade_pts, "F")
+    return F.expr(
+        f"""
+        CASE WHEN {score} > {card.very_good_grade_pts} THEN 'A'
+             WHEN {score} > {card.good_grade_pts} THEN 'B'
+             WHEN {score} > {card.bad_grade_pts} THEN 'C'
+             WHEN {score} > {card.very_bad_grade_pts} THEN 'D'
+             WHEN {score} > {card.unacceptable_grade_pts} THEN 'E'
+             WHEN {score} <= {card.unacceptable_grade_pts} THEN 'F' END
+        """
     )

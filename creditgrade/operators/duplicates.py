@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.operators import skew
@@ -13,7 +13,7 @@ from creditgrade.operators.skew import HeavyKeys
 
 def duplicate_keys(df: DataFrame, key: str = "member_id") -> DataFrame:
     """Keys with more than one row. Counts are combined before the shuffle."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("total")).filter("total > 1").select(key)
+    return df.groupBy(key).agg(F.expr("count(*) AS total")).filter("total > 1").select(key)
 
 
 def bad_members(verification: DataFrame, delinquency: DataFrame, records: DataFrame) -> DataFrame:
@@ -24,19 +24,19 @@ def bad_members(verification: DataFrame, delinquency: DataFrame, records: DataFr
     """
     tables = (verification, delinquency, records)
     tagged = [
-        table.select("member_id", *(F.lit(int(i == j)).alias(f"n{j}") for j in range(len(tables))))
+        table.selectExpr("member_id", *(f"{int(i == j)} AS n{j}" for j in range(len(tables))))
         for i, table in enumerate(tables)
     ]
     counts = reduce(DataFrame.union, tagged).groupBy("member_id")
-    totals = counts.agg(*(F.sum(f"n{j}").alias(f"n{j}") for j in range(len(tables))))
-    return totals.filter(F.greatest("n0", "n1", "n2") > 1).select("member_id")
+    totals = counts.agg(*(F.expr(f"sum(n{j}) AS n{j}") for j in range(len(tables))))
+    return totals.filter("greatest(n0, n1, n2) > 1").select("member_id")
 
 
 _COUNTED = ("customers", "loans", "delinquency", "records", "repaid_twice")
 
 
 def _counted(df: DataFrame, name: str) -> DataFrame:
-    return df.select("member_id", *(F.lit(int(c == name)).alias(c) for c in _COUNTED))
+    return df.selectExpr("member_id", *(f"{int(c == name)} AS {c}" for c in _COUNTED))
 
 
 def _member_counts(
@@ -57,7 +57,7 @@ def _member_counts(
         "repaid_twice": repaid_twice,
     }
     rows = reduce(DataFrame.union, (_counted(df, name) for name, df in tables.items()))
-    return rows.groupBy("member_id").agg(*(F.sum(c).alias(c) for c in _COUNTED))
+    return rows.groupBy("member_id").agg(*(F.expr(f"sum({c}) AS {c}") for c in _COUNTED))
 
 
 def loans_repaid_twice(
@@ -73,12 +73,12 @@ def loans_repaid_twice(
     ).select("member_id")
 
 
-def _several_in_verification() -> Column:
-    # Rows of a member in the verification table: customers x (repayment rows
-    # of its loans, at least one each) x delinquency x records, where an empty
-    # factor counts as one. The product exceeds one exactly if a factor does.
-    factors = F.greatest("customers", "loans", "delinquency", "records") > 1
-    return (F.col("customers") > 0) & (factors | (F.col("repaid_twice") > 0))
+# Rows of a member in the verification table: customers x (repayment rows of its
+# loans, at least one each) x delinquency x records, where an empty factor counts
+# as one. The product exceeds one exactly if a factor does.
+_SEVERAL_IN_VERIFICATION = """
+    customers > 0 AND (greatest(customers, loans, delinquency, records) > 1 OR repaid_twice > 0)
+"""
 
 
 def duplicate_verification_members(
@@ -91,7 +91,7 @@ def duplicate_verification_members(
 ) -> DataFrame:
     """Members with several verification rows, without building that table."""
     counts = _member_counts(customers, loans, repayments, delinquency, records, heavy)
-    return counts.filter(_several_in_verification()).select("member_id")
+    return counts.filter(_SEVERAL_IN_VERIFICATION).select("member_id")
 
 
 def bad_members_from_tables(
@@ -109,7 +109,7 @@ def bad_members_from_tables(
     """
     counts = _member_counts(customers, loans, repayments, delinquency, records, heavy)
     return counts.filter(
-        _several_in_verification() | (F.greatest("delinquency", "records") > 1)
+        f"({_SEVERAL_IN_VERIFICATION}) OR greatest(delinquency, records) > 1"
     ).select("member_id")
 
 

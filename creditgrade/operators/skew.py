@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HEAVY_KEYS = 10_000
@@ -40,24 +40,24 @@ def heavy_keys(tables: dict[int, DataFrame], key: str, min_rows: int = MIN_HEAVY
     """
     numbers = sorted(tables)
     tagged = [
-        tables[number].select(key, *(F.lit(int(n == number)).alias(f"n{n}") for n in numbers))
+        tables[number].selectExpr(key, *(f"{int(n == number)} AS n{n}" for n in numbers))
         for number in numbers
     ]
     counts = (
         reduce(DataFrame.union, tagged)
         .groupBy(key)
-        .agg(*(F.sum(f"n{n}").alias(f"n{n}") for n in numbers))
+        .agg(*(F.expr(f"sum(n{n}) AS n{n}") for n in numbers))
     )
-    rows = sum((F.col(f"n{n}") for n in numbers), F.lit(0))
-    share = counts.agg(F.sum(rows) / MAX_HEAVY_KEYS).scalar()
-    heaviest = F.coalesce(
-        *(
-            F.when((F.col(f"n{n}") >= min_rows) & (F.col(f"n{n}") > share), F.lit(n))
-            for n in reversed(numbers)
-        )
+    rows = " + ".join(f"n{n}" for n in numbers)
+    share = counts.agg(F.expr(f"sum({rows}) / {MAX_HEAVY_KEYS} AS share"))
+    heaviest = " ".join(
+        f"WHEN n{n} >= {min_rows} AND n{n} > share THEN {n}" for n in reversed(numbers)
     )
-    return counts.select(key, heaviest.alias(_HEAVY)).filter(
-        F.col(key).isNotNull() & F.col(_HEAVY).isNotNull()
+    return (
+        counts.filter(f"{key} IS NOT NULL")
+        .withColumn("share", share.scalar())
+        .selectExpr(key, f"CASE {heaviest} END AS {_HEAVY}")
+        .filter(f"{_HEAVY} IS NOT NULL")
     )
 
 
@@ -89,11 +89,11 @@ class HeavyKeys:
 
     def for_loans(self) -> DataFrame:
         """Heavy loan ids with the loans as the table to spread."""
-        return self.loans.select("loan_id", F.lit(0).alias(_HEAVY))
+        return self.loans.selectExpr("loan_id", f"0 AS {_HEAVY}")
 
     def for_customers(self) -> DataFrame:
         """Heavy members with the customers as the table to spread."""
-        return self.members.select("member_id", F.lit(0).alias(_HEAVY))
+        return self.members.selectExpr("member_id", f"0 AS {_HEAVY}")
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
@@ -101,37 +101,34 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
 
     Rows are made in two steps so that no large array is built for one row.
     """
+    columns = [name for name in df.columns if name != times]
     step = 4096
-    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / step))).alias("_block")
-    in_block = F.least(F.lit(step), F.col(times) - F.col("_block") * step).cast("int")
     return (
-        df.filter(F.col(times) > 0)
-        .select("*", blocks)
-        .select(*df.columns, F.explode(F.array_repeat(F.lit(0), in_block)).alias("_one"))
-        .drop(times, "_one")
-    )
-
-
-def _spread_over_cells(heavy_here: Column, heavy_elsewhere: Column) -> Column:
-    # The partition number, not row contents or a random number: copies of one
-    # row get spread too, and a task that is run again deals the same way.
-    own_cell = F.array(F.pmod(F.spark_partition_id(), F.lit(CELLS)))
-    return F.explode(
-        F.when(heavy_here, own_cell)
-        .when(heavy_elsewhere, F.sequence(F.lit(0), F.lit(CELLS - 1)))
-        .otherwise(F.array(F.lit(0)))
+        df.filter(f"{times} > 0")
+        .selectExpr("*", f"explode(sequence(0, ({times} - 1) DIV {step})) AS _block")
+        .selectExpr(
+            *columns,
+            f"explode(array_repeat(0, int(least({step}, {times} - _block * {step})))) AS _one",
+        )
+        .select(*columns)
     )
 
 
 def with_cells(df: DataFrame, key: str, heavy: DataFrame, number: int) -> DataFrame:
     """Add the cell column to table ``number``, repeating rows where needed."""
-    here = F.col(_HEAVY) == number
-    # A null key joins nothing; dealing its rows out keeps them off one task.
-    no_partner = F.col(key).isNull()
-    return df.join(F.broadcast(heavy), key, "left").select(
+    # Rows are dealt by partition number, not by contents or a random number:
+    # copies of one row get spread too, and a task that is run again deals the
+    # same way. A null key joins nothing; dealing its rows keeps them off one task.
+    return df.join(F.broadcast(heavy), key, "left").selectExpr(
         *df.columns,
-        F.col(_HEAVY).alias(_SPREAD),
-        _spread_over_cells(here | no_partner, F.col(_HEAVY).isNotNull()).alias(CELL),
+        f"{_HEAVY} AS {_SPREAD}",
+        f"""
+        explode(CASE
+            WHEN {_HEAVY} = {number} OR {key} IS NULL
+                THEN array(pmod(spark_partition_id(), {CELLS}))
+            WHEN {_HEAVY} IS NOT NULL THEN sequence(0, {CELLS - 1})
+            ELSE array(0) END) AS {CELL}
+        """,
     )
 
 
@@ -153,17 +150,17 @@ def star_join(
     if heavy is None:
         return reduce(lambda joined, arm: joined.join(arm, key, how), arms, center)
     joined = with_cells(center, key, heavy, 0)
-    lone_copy = F.lit(False)
+    lone_copies = []
     for number, arm in enumerate(arms, start=1):
-        found = f"_found_{number}"
-        cells = with_cells(arm, key, heavy, number).drop(_SPREAD).withColumn(found, F.lit(True))
+        cells = with_cells(arm, key, heavy, number).drop(_SPREAD)
+        cells = cells.selectExpr("*", f"true AS _found_{number}")
         joined = joined.join(cells, [key, CELL], how)
         # The center is repeated in every cell of a key that this arm spreads.
         # The key does occur in the arm, so a copy that met none of the arm's
         # rows is left over from the repetition.
-        lone_copy = lone_copy | ((F.col(_SPREAD) == number) & F.col(found).isNull())
+        lone_copies.append(f"({_SPREAD} <=> {number} AND _found_{number} IS NULL)")
     if how == "left":
-        joined = joined.filter(~F.coalesce(lone_copy, F.lit(False)))
+        joined = joined.filter(f"NOT ({' OR '.join(lone_copies)})")
     arm_columns = [name for arm in arms for name in arm.columns if name != key]
     return joined.select(*center.columns, *arm_columns)
 

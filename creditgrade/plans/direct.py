@@ -15,125 +15,107 @@ general plan beforehand:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.functions import cleaning as clean
 from creditgrade.functions import scores
 from creditgrade.functions.identity import member_key
 from creditgrade.operators import skew
-from creditgrade.plans.scoring import graded
+from creditgrade.plans.scoring import graded, payment_points
 from creditgrade.schema import (
     CUSTOMER_FIELDS,
     DEFAULTER_FIELDS,
     LOAN_FIELDS,
+    LOAN_TEXT_COLUMNS,
     REPAYMENT_FIELDS,
     REQUIRED_LOAN_COLUMNS,
     REQUIRED_REPAYMENT_COLUMNS,
 )
 from creditgrade.scorecard import Scorecard
 
+_NOT_RAW = ("member_id", "country", "loan_id")
 
-def _typed(fields: dict[str, tuple[str, str]]) -> dict[str, Column]:
-    """Cast columns by curated name, read from the raw column names."""
-    raw_name = {"loan_id": "id"}
-    return {
-        target: F.col(raw_name.get(source, source)).try_cast(dtype)
-        for source, (target, dtype) in fields.items()
-        if source not in ("member_id", "country")
-    }
 
-
-def _all_present(columns: dict[str, Column], names: tuple[str, ...]) -> Column:
-    """No null and no NaN in the named columns."""
-    check = F.lit(True)
-    for name in names:
-        check = check & columns[name].isNotNull()
-        if name not in ("loan_term_months", "issue_date", "loan_status", "loan_purpose"):
-            check = check & ~F.isnan(columns[name])
-    return check
+def typed_applications(raw: DataFrame) -> DataFrame:
+    """The fields of all curated tables, cast and renamed, on one row per raw row."""
+    fields = DEFAULTER_FIELDS | CUSTOMER_FIELDS | LOAN_FIELDS | REPAYMENT_FIELDS
+    raw_fields = {source: target for source, target in fields.items() if source not in _NOT_RAW}
+    return raw.withColumn("member_id", member_key()).selectExpr(
+        "member_id", "string(id) AS loan_id", *clean.renamed(raw_fields)
+    )
 
 
-def _loan_columns() -> tuple[dict[str, Column], Column]:
-    loan = _typed(LOAN_FIELDS)
-    return loan, _all_present(loan, REQUIRED_LOAN_COLUMNS)
+_COMPLETE_LOAN = (
+    LOAN_TEXT_COLUMNS,
+    tuple(name for name in REQUIRED_LOAN_COLUMNS if name not in LOAN_TEXT_COLUMNS),
+)
 
 
-def loan_rows(raw: DataFrame) -> DataFrame:
+def loan_rows(rows: DataFrame) -> DataFrame:
     """What the scorecard needs of each complete loan row."""
-    loan, complete = _loan_columns()
-    return raw.filter(complete).select(
-        *(loan[name].alias(name) for name in ("loan_id", "monthly_installment", "funded_amount"))
+    return rows.filter(clean.present(*_COMPLETE_LOAN)).select(
+        "loan_id", "monthly_installment", "funded_amount"
     )
 
 
-def sole_repayments(raw: DataFrame) -> DataFrame:
+def sole_repayments(rows: DataFrame) -> DataFrame:
     """The repayment of each loan id that has exactly one."""
-    paid = _typed(REPAYMENT_FIELDS)
     total = clean.reconciled_total(
-        paid["total_payment_received"],
-        paid["total_principal_received"],
-        paid["total_interest_received"],
-        paid["total_late_fee_received"],
-    )
-    rows = raw.filter(_all_present(paid, REQUIRED_REPAYMENT_COLUMNS) & (total != 0.0)).select(
-        paid["loan_id"].alias("loan_id"),
-        paid["last_payment_amount"].alias("last_payment_amount"),
-        total.alias("total_payment_received"),
+        "total_payment_received",
+        "total_principal_received",
+        "total_interest_received",
+        "total_late_fee_received",
     )
     return (
-        rows.groupBy("loan_id")
+        rows.filter(clean.present((), REQUIRED_REPAYMENT_COLUMNS))
+        .select("loan_id", "last_payment_amount", total.alias("total_payment_received"))
+        .filter("total_payment_received <> 0")
+        .groupBy("loan_id")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("last_payment_amount").alias("last_payment_amount"),
-            F.max("total_payment_received").alias("total_payment_received"),
+            F.expr("count(*) AS n"),
+            F.expr("max(last_payment_amount) AS last_payment_amount"),
+            F.expr("max(total_payment_received) AS total_payment_received"),
         )
         .filter("n = 1")
         .drop("n")
     )
 
 
-def single_members(raw: DataFrame, card: Scorecard) -> DataFrame:
+def single_members(rows: DataFrame, card: Scorecard) -> DataFrame:
     """Members with one raw row that has an income, a complete loan and a delinquency.
 
     One grouping over all rows: only fixed-size points and the loan id travel,
     and the rows of a duplicated member are merged before the shuffle.
     """
-    customer, incident = _typed(CUSTOMER_FIELDS), _typed(DEFAULTER_FIELDS)
-    loan, complete_loan = _loan_columns()
-    delinquencies = clean.whole_or_zero(incident["delinq_2yrs"])
-    delinquent = clean.is_delinquent(
-        delinquencies, clean.whole_number(incident["mths_since_last_delinq"])
+    counts = ("delinq_2yrs", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
+    whole = rows.withColumns(
+        {name: clean.whole_or_zero(name) for name in counts}
+        | {"mths_since_last_delinq": clean.whole_number("mths_since_last_delinq")}
     )
-    counts = scores.default_counts(
-        delinquencies,
-        clean.whole_or_zero(incident["pub_rec"]),
-        clean.whole_or_zero(incident["pub_rec_bankruptcies"]),
-        clean.whole_or_zero(incident["inq_last_6mths"]),
+    eligible = (
+        F.col("annual_income").isNotNull()
+        & clean.present(*_COMPLETE_LOAN)
+        & clean.is_delinquent("delinq_2yrs", "mths_since_last_delinq")
     )
     health = scores.financial_health(
-        scores.loan_status_points(loan["loan_status"], card),
-        scores.home_ownership_points(customer["home_ownership"], card),
-        scores.credit_use_points(loan["funded_amount"], customer["total_high_credit_limit"], card),
-        scores.grade_points(customer["grade"], card),
-        card,
-    )
-    eligible = customer["annual_income"].isNotNull() & complete_loan & delinquent
-    rows = raw.select(
-        member_key().alias("member_id"),
-        F.when(eligible, loan["loan_id"]).alias("loan_id"),
-        scores.defaulters_history(counts, card).alias("defaulters_history_pts"),
-        health.alias("financial_health_pts"),
+        "loan_status", "home_ownership", "funded_amount", "total_high_credit_limit", "grade", card
     )
     return (
-        rows.groupBy("member_id")
+        whole.select(
+            "member_id",
+            F.when(eligible, F.col("loan_id")).alias("loan_id"),
+            scores.defaulters_history(*counts, card).alias("defaulters_history_pts"),
+            health.alias("financial_health_pts"),
+        )
+        .groupBy("member_id")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("loan_id").alias("loan_id"),
-            F.max("defaulters_history_pts").alias("defaulters_history_pts"),
-            F.max("financial_health_pts").alias("financial_health_pts"),
+            F.expr("count(*) AS n"),
+            F.expr("max(loan_id) AS loan_id"),
+            F.expr("max(defaulters_history_pts) AS defaulters_history_pts"),
+            F.expr("max(financial_health_pts) AS financial_health_pts"),
         )
-        .filter((F.col("n") == 1) & F.col("loan_id").isNotNull())
+        .filter("n = 1 AND loan_id IS NOT NULL")
         .drop("n")
     )
 
@@ -146,30 +128,26 @@ def score_applications(
     The same rows as curating the table and calling ``loan_score`` with the
     good customers and the bad members of its verification table.
     """
-    loans = loan_rows(raw)
+    rows = typed_applications(raw)
+    loans = loan_rows(rows)
     heavy = skew.heavy_keys({1: loans}, "loan_id", min_rows)
     by_loan = ["loan_id", skew.CELL]
     # A loan id with many loan rows has them dealt over cells; its repayment
     # and its members go to every cell, and each cell counts its own points.
     points = (
-        skew.with_cells(sole_repayments(raw), "loan_id", heavy, 0)
+        skew.with_cells(sole_repayments(rows), "loan_id", heavy, 0)
         .join(skew.with_cells(loans, "loan_id", heavy, 1), by_loan)
+        .select(*by_loan, *payment_points(card))
         .select(
             *by_loan,
-            scores.payment_history(
-                scores.last_payment_points(
-                    F.col("last_payment_amount"), F.col("monthly_installment"), card
-                ),
-                scores.total_payment_points(
-                    F.col("total_payment_received"), F.col("funded_amount"), card
-                ),
-                card,
-            ).alias("payment_history_pts"),
+            scores.payment_history("last_payment_pts", "total_payment_pts", card).alias(
+                "payment_history_pts"
+            ),
         )
         .groupBy(*by_loan, "payment_history_pts")
-        .agg(F.count(F.lit(1)).alias("times"))
+        .agg(F.expr("count(*) AS times"))
     )
-    members = skew.with_cells(single_members(raw, card), "loan_id", heavy, 0)
+    members = skew.with_cells(single_members(rows, card), "loan_id", heavy, 0)
     parts = skew.repeat_rows(members.join(points, by_loan), "times")
     return graded(
         parts.select(
@@ -177,4 +155,3 @@ def score_applications(
         ),
         card,
     )
-

@@ -12,14 +12,15 @@ from creditgrade.operators.skew import HeavyKeys
 from creditgrade.scorecard import Scorecard
 
 
-def _payment_points(card: Scorecard) -> list[Column]:
+def payment_points(card: Scorecard) -> list[Column]:
+    """Points of a repayment row joined with a loan row."""
     return [
-        scores.last_payment_points(
-            F.col("last_payment_amount"), F.col("monthly_installment"), card
-        ).alias("last_payment_pts"),
-        scores.total_payment_points(
-            F.col("total_payment_received"), F.col("funded_amount"), card
-        ).alias("total_payment_pts"),
+        scores.last_payment_points("last_payment_amount", "monthly_installment", card).alias(
+            "last_payment_pts"
+        ),
+        scores.total_payment_points("total_payment_received", "funded_amount", card).alias(
+            "total_payment_pts"
+        ),
     ]
 
 
@@ -44,7 +45,7 @@ def repayment_points(
 ) -> DataFrame:
     """Points of every repayment row against every loan row with its loan id."""
     return repayments_with_loans(repayments, loans, heavy).select(
-        "loan_id", *_payment_points(card)
+        "loan_id", *payment_points(card)
     )
 
 
@@ -57,7 +58,7 @@ def counted_points_by_member(
     before they meet the members.
     """
     merged = points.groupBy("loan_id", "last_payment_pts", "total_payment_pts").agg(
-        F.count(F.lit(1)).alias("times")
+        F.expr("count(*) AS times")
     )
     return skew.star_join(
         loans.select("loan_id", "member_id"),
@@ -92,7 +93,7 @@ def unique_loan_points_by_member(
         heavy and heavy.loans,
         "inner",
     )
-    return pairs.select("member_id", *_payment_points(card))
+    return pairs.select("member_id", *payment_points(card))
 
 
 def _without_absent_crowds(
@@ -141,13 +142,13 @@ def score_base(
         repayment_points(repayments, loans, card, heavy), loans, heavy
     )
     arms = [
-        records.select(
+        records.selectExpr(
             "member_id",
-            F.col("pub_rec").alias("public_records_pts"),
-            F.col("pub_rec_bankruptcies").alias("public_bankruptcies_pts"),
-            F.col("inq_last_6mths").alias("enq_pts"),
+            "pub_rec AS public_records_pts",
+            "pub_rec_bankruptcies AS public_bankruptcies_pts",
+            "inq_last_6mths AS enq_pts",
         ),
-        delinquency.select("member_id", F.col("delinq_2yrs").cast("int").alias("delinq_pts")),
+        delinquency.selectExpr("member_id", "delinq_2yrs AS delinq_pts"),
         loans.select("member_id", "loan_status", "funded_amount"),
         points,
     ]
@@ -175,25 +176,18 @@ def score_parts(base: DataFrame, card: Scorecard = Scorecard()) -> DataFrame:
     """The three weighted parts of the score."""
     return base.select(
         "member_id",
-        scores.payment_history(
-            F.col("last_payment_pts"), F.col("total_payment_pts"), card
-        ).alias("payment_history_pts"),
+        scores.payment_history("last_payment_pts", "total_payment_pts", card).alias(
+            "payment_history_pts"
+        ),
         scores.defaulters_history(
-            scores.default_counts(
-                F.col("delinq_pts"),
-                F.col("public_records_pts"),
-                F.col("public_bankruptcies_pts"),
-                F.col("enq_pts"),
-            ),
-            card,
+            "delinq_pts", "public_records_pts", "public_bankruptcies_pts", "enq_pts", card
         ).alias("defaulters_history_pts"),
         scores.financial_health(
-            scores.loan_status_points(F.col("loan_status"), card),
-            scores.home_ownership_points(F.col("home_ownership"), card),
-            scores.credit_use_points(
-                F.col("funded_amount"), F.col("total_high_credit_limit"), card
-            ),
-            scores.grade_points(F.col("grade"), card),
+            "loan_status",
+            "home_ownership",
+            "funded_amount",
+            "total_high_credit_limit",
+            "grade",
             card,
         ).alias("financial_health_pts"),
     )
@@ -202,12 +196,10 @@ def score_parts(base: DataFrame, card: Scorecard = Scorecard()) -> DataFrame:
 def graded(parts: DataFrame, card: Scorecard = Scorecard()) -> DataFrame:
     """Add the total score and its letter."""
     total = scores.total_score(
-        F.col("payment_history_pts"),
-        F.col("defaulters_history_pts"),
-        F.col("financial_health_pts"),
+        "payment_history_pts", "defaulters_history_pts", "financial_health_pts"
     )
-    return parts.withColumn("loan_score", total).withColumn(
-        "loan_final_grade", scores.grade_band(F.col("loan_score"), card)
+    return parts.select("*", total.alias("loan_score")).select(
+        "*", scores.grade_band("loan_score", card).alias("loan_final_grade")
     )
 
 

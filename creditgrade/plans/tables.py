@@ -22,7 +22,7 @@ INGEST_COLUMN = "ingest_date"
 
 
 def rename_and_cast(df: DataFrame, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
-    return df.select(*clean.renamed(fields))
+    return df.selectExpr(*clean.renamed(fields))
 
 
 def stamp_ingest(df: DataFrame, ingest_time: Column | None = None) -> DataFrame:
@@ -49,11 +49,11 @@ def fill_with_floor_mean(df: DataFrame, column: str) -> DataFrame:
 
 def fill_with_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Truncate columns to int, with 0 for null."""
-    return df.withColumns({name: clean.whole_or_zero(F.col(name)) for name in columns})
+    return df.withColumns({name: clean.whole_or_zero(name) for name in columns})
 
 
 def with_income(customers: DataFrame) -> DataFrame:
-    return customers.filter(F.col("annual_income").isNotNull())
+    return customers.filter("annual_income IS NOT NULL")
 
 
 def complete_loans(loans: DataFrame) -> DataFrame:
@@ -68,16 +68,16 @@ def with_reconciled_total(repayments: DataFrame) -> DataFrame:
     return repayments.withColumn(
         "total_payment_received",
         clean.reconciled_total(
-            F.col("total_payment_received"),
-            F.col("total_principal_received"),
-            F.col("total_interest_received"),
-            F.col("total_late_fee_received"),
+            "total_payment_received",
+            "total_principal_received",
+            "total_interest_received",
+            "total_late_fee_received",
         ),
     )
 
 
 def with_payment(repayments: DataFrame) -> DataFrame:
-    return repayments.filter(F.col("total_payment_received") != 0.0)
+    return repayments.filter("total_payment_received <> 0")
 
 
 def distinct_customers(customers: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def distinct_customers(customers: DataFrame) -> DataFrame:
 
 
 def numbered_employment(customers: DataFrame) -> DataFrame:
-    return customers.withColumn("emp_length", clean.digits_to_int(F.col("emp_length")))
+    return customers.withColumn("emp_length", clean.digits_to_int("emp_length"))
 
 
 def clean_customers(customers: DataFrame, ingest_time: Column | None = None) -> DataFrame:
@@ -94,7 +94,7 @@ def clean_customers(customers: DataFrame, ingest_time: Column | None = None) ->
     rows = numbered_employment(with_income(distinct_customers(customers)))
     filled = fill_with_floor_mean(rows, "emp_length")
     return stamp_ingest(
-        filled.withColumn("address_state", clean.state_code(F.col("address_state"))), ingest_time
+        filled.withColumn("address_state", clean.state_code("address_state")), ingest_time
     )
 
 
@@ -102,8 +102,8 @@ def clean_loans(loans: DataFrame, ingest_time: Column | None = None) -> DataFram
     rows = stamp_ingest(complete_loans(rename_and_cast(loans, LOAN_FIELDS)), ingest_time)
     return rows.withColumns(
         {
-            "loan_purpose": clean.allowed_or_other(F.col("loan_purpose"), LOAN_PURPOSES),
-            "loan_term_years": clean.term_years(F.col("loan_term_months")),
+            "loan_purpose": clean.allowed_or_other("loan_purpose", LOAN_PURPOSES),
+            "loan_term_years": clean.term_years("loan_term_months"),
         }
     ).drop("loan_term_months")
 
@@ -114,7 +114,7 @@ def clean_repayments(repayments: DataFrame, ingest_time: Column | None = None) -
     return stamp_ingest(
         paid.withColumns(
             {
-                name: clean.real_date(F.col(name))
+                name: clean.real_date(name)
                 for name in ("last_payment_date", "next_payment_date")
             }
         ),
@@ -126,10 +126,8 @@ def clean_delinquency(defaulters: DataFrame) -> DataFrame:
     """Members with a delinquency in the last two years or a dated earlier one."""
     typed = fill_with_zero(rename_and_cast(defaulters, DEFAULTER_FIELDS), ["delinq_2yrs"])
     return (
-        typed.withColumn(
-            "mths_since_last_delinq", clean.whole_number(F.col("mths_since_last_delinq"))
-        )
-        .filter(clean.is_delinquent(F.col("delinq_2yrs"), F.col("mths_since_last_delinq")))
+        typed.withColumn("mths_since_last_delinq", clean.whole_number("mths_since_last_delinq"))
+        .filter(clean.is_delinquent("delinq_2yrs", "mths_since_last_delinq"))
         .select("member_id", "delinq_2yrs", "delinq_amnt", "mths_since_last_delinq")
     )
 
@@ -146,4 +144,4 @@ def clean_records(defaulters: DataFrame) -> DataFrame:
 def enquiry_members(defaulters: DataFrame) -> DataFrame:
     """Members of rows with any public record, bankruptcy or enquiry."""
     typed = rename_and_cast(defaulters, DEFAULTER_FIELDS)
-    return typed.filter(clean.has_public_record(*map(F.col, RECORD_COLUMNS))).select("member_id")
+    return typed.filter(clean.has_public_record(*RECORD_COLUMNS)).select("member_id")

@@ -18,7 +18,7 @@ from creditgrade.schema import (
 
 def _merged_copies(df: DataFrame, columns: tuple[str, ...], times: str) -> DataFrame:
     """Equal rows of a member as one row with their number."""
-    return df.groupBy("member_id", *columns).agg(F.count(F.lit(1)).alias(times))
+    return df.groupBy("member_id", *columns).agg(F.expr(f"count(*) AS {times}"))
 
 
 def verification(
@@ -49,16 +49,15 @@ def verification(
         "member_id",
         heavy and heavy.members,
     )
-    times = F.coalesce("_delinquencies", F.lit(1)) * F.coalesce("_records", F.lit(1))
     return skew.repeat_rows(
-        joined.select(
+        joined.selectExpr(
             *VERIFICATION_LOAN_KEY,
             *VERIFICATION_CUSTOMER_COLUMNS,
             *VERIFICATION_LOAN_COLUMNS,
             *VERIFICATION_REPAYMENT_COLUMNS,
             *VERIFICATION_DELINQUENCY_COLUMNS,
             *VERIFICATION_RECORD_COLUMNS,
-            times.alias("_times"),
+            "coalesce(_delinquencies, 1) * coalesce(_records, 1) AS _times",
         ),
         "_times",
     )

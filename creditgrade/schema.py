@@ -148,6 +148,7 @@ REQUIRED_LOAN_COLUMNS = (
     "loan_status",
     "loan_purpose",
 )
+LOAN_TEXT_COLUMNS = ("loan_term_months", "issue_date", "loan_status", "loan_purpose")
 REQUIRED_REPAYMENT_COLUMNS = (
     "total_principal_received",
     "total_interest_received",

@@ -7,102 +7,96 @@ the mapping.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-
-def _by_remainder(value: Column, divisor: int, texts: list[str]) -> Column:
-    return F.element_at(F.array(*map(F.lit, texts)), (value % divisor + 1).cast("int"))
-
-
-def _line_facts(lineitem: DataFrame) -> DataFrame:
-    return lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count_if(F.col("l_returnflag") == "R").alias("returned"),
-        F.count_if(F.col("l_linestatus") == "O").alias("open_lines"),
-        F.max("l_extendedprice").alias("highest"),
-        F.min("l_extendedprice").alias("lowest"),
-    )
+# Raw column by its expression over an order with its customer and line facts.
+MAPPING = {
+    "id": "CAST(IF(k % 211 = 0 AND k > 0, k - 1, k) AS STRING)",
+    "emp_title": "c_name",
+    "emp_length": """CASE o_orderpriority
+        WHEN '1-URGENT' THEN '< 1 year' WHEN '2-HIGH' THEN '2 years'
+        WHEN '3-MEDIUM' THEN '3 years' WHEN '4-NOT SPECIFIED' THEN 'n/a'
+        ELSE '10+ years' END""",
+    "home_ownership": """CASE o_orderstatus
+        WHEN 'P' THEN 'MORTGAGE' WHEN 'F' THEN 'RENT' ELSE 'OWN' END""",
+    "annual_inc": "income",
+    "zip_code": "CAST(c_nationkey AS STRING)",
+    "addr_state": "'N' || c_nationkey",
+    "grade": "letter",
+    "sub_grade": "letter || (1 + ck % 5)",
+    "verification_status": "verified",
+    "tot_hi_cred_lim": "IF(ck % 50 = 0, NULL, abs(c_acctbal) * 100)",
+    "application_type": "IF(ck % 20 = 0, 'Joint App', 'Individual')",
+    "annual_inc_joint": "IF(ck % 20 = 0, income * 2, NULL)",
+    "verification_status_joint": "IF(ck % 20 = 0, verified, NULL)",
+    "loan_amnt": "o_totalprice",
+    "funded_amnt": "o_totalprice",
+    "term": "IF(k % 3 < 2, ' 36 months', ' 60 months')",
+    "int_rate": "5 + k % 20",
+    "installment": "monthly",
+    "issue_d": "IF(k % 97 = 0, NULL, date_format(o_orderdate, 'MMM-yyyy'))",
+    "loan_status": """CASE k % 6
+        WHEN 0 THEN 'Fully Paid' WHEN 1 THEN 'Current' WHEN 2 THEN 'In Grace Period'
+        WHEN 3 THEN 'Late (16-30 days)' WHEN 4 THEN 'Charged Off' ELSE 'Default' END""",
+    "purpose": """CASE k % 4
+        WHEN 0 THEN 'debt_consolidation' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'car'
+        ELSE 'boat' END""",
+    "title": "CAST(NULL AS STRING)",
+    "total_rec_prncp": "IF(k % 25 = 0, 0D, highest)",
+    "total_rec_int": "lowest",
+    "total_rec_late_fee": "returned",
+    "total_pymnt": "IF(k % 10 = 0, 0D, highest + lowest + returned)",
+    "last_pymnt_amnt": "monthly * 0.25D * (k % 8)",
+    "last_pymnt_d": "IF(k % 7 = 0, '0.0', 'Jan-2002')",
+    "next_pymnt_d": "IF(k % 11 = 0, '0.0', 'Feb-2002')",
+    "delinq_2yrs": "nullif(returned, 0)",
+    "delinq_amnt": "100 * returned",
+    "mths_since_last_delinq": "IF(returned <> 0 OR k % 2 = 0, k % 24, NULL)",
+    "pub_rec": "IF(k % 9 = 0, NULL, open_lines)",
+    "pub_rec_bankruptcies": "k % 2",
+    "inq_last_6mths": "IF(k % 13 = 0, NULL, k % 5)",
+    "mths_since_last_record": "CAST(NULL AS DOUBLE)",
+}
 
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw application table over the order tables in a folder."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey", "c_acctbal"
+    customer = spark.read.schema(
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE"
+    ).parquet(f"{sf_dir}/customer.parquet")
+    orders = spark.read.schema(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ).parquet(f"{sf_dir}/orders.parquet")
+    lineitem = spark.read.schema(
+        "l_orderkey BIGINT, l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING"
+    ).parquet(f"{sf_dir}/lineitem.parquet")
+    lines = spark.sql(
+        """
+        SELECT l_orderkey AS o_orderkey,
+               count_if(l_returnflag = 'R') AS n_returned,
+               count_if(l_linestatus = 'O') AS n_open,
+               max(l_extendedprice) AS highest,
+               min(l_extendedprice) AS lowest
+        FROM {lineitem} GROUP BY l_orderkey
+        """,
+        lineitem=lineitem,
     )
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    lines = _line_facts(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-
-    k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    balance, price = F.col("c_acctbal"), F.col("o_totalprice")
-    returned = F.coalesce("returned", F.lit(0))
-    open_lines = F.coalesce("open_lines", F.lit(0))
-    joint = ck % 20 == 0
-    income = F.when(balance >= 0, F.floor(balance))
-    verification = _by_remainder(ck, 3, ["Verified", "Source Verified", "Not Verified"])
-    letter = F.chr((65 + ck % 7).cast("int"))
-    installment = F.floor(price / 36)
-
-    order_rows = orders.join(customer, "o_custkey", "left").join(lines, "o_orderkey", "left")
-    rows = order_rows.select(
-        F.when((k % 211 == 0) & (k > 0), k - 1).otherwise(k).cast("string").alias("id"),
-        F.col("c_name").alias("emp_title"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "< 1 year")
-        .when(F.col("o_orderpriority") == "2-HIGH", "2 years")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "3 years")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "n/a")
-        .otherwise("10+ years")
-        .alias("emp_length"),
-        F.when(F.col("o_orderstatus") == "P", "MORTGAGE")
-        .when(F.col("o_orderstatus") == "F", "RENT")
-        .otherwise("OWN")
-        .alias("home_ownership"),
-        income.alias("annual_inc"),
-        F.col("c_nationkey").cast("string").alias("zip_code"),
-        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("addr_state"),
-        letter.alias("grade"),
-        F.concat(letter, (1 + ck % 5).cast("string")).alias("sub_grade"),
-        verification.alias("verification_status"),
-        F.when(ck % 50 != 0, F.abs(balance) * 100).alias("tot_hi_cred_lim"),
-        F.when(joint, "Joint App").otherwise("Individual").alias("application_type"),
-        F.when(joint, income * 2).alias("annual_inc_joint"),
-        F.when(joint, verification).alias("verification_status_joint"),
-        price.alias("loan_amnt"),
-        price.alias("funded_amnt"),
-        F.when(k % 3 < 2, " 36 months").otherwise(" 60 months").alias("term"),
-        (5 + k % 20).alias("int_rate"),
-        installment.alias("installment"),
-        F.when(k % 97 != 0, F.date_format("o_orderdate", "MMM-yyyy")).alias("issue_d"),
-        _by_remainder(
-            k,
-            6,
-            [
-                "Fully Paid",
-                "Current",
-                "In Grace Period",
-                "Late (16-30 days)",
-                "Charged Off",
-                "Default",
-            ],
-        ).alias("loan_status"),
-        _by_remainder(k, 4, ["debt_consolidation", "credit_card", "car", "boat"]).alias("purpose"),
-        F.lit(None).cast("string").alias("title"),
-        F.when(k % 25 == 0, 0.0).otherwise(F.col("highest")).alias("total_rec_prncp"),
-        F.col("lowest").alias("total_rec_int"),
-        returned.alias("total_rec_late_fee"),
-        F.when(k % 10 == 0, 0.0)
-        .otherwise(F.col("highest") + F.col("lowest") + returned)
-        .alias("total_pymnt"),
-        (installment * 0.25 * (k % 8)).alias("last_pymnt_amnt"),
-        F.when(k % 7 == 0, "0.0").otherwise("Jan-2002").alias("last_pymnt_d"),
-        F.when(k % 11 == 0, "0.0").otherwise("Feb-2002").alias("next_pymnt_d"),
-        F.when(returned != 0, returned).alias("delinq_2yrs"),
-        (100 * returned).alias("delinq_amnt"),
-        F.when((returned != 0) | (k % 2 == 0), k % 24).alias("mths_since_last_delinq"),
-        F.when(k % 9 != 0, open_lines).alias("pub_rec"),
-        (k % 2).alias("pub_rec_bankruptcies"),
-        F.when(k % 13 != 0, k % 5).alias("inq_last_6mths"),
-        F.lit(None).cast("double").alias("mths_since_last_record"),
-        F.when(k % 200 == 0, 2).otherwise(1).alias("times"),
+    facts = (
+        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        .join(lines, "o_orderkey", "left")
+        .selectExpr(
+            "*",
+            "o_orderkey AS k",
+            "o_custkey AS ck",
+            "coalesce(n_returned, 0) AS returned",
+            "coalesce(n_open, 0) AS open_lines",
+            "IF(c_acctbal < 0, NULL, floor(c_acctbal)) AS income",
+            "element_at(array('Verified', 'Source Verified', 'Not Verified'), "
+            "CAST(o_custkey % 3 + 1 AS INT)) AS verified",
+            "chr(65 + o_custkey % 7) AS letter",
+            "floor(o_totalprice / 36) AS monthly",
+            "explode(IF(o_orderkey % 200 = 0, array(1, 2), array(1))) AS time",
+        )
     )
-    repeats = F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("repeat")
-    return rows.select("*", repeats).drop("times", "repeat")
+    return facts.selectExpr(*(f"{text} AS {name}" for name, text in MAPPING.items()))
