@@ -371,6 +371,7 @@ RESULTS = {
     "dup_keys_records": "member_id FROM dup_records",
     "table_verification": "* FROM verification",
     "table_bad_members": "member_id FROM bad",
+    "bad_members_from_tables": "member_id FROM bad",
     "bad_members_of_three": """member_id FROM (SELECT member_id FROM dup_loans
         UNION SELECT member_id FROM dup_delinquency UNION SELECT member_id FROM dup_records)""",
     "table_good_customers": "* FROM good",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from creditgrade.functions import cleaning as clean
 from creditgrade.functions import scores
 from creditgrade.operators import duplicates, projections
+from creditgrade.operators.skew import HeavyKeys
 from creditgrade.plans import batch, direct, scoring, tables
 from creditgrade.schema import (
     CUSTOMER_FIELDS,
@@ -44,10 +45,6 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _curated(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
-    return batch.curate(star.applications(spark, sf_dir), ingest_time())
-
-
-def _curated_once(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
     """For queries over several curated tables: the applications are written first.
 
     Otherwise each of the tables would derive the applications anew.
@@ -90,7 +87,7 @@ def cat_temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.write_parquet(_curated(spark, sf_dir).loans, shared_folder(spark))
+    return sinks.write_parquet(table_loans(spark, sf_dir), shared_folder(spark))
 
 
 def sink_score_by_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,23 +225,23 @@ def clean_purpose_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _curated(spark, sf_dir).customers
+    return tables.clean_customers(proj_customers(spark, sf_dir), ingest_time())
 
 
 def table_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _curated(spark, sf_dir).loans
+    return tables.clean_loans(proj_loans(spark, sf_dir), ingest_time())
 
 
 def table_repayments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _curated(spark, sf_dir).repayments
+    return tables.clean_repayments(proj_repayments(spark, sf_dir), ingest_time())
 
 
 def table_delinquency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _curated(spark, sf_dir).delinquency
+    return tables.clean_delinquency(proj_defaulters(spark, sf_dir))
 
 
 def table_records_enquiries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _curated(spark, sf_dir).records
+    return tables.clean_records(proj_defaulters(spark, sf_dir))
 
 
 # Distinct, duplicates, joins
@@ -263,66 +260,73 @@ def agg_floor_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dup_keys_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     return duplicates.duplicate_verification_members(
         *vars(curated).values(), curated.heavy_keys()
     )
 
 
 def dup_keys_delinquency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.duplicate_keys(_curated(spark, sf_dir).delinquency)
+    return duplicates.duplicate_keys(table_delinquency(spark, sf_dir))
 
 
 def dup_keys_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.duplicate_keys(_curated(spark, sf_dir).records)
+    return duplicates.duplicate_keys(table_records_enquiries(spark, sf_dir))
 
 
 def table_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     return curated.verification(curated.heavy_keys())
 
 
 def table_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    return direct.bad_members(star.applications(spark, sf_dir))
+
+
+def bad_members_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curated = _curated(spark, sf_dir)
     return curated.bad_members(curated.heavy_keys())
 
 
 def bad_members_of_three(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     return duplicates.bad_members(curated.loans, curated.delinquency, curated.records)
 
 
-def table_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
-    heavy = curated.heavy_keys()
+def _good_customers(curated: batch.CuratedTables, heavy: HeavyKeys) -> DataFrame:
     return duplicates.good_customers(curated.customers, curated.bad_members(heavy), heavy)
 
 
+def table_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curated = _curated(spark, sf_dir)
+    return _good_customers(curated, curated.heavy_keys())
+
+
 def join_repayment_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     return scoring.repayments_with_loans(
         curated.repayments, curated.loans, curated.heavy_keys()
     )
 
 
 def join_repayment_member(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     heavy = curated.heavy_keys()
     points = scoring.repayment_points(curated.repayments, curated.loans, CARD, heavy)
     return scoring.repayment_points_by_member(points, curated.loans, heavy)
 
 
 def join_repayment_member_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     return scoring.unique_loan_points_by_member(
         curated.repayments, curated.loans, CARD, curated.heavy_keys()
     )
 
 
 def score_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated_once(spark, sf_dir)
+    curated = _curated(spark, sf_dir)
     heavy = curated.heavy_keys()
-    good = duplicates.good_customers(curated.customers, curated.bad_members(heavy), heavy)
+    good = _good_customers(curated, heavy)
     return scoring.score_base(
         good, curated.loans, curated.repayments, None, curated.delinquency, curated.records,
         CARD, heavy,
@@ -491,6 +495,7 @@ QUERIES: dict[str, Query] = {
         dup_keys_records,
         table_verification,
         table_bad_members,
+        bad_members_from_tables,
         bad_members_of_three,
         table_good_customers,
         join_repayment_loan,

@@ -1,4 +1,4 @@
-"""The score straight from the raw table, with little data movement.
+"""Bad members and scores straight from the raw table, with little data movement.
 
 All curated tables come from the same raw rows, which settles much of the
 general plan beforehand:
@@ -59,8 +59,8 @@ def loan_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def sole_repayments(rows: DataFrame) -> DataFrame:
-    """The repayment of each loan id that has exactly one."""
+def repayments_by_loan(rows: DataFrame) -> DataFrame:
+    """Per loan id its number of repayments, and the repayment if there is one only."""
     total = clean.reconciled_total(
         "total_payment_received",
         "total_principal_received",
@@ -70,15 +70,39 @@ def sole_repayments(rows: DataFrame) -> DataFrame:
     return (
         rows.filter(clean.present((), REQUIRED_REPAYMENT_COLUMNS))
         .select("loan_id", "last_payment_amount", total.alias("total_payment_received"))
-        .filter("total_payment_received <> 0")
+        .filter("loan_id IS NOT NULL AND total_payment_received <> 0")
         .groupBy("loan_id")
         .agg(
             F.expr("count(*) AS n"),
             F.expr("max(last_payment_amount) AS last_payment_amount"),
             F.expr("max(total_payment_received) AS total_payment_received"),
         )
-        .filter("n = 1")
-        .drop("n")
+    )
+
+
+def bad_members(raw: DataFrame, min_rows: int = skew.MIN_HEAVY_ROWS) -> DataFrame:
+    """The bad members of a raw application table.
+
+    The same set as that of its verification, delinquency and records tables:
+    members with several raw rows, and members with an income whose one complete
+    loan has a loan id with several repayment rows.
+    """
+    rows = typed_applications(raw)
+    heavy = skew.heavy_keys({0: loan_rows(rows)}, "loan_id", min_rows)
+    with_loan = F.col("annual_income").isNotNull() & clean.present(*_COMPLETE_LOAN)
+    members = (
+        rows.select("member_id", F.when(with_loan, F.col("loan_id")).alias("loan_id"))
+        .groupBy("member_id")
+        .agg(F.expr("count(*) AS n"), F.expr("max(loan_id) AS loan_id"))
+        # Of duplicated members the loan does not matter; null joins nothing.
+        .selectExpr("member_id", "n", "IF(n = 1, loan_id, NULL) AS loan_id")
+    )
+    repaid_twice = repayments_by_loan(rows).filter("n > 1").selectExpr("loan_id", "true AS twice")
+    return (
+        skew.with_cells(members, "loan_id", heavy, 0)
+        .join(skew.with_cells(repaid_twice, "loan_id", heavy, 1), ["loan_id", skew.CELL], "left")
+        .filter("n > 1 OR twice")
+        .select("member_id")
     )
 
 
@@ -131,11 +155,12 @@ def score_applications(
     rows = typed_applications(raw)
     loans = loan_rows(rows)
     heavy = skew.heavy_keys({1: loans}, "loan_id", min_rows)
+    sole_repayments = repayments_by_loan(rows).filter("n = 1").drop("n")
     by_loan = ["loan_id", skew.CELL]
     # A loan id with many loan rows has them dealt over cells; its repayment
     # and its members go to every cell, and each cell counts its own points.
     points = (
-        skew.with_cells(sole_repayments(rows), "loan_id", heavy, 0)
+        skew.with_cells(sole_repayments, "loan_id", heavy, 0)
         .join(skew.with_cells(loans, "loan_id", heavy, 1), by_loan)
         .select(*by_loan, *payment_points(card))
         .select(
