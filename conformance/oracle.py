@@ -375,6 +375,7 @@ RESULTS = {
     "bad_members_of_three": """member_id FROM (SELECT member_id FROM dup_loans
         UNION SELECT member_id FROM dup_delinquency UNION SELECT member_id FROM dup_records)""",
     "table_good_customers": "* FROM good",
+    "good_customers_from_tables": "* FROM good",
     "join_repayment_loan": "* EXCLUDE (member_id) FROM payment_pairs",
     "join_repayment_member": "* FROM member_points",
     "join_repayment_member_folded": "* FROM folded_points",

@@ -47,10 +47,10 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _curated(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
     """For queries over several curated tables: the applications are written first.
 
-    Otherwise each of the tables would derive the applications anew.
+    Otherwise each of the tables would derive the applications and keys anew.
     """
-    raw = sinks.write_parquet(star.applications(spark, sf_dir), shared_folder(spark))
-    return batch.curate(raw, ingest_time())
+    keyed = sinks.write_parquet(_keyed(spark, sf_dir), shared_folder(spark))
+    return batch.curate_keyed(keyed, ingest_time())
 
 
 # Sources, catalog, sinks
@@ -298,6 +298,10 @@ def _good_customers(curated: batch.CuratedTables, heavy: HeavyKeys) -> DataFrame
 
 
 def table_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return direct.good_customers(star.applications(spark, sf_dir), ingest_time())
+
+
+def good_customers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
     return _good_customers(curated, curated.heavy_keys())
 
@@ -498,6 +502,7 @@ QUERIES: dict[str, Query] = {
         bad_members_from_tables,
         bad_members_of_three,
         table_good_customers,
+        good_customers_from_tables,
         join_repayment_loan,
         join_repayment_member,
         join_repayment_member_folded,

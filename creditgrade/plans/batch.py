@@ -35,7 +35,11 @@ class CuratedTables:
 
 def curate(raw: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
     """The five cleaned tables of a raw application table."""
-    keyed = projections.with_member_id(raw)
+    return curate_keyed(projections.with_member_id(raw), ingest_time)
+
+
+def curate_keyed(keyed: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
+    """The five cleaned tables of raw applications that have their member key."""
     defaulters = projections.defaulters(keyed)
     return CuratedTables(
         customers=tables.clean_customers(projections.customers(keyed), ingest_time),

@@ -15,13 +15,14 @@ general plan beforehand:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.functions import cleaning as clean
 from creditgrade.functions import scores
 from creditgrade.functions.identity import member_key
-from creditgrade.operators import skew
+from creditgrade.operators import projections, skew
+from creditgrade.plans import tables
 from creditgrade.plans.scoring import graded, payment_points
 from creditgrade.schema import (
     CUSTOMER_FIELDS,
@@ -106,6 +107,16 @@ def bad_members(raw: DataFrame, min_rows: int = skew.MIN_HEAVY_ROWS) -> DataFram
     )
 
 
+def good_customers(
+    raw: DataFrame, ingest_time: Column | None = None, min_rows: int = skew.MIN_HEAVY_ROWS
+) -> DataFrame:
+    """The cleaned customers of a raw application table without its bad members."""
+    keyed = projections.with_member_id(raw)
+    customers = tables.clean_customers(projections.customers(keyed), ingest_time)
+    heavy = skew.heavy_keys({0: keyed}, "member_id", min_rows)
+    return skew.semi_join(customers, bad_members(raw, min_rows), "member_id", heavy, "left_anti")
+
+
 def single_members(rows: DataFrame, card: Scorecard) -> DataFrame:
     """Members with one raw row that has an income, a complete loan and a delinquency.
 

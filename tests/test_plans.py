@@ -106,6 +106,13 @@ def test_bad_members_of_raw(raw, bad_rows):
     assert rows_of(direct.bad_members(raw, min_rows=2)) == bad_rows
 
 
+def test_good_customers_of_raw(raw, curated, bad_rows):
+    time = F.lit("2024-01-01").cast("timestamp")
+    expected = rows_of(curated.customers.join(plain_bad(curated), "member_id", "left_anti"))
+    for min_rows in (2, 100_000):
+        assert rows_of(direct.good_customers(raw, time, min_rows)) == expected
+
+
 def test_duplicate_verification_members(curated):
     expected = rows_of(duplicates.duplicate_keys(plain_verification(curated)))
     for heavy in (None, heavy_of(curated)):
