@@ -63,7 +63,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         start = time.time()
         wrong = difference(QUERIES[name](spark, sf_dir), connection.sql(ORACLE_SQL[name]).df())
         failed += wrong is not None
-        print(f"{name:32} {time.time() - start:6.2f}s  {'ok' if wrong is None else wrong}", flush=True)
+        print(f"{name:32} {time.time() - start:6.2f}s  {wrong or 'ok'}", flush=True)
     return failed
 
 

@@ -165,7 +165,9 @@ def star_join(
     return joined.select(*center.columns, *arm_columns)
 
 
-def semi_join(left: DataFrame, keys: DataFrame, key: str, heavy: DataFrame | None, how: str) -> DataFrame:
+def semi_join(
+    left: DataFrame, keys: DataFrame, key: str, heavy: DataFrame | None, how: str
+) -> DataFrame:
     """``left_semi`` or ``left_anti`` join with a table of unique keys.
 
     The heavy-key list must name the left side (0) only.

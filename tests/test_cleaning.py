@@ -84,7 +84,8 @@ def test_member_key(spark):
 
 
 def test_required_columns_drop_nan(spark):
-    df = spark.createDataFrame([(1.0, "a"), (math.nan, "a"), (None, "a"), (1.0, None)], "n float, t string")
+    rows = [(1.0, "a"), (math.nan, "a"), (None, "a"), (1.0, None)]
+    df = spark.createDataFrame(rows, "n float, t string")
     assert df.filter(clean.present(["t"], ["n"])).count() == 1
     assert df.na.drop(subset=["n", "t"]).count() == 1
 

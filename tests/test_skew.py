@@ -34,7 +34,9 @@ def test_heavy_keys_are_few(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("hot", [(0.6, 0.0, 0.0), (0.0, 0.6, 0.0), (0.5, 0.5, 0.2), (0.0, 0.1, 0.6)])
+@pytest.mark.parametrize(
+    "hot", [(0.6, 0.0, 0.0), (0.0, 0.6, 0.0), (0.5, 0.5, 0.2), (0.0, 0.1, 0.6)]
+)
 def test_star_join(spark, how, hot):
     center = table(spark, 1, 60, "a", hot_share=hot[0])
     arms = [
