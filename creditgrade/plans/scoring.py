@@ -117,6 +117,41 @@ def _without_absent_crowds(
     return [arm.join(absent, "member_id", "left_anti") for arm in arms]
 
 
+def _points_of(
+    people: DataFrame,
+    loans: DataFrame,
+    repayments: DataFrame,
+    card: Scorecard,
+    heavy: HeavyKeys | None,
+) -> DataFrame:
+    """Counted repayment points, made only for loan ids that the people have.
+
+    The many copies of one application have a product of pairs of repayment and
+    loan rows. Their member is a bad one, so these pairs are not formed.
+    """
+    wanted = (
+        skew.semi_join(
+            loans.select("loan_id", "member_id"),
+            people,
+            "member_id",
+            heavy and heavy.for_customers(),
+            "left_semi",
+        )
+        .select("loan_id")
+        .distinct()
+    )
+    loans, repayments = (
+        skew.semi_join(df, wanted, "loan_id", heavy and heavy.for_loans(), "left_semi")
+        for df in (
+            loans.select("loan_id", "member_id", "monthly_installment", "funded_amount"),
+            repayments.select("loan_id", "last_payment_amount", "total_payment_received"),
+        )
+    )
+    return counted_points_by_member(
+        repayment_points(repayments, loans, card, heavy), loans, heavy
+    )
+
+
 def score_base(
     customers: DataFrame,
     loans: DataFrame,
@@ -138,9 +173,7 @@ def score_base(
     )
     if bad is not None:
         people = good_customers(people, bad, heavy)
-    points = counted_points_by_member(
-        repayment_points(repayments, loans, card, heavy), loans, heavy
-    )
+    points = _points_of(people, loans, repayments, card, heavy)
     arms = [
         records.selectExpr(
             "member_id",
