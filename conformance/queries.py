@@ -329,8 +329,13 @@ def join_repayment_member_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    heavy = curated.heavy_keys()
-    good = _good_customers(curated, heavy)
+    # Used several times below, so they are written like the batch does.
+    found = curated.heavy_keys()
+    heavy = HeavyKeys(
+        loans=sinks.write_parquet(found.loans, shared_folder(spark)),
+        members=sinks.write_parquet(found.members, shared_folder(spark)),
+    )
+    good = sinks.write_parquet(_good_customers(curated, heavy), shared_folder(spark))
     return scoring.score_base(
         good, curated.loans, curated.repayments, None, curated.delinquency, curated.records,
         CARD, heavy,
