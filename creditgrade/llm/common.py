@@ -68,9 +68,9 @@ def shards_for(n_bytes: int, per_shard: int, least: int = 1) -> int:
 
 
 def byte_rows(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a binary Arrow array in one buffer, and the row offsets into it."""
+    """The bytes of a binary or string Arrow array in one buffer, and the row offsets into it."""
     array = array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
-    wide = pa.types.is_large_binary(array.type)
+    wide = pa.types.is_large_binary(array.type) or pa.types.is_large_string(array.type)
     offsets = np.frombuffer(array.buffers()[1], np.int64 if wide else np.int32)
     offsets = offsets[array.offset : array.offset + len(array) + 1].astype(np.int64)
     data = array.buffers()[2]
@@ -101,6 +101,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def replace_schema(df: DataFrame, drop: tuple[str, ...]) -> DataFrame:
-    """The frame without columns whose names an operator is about to add."""
-    return df.drop(*[name for name in df.columns if name in drop])
+def schema_text(df: DataFrame, columns: list[str]) -> str:
+    """Columns with their types, as a schema for Arrow functions."""
+    return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in columns)

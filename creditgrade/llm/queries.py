@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditgrade.llm import licenses, mixing, sharding, simhash
-from creditgrade.llm.common import stored
+from creditgrade.llm import decontaminate, langid, licenses, mixing, sharding, simhash
+from creditgrade.llm.common import id_remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 40
@@ -30,6 +30,18 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(id_remainder("doc_id", 4) != 2))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (id_remainder("doc_id", 4) == 2).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
 def op6_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
@@ -51,6 +63,17 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.join(weights, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("hits") > 0).alias("contaminated"),
+        F.array_join(F.expr("array_sort(hits.item_id)"), ",").alias("item_ids"),
+        F.coalesce(F.array_max("hits.similarity"), F.lit(0.0)).alias("similarity"),
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.with_licences(docs, "text")
@@ -65,8 +88,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op2_simhash_dedup,
+        op5_language_id,
         op6_jump_shards,
         op7_source_mix,
+        op8_decontaminate,
         op9_license_scan,
     )
 }
