@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditgrade.llm import decontaminate, langid, licenses, mixing, sharding, simhash
+from creditgrade.llm import decontaminate, langid, licenses, mixing, ngram, sharding, simhash
 from creditgrade.llm.common import id_remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,21 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram.train(docs.filter(id_remainder("doc_id", 10) != 0))
+    scored = ngram.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (id_remainder("doc_id", 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.filter(id_remainder("doc_id", 4) != 2))
@@ -88,6 +103,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op2_simhash_dedup,
+        op3_lm_score,
         op5_language_id,
         op6_jump_shards,
         op7_source_mix,
