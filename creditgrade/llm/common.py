@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 from math import ceil
 
 import numpy as np
@@ -101,6 +102,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+@cache
+def letter_table() -> np.ndarray:
+    """For each code point its lower-case letter's code point, 0 for all but letters."""
+    table = np.zeros(0x110000, np.int32)
+    for code in range(0x110000):
+        char = chr(code)
+        if char.isalpha():
+            table[code] = ord(char.lower()[0])
+    return table
+
+
 def schema_text(df: DataFrame, columns: list[str]) -> str:
     """Columns with their types, as a schema for Arrow functions."""
     return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in columns)

@@ -12,14 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditgrade.llm.common import pieces, schema_text, stored
+from creditgrade.llm.common import letter_table, pieces, schema_text, stored
 
 SAMPLE_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 500
@@ -33,23 +32,12 @@ _KEYS = _SYMBOLS**3
 _BATCH_BYTES = 1 << 20
 
 
-@cache
-def _letters() -> np.ndarray:
-    """For each code point its lower-case letter's code point, 0 for all but letters."""
-    table = np.zeros(0x110000, np.int32)
-    for code in range(0x110000):
-        char = chr(code)
-        if char.isalpha():
-            table[code] = ord(char.lower()[0])
-    return table
-
-
 def _alphabet_table(alphabet: list[int]) -> np.ndarray:
     """For each code point its symbol: 0 no letter, 1 a letter outside the alphabet."""
     symbol = np.full(0x110000, _OTHER, np.uint8)
     symbol[0] = 0
     symbol[alphabet] = np.arange(_FIRST, _FIRST + len(alphabet), dtype=np.uint8)
-    return symbol[_letters()]
+    return symbol[letter_table()]
 
 
 def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +217,7 @@ def train(
     def characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0x110000, np.int64)
         for batch in pieces(batches, "text", _BATCH_BYTES):
-            seen += np.bincount(_letters()[_code_points(_texts(batch, "text"))[0]], minlength=0x110000)
+            seen += np.bincount(letter_table()[_code_points(_texts(batch, "text"))[0]], minlength=0x110000)
         seen[0] = 0
         codes = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(seen[codes])], ["code", "n"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditgrade.llm import decontaminate, langid, licenses, mixing, ngram, sharding, simhash
+from creditgrade.llm import decontaminate, langid, licenses, mixing, ngram, sharding, simhash, toxicity
 from creditgrade.llm.common import id_remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,18 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(id_remainder("doc_id", 5) != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (id_remainder("doc_id", 5) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.filter(id_remainder("doc_id", 4) != 2))
@@ -104,6 +116,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op2_simhash_dedup,
         op3_lm_score,
+        op4_toxicity,
         op5_language_id,
         op6_jump_shards,
         op7_source_mix,
