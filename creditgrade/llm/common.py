@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -113,6 +114,15 @@ def letter_table() -> np.ndarray:
     return table
 
 
+def save_array(folder: str, name: str, array: np.ndarray) -> None:
+    """Write an array as a whole: a task that is run again replaces it by an equal one."""
+    os.makedirs(folder, exist_ok=True)
+    part = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    with open(part, "wb") as file:
+        np.save(file, array)
+    os.replace(part, f"{folder}/{name}.npy")
+
+
 def schema_text(df: DataFrame, columns: list[str]) -> str:
     """Columns with their types, as a schema for Arrow functions."""
     return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in columns)

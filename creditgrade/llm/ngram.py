@@ -16,7 +16,6 @@ very frequent first words by the whole pair: no shard gets all pairs of one word
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +29,7 @@ from creditgrade.llm.common import (
     mix,
     mounted,
     pieces,
+    save_array,
     schema_text,
     scratch_path,
     shards_for,
@@ -140,15 +140,6 @@ def _dealt(columns: dict[str, np.ndarray], shard: np.ndarray) -> Iterator[pa.Rec
         )
 
 
-def _save(folder: str, name: str, array: np.ndarray) -> None:
-    """Write an array as a whole: a task that is run again replaces it by an equal one."""
-    os.makedirs(folder, exist_ok=True)
-    part = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    with open(part, "wb") as file:
-        np.save(file, array)
-    os.replace(part, f"{folder}/{name}.npy")
-
-
 def _flushes(
     batches: Iterator[pa.RecordBatch], text: str
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -232,8 +223,8 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
         shard = table.column("shard")[0].as_py()
         own = _unpacked(table.column("piece").to_pylist())
         keys, n = _summed(own["h"], own["n"])
-        _save(f"{folder}/words", f"{shard}-hash", keys)
-        _save(f"{folder}/words", f"{shard}-count", n)
+        save_array(f"{folder}/words", f"{shard}-hash", keys)
+        save_array(f"{folder}/words", f"{shard}-count", n)
         top = np.argsort(-n, kind="stable")[: FREQUENT * n_shards]
         return pa.table({"tokens": [int(n.sum())], "words": [len(n)],
                          "top": [keys[top].view(np.int64)], "top_n": [n[top]]})
@@ -274,8 +265,8 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
         heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         n = np.add.reduceat(own["n"][order], heads)
         first, second = own["h1"][order][heads], own["h2"][order][heads]
-        _save(f"{folder}/pairs", f"{shard}-hash", keys[heads])
-        _save(f"{folder}/pairs", f"{shard}-count", n.astype(np.min_scalar_type(int(n.max()))))
+        save_array(f"{folder}/pairs", f"{shard}-hash", keys[heads])
+        save_array(f"{folder}/pairs", f"{shard}-count", n.astype(np.min_scalar_type(int(n.max()))))
         kinds = _kinds(n)
         before, *after = _summed(first, n, *kinds)
         later, different = _summed(second, np.ones(len(second), np.int64))
@@ -301,8 +292,8 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
         own = _unpacked(table.column("piece").to_pylist())
         keys, *sums = _summed(own["h"], *(own[name] for name in _SUMS))
         columns = np.stack(sums, axis=1) if len(keys) else np.empty((0, 5), np.int64)
-        _save(f"{folder}/contexts", f"{shard}-hash", keys)
-        _save(f"{folder}/contexts", f"{shard}-sums", columns)
+        save_array(f"{folder}/contexts", f"{shard}-hash", keys)
+        save_array(f"{folder}/contexts", f"{shard}-sums", columns)
         different = sums[0]
         return pa.table({f"k{k}": [int((different == k).sum())] for k in (1, 2, 3, 4)}
                         | {"kmore": [int((different > 2).sum())]})

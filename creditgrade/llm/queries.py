@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditgrade.llm import decontaminate, langid, licenses, mixing, ngram, sharding, simhash, toxicity
+from creditgrade.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    mixing,
+    ngram,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 from creditgrade.llm.common import id_remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +121,17 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -122,5 +143,6 @@ QUERIES: dict[str, Query] = {
         op7_source_mix,
         op8_decontaminate,
         op9_license_scan,
+        op10_suffix_dedup,
     )
 }
