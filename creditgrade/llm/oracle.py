@@ -65,5 +65,6 @@ FROM matched
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk": EXACT_TOPK,
     "op9_license_scan": license_sql(),
 }

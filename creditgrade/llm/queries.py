@@ -16,11 +16,13 @@ from creditgrade.llm import (
     sharding,
     simhash,
     suffix_dedup,
+    topk,
     toxicity,
 )
 from creditgrade.llm.common import id_remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOP_K = 5
 N_SHARDS = 40
 MAX_REPEATS = 1.25
 SIMHASH_WORDS, SIMHASH_RADIUS = 3, 2
@@ -30,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", topk.whole_numbers("embedding").alias("v")
+    )
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), TOP_K)
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, width=SIMHASH_WORDS, radius=SIMHASH_RADIUS)
@@ -135,6 +144,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_topk,
         op2_simhash_dedup,
         op3_lm_score,
         op4_toxicity,
