@@ -205,19 +205,20 @@ def with_hits(
     item_text: str = "text",
     similarity: float = SIMILARITY,
     block_bytes: int = BENCHMARK_BLOCK_BYTES,
+    name: str = "hits",
 ) -> DataFrame:
     """Add ``hits``: the benchmark items that a document holds, each with its similarity.
 
     The benchmark is sent out in blocks of at most about ``block_bytes`` of text, so that a
     block fits every task whatever the benchmark's size; each block is one more pass of the
     texts through Python. Null and empty texts have no hits, items without words are in no
-    text, and repeated items or rows each get their own result. A column named ``hits`` is
+    text, and repeated items or rows each get their own result. A column of that name is
     replaced. Items with fewer than five words are one shingle and have to occur as they are.
     """
     total = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     n_blocks = 1 + total // block_bytes
     spark = docs.sparkSession
-    rows = docs.select(*[name for name in docs.columns if name != "hits"])
+    rows = docs.select(*[column for column in docs.columns if column != name])
     parts = []
     for n in range(n_blocks):
         of_block = F.pmod(F.xxhash64(item, item_text), F.lit(n_blocks)) == n
@@ -225,4 +226,4 @@ def with_hits(
         shared = spark.sparkContext.broadcast([(row[0], row[1]) for row in items])
         rows = rows.withColumn(f"_hits{n}", _search_udf(shared, similarity)(text))
         parts.append(f"_hits{n}")
-    return rows.withColumn("hits", F.concat(*parts)).drop(*parts)
+    return rows.withColumn(name, F.concat(*parts)).drop(*parts)

@@ -292,14 +292,16 @@ def _calibrated(model: LanguageModel, texts: DataFrame) -> LanguageModel:
     return LanguageModel(model.alphabet, model.languages, model.models, usual, worst, foreign)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, model: LanguageModel, text: str = "text", prefix: str = "lang_"
+) -> DataFrame:
     """Add ``lang_pred``, ``lang_score`` and ``lang_rejected``; such columns are replaced.
 
     A null text and one without letters is ``und``, has the score 0 and is rejected; ties
     go to the first language by name. Whole texts are read and nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = ["lang_pred", "lang_score", "lang_rejected"]
+    added = [f"{prefix}pred", f"{prefix}score", f"{prefix}rejected"]
     columns = [name for name in docs.columns if name not in added]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,6 +312,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*columns, *added])
 
     schema = schema_text(docs, columns)
+    kinds = zip(added, ("string", "double", "boolean"), strict=True)
     return docs.select(*columns).mapInArrow(
-        scan, f"{schema}, lang_pred string, lang_score double, lang_rejected boolean"
+        scan, ", ".join([schema, *(f"`{name}` {kind}" for name, kind in kinds)])
     )

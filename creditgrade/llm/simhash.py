@@ -266,3 +266,26 @@ def near_duplicates(
     return prints.join(stored(table, "simhash-components"), "fp").select(key, "fp", "component")
 
 
+
+
+def one_per_component(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2
+) -> DataFrame:
+    """The documents of which no linked one has a smaller key; one row of each component.
+
+    Of linked rows with one key the smaller hash of the text stays, of equal rows any one.
+    """
+    columns = docs.columns
+    keyed = docs.withColumn("_key", F.struct(key, F.xxhash64(text).alias("text")))
+    found = near_duplicates(keyed, "_key", text, width, radius)
+    found = stored(found.select("_key", "component"), "simhash-found")
+    same = F.col("_key").eqNullSafe(F.col("_gone"))
+    gone = found.filter("NOT (_key <=> component)").select(F.col("_key").alias("_gone"))
+    kept = keyed.join(stored(gone.distinct(), "simhash-gone"), same, "left_anti")
+    again = stored(found.groupBy("_key").count().filter("count > 1"), "simhash-again")
+    if again.isEmpty():
+        return kept.select(*columns)
+    again = again.select(F.col("_key").alias("_gone"))
+    first = "row_number() OVER (PARTITION BY _key ORDER BY _key)"
+    repeated = kept.join(again, same, "left_semi").withColumn("_n", F.expr(first)).filter("_n = 1")
+    return kept.join(again, same, "left_anti").select(*columns).union(repeated.select(*columns))
