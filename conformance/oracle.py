@@ -6,6 +6,11 @@ verification table is built and counted, and the score is joined from tables.
 
 from __future__ import annotations
 
+# The purposes that are kept.
+PURPOSES = """'debt_consolidation', 'credit_card', 'home_improvement', 'other', 'major_purchase',
+    'medical', 'small_business', 'car', 'vacation', 'moving', 'house', 'wedding',
+    'renewable_energy', 'educational'"""
+
 STEPS = r"""
 WITH line_facts AS (
   SELECT l_orderkey,
@@ -84,7 +89,7 @@ raw AS (
 ),
 keyed AS (
   SELECT *, sha256(concat_ws('||', emp_title, emp_length, home_ownership,
-    annual_inc::VARCHAR, zip_code, addr_state, grade, sub_grade, verification_status)) AS member_id
+    annual_inc::DOUBLE::VARCHAR, zip_code, addr_state, grade, sub_grade, verification_status)) AS member_id
   FROM raw
 ),
 typed_customers AS (
@@ -125,9 +130,7 @@ complete_loans AS (
 loans AS (
   SELECT loan_id, member_id, loan_amount, funded_amount, interest_rate, monthly_installment,
          issue_date, loan_status,
-         CASE WHEN loan_purpose IN ('debt_consolidation', 'credit_card', 'home_improvement',
-                'other', 'major_purchase', 'medical', 'small_business', 'car', 'vacation',
-                'moving', 'house', 'wedding', 'renewable_energy', 'educational')
+         CASE WHEN loan_purpose IN ({purposes})
               THEN loan_purpose ELSE 'other' END AS loan_purpose,
          loan_title,
          TIMESTAMP '2024-01-01 00:00:00' AS ingest_date,
@@ -355,8 +358,8 @@ RESULTS = {
     "clean_total_payment": "* FROM reconciled_repayments",
     "clean_date_sentinel": """id, nullif(last_pymnt_d, '0.0') AS last_payment_date,
         nullif(next_pymnt_d, '0.0') AS next_payment_date FROM raw""",
-    "clean_purpose_allowlist": """id, CASE WHEN purpose = 'boat' THEN 'other' ELSE purpose END
-        AS loan_purpose FROM raw""",
+    "clean_purpose_allowlist": f"""id, CASE WHEN purpose IN ({PURPOSES}) THEN purpose
+        ELSE 'other' END AS loan_purpose FROM raw""",
     "table_customers": "* FROM customers",
     "table_loans": "* FROM loans",
     "table_repayments": "* FROM repayments",
@@ -402,4 +405,25 @@ RESULTS = {
     "score_preview": f"* FROM {SCORES} ORDER BY member_id, payment_history_pts LIMIT 20",
 }
 
-ORACLE_SQL = {name: f"{STEPS}\nSELECT {result}" for name, result in RESULTS.items()}
+# The same results by other plans: few rows per task, other sources, written tables.
+RESULTS |= {
+    "id_member_hash_csv": RESULTS["id_member_hash"],
+    "table_verification_spread": RESULTS["table_verification"],
+    "verification_counted": "*, count(*) AS _times FROM verification GROUP BY ALL",
+    "table_bad_members_spread": RESULTS["table_bad_members"],
+    "bad_members_spread": RESULTS["table_bad_members"],
+    "repayment_points_counted": """loan_id, last_payment_pts, total_payment_pts,
+        count(*) AS _times FROM payment_points GROUP BY ALL""",
+    "join_repayment_member_spread": RESULTS["join_repayment_member"],
+    "score_base_spread": RESULTS["score_base"],
+    "loan_score_spread": RESULTS["loan_score"],
+    "batch_customers": RESULTS["table_customers"],
+    "batch_loans": RESULTS["table_loans"],
+    "batch_bad_members": RESULTS["table_bad_members"],
+    "batch_good_customers": RESULTS["table_good_customers"],
+}
+
+ORACLE_SQL = {
+    name: f"{STEPS.replace('{purposes}', PURPOSES)}\nSELECT {result}"
+    for name, result in RESULTS.items()
+}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +9,7 @@ from pyspark.sql import functions as F
 
 from creditgrade.functions import cleaning as clean
 from creditgrade.functions import scores
-from creditgrade.operators import duplicates, projections
-from creditgrade.operators.skew import HeavyKeys
+from creditgrade.operators import duplicates, projections, skew
 from creditgrade.plans import batch, direct, scoring, tables
 from creditgrade.schema import (
     CUSTOMER_FIELDS,
@@ -23,6 +20,7 @@ from creditgrade.schema import (
 )
 from creditgrade.scorecard import Scorecard
 from creditgrade.sources import readers, sinks, star
+from creditgrade.sources.sinks import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 CARD = Scorecard()
@@ -34,23 +32,32 @@ def ingest_time() -> Column:
     return F.lit("2024-01-01 00:00:00").cast("timestamp")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a local one only without such."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base or tempfile.mkdtemp(prefix='creditgrade-')}/{uuid.uuid4().hex}"
+# So few rows of a key per task that the test tables have many crowded keys.
+FEW_ROWS = 4
+# Applications with their keys that were written before: by session and tables.
+_written: dict[tuple[str, str], DataFrame] = {}
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.with_member_id(star.applications(spark, sf_dir))
 
 
-def _curated(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
-    """For queries over several curated tables: the applications are written first.
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The applications with their keys, written once for all queries of a session.
 
-    Otherwise each of the tables would derive the applications and keys anew.
+    Otherwise each of the curated tables would derive them anew.
     """
-    keyed = sinks.write_parquet(_keyed(spark, sf_dir), shared_folder(spark))
-    return batch.curate_keyed(keyed, ingest_time())
+    about = (spark.sparkContext.applicationId, sf_dir)
+    if about not in _written:
+        keyed = projections.keyed_applications(star.applications(spark, sf_dir))
+        _written[about] = sinks.write_shared(keyed, "applications")
+    return _written[about]
+
+
+def _curated(
+    spark: SparkSession, sf_dir: str, rows_per_task: int = skew.ROWS_PER_TASK
+) -> batch.CuratedTables:
+    return batch.curate_keyed(_stored(spark, sf_dir), ingest_time(), rows_per_task)
 
 
 # Sources, catalog, sinks
@@ -101,9 +108,39 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.run_batch(raw, shared_folder(spark), CARD, ingest_time())
 
 
+def _batch_table(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_folder(spark)
+        batch.run_batch(star.applications(spark, sf_dir), folder, CARD, ingest_time())
+        return spark.read.parquet(f"{folder}/{name}")
+
+    query.__name__ = f"batch_{name}"
+    return query
+
+
 # Identity and projections
 
 
+def id_member_hash_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of the same applications read as text, with inferred types, as Parquet.
+
+    A row for each application and key, so one row only where all three agree.
+    """
+    raw = star.applications(spark, sf_dir)
+    folder = shared_folder(spark)
+    sinks.write_csv(raw, f"{folder}/csv")
+    parquet = sinks.write_parquet(raw, f"{folder}/parquet")
+    text = readers.read_csv(spark, f"{folder}/csv")
+    inferred = readers.read_csv(spark, f"{folder}/csv", infer_schema=True)
+    keys = [
+        projections.with_member_id(df).selectExpr("string(id) AS id", "member_id")
+        for df in (text, inferred, parquet)
+    ]
+    # Each application three times; equal ones are counted, not dropped.
+    every = keys[0].union(keys[1]).union(keys[2]).groupBy("id", "member_id").count()
+    return skew.repeat_rows(every.selectExpr("id", "member_id", "count DIV 3 AS _times"), spread=False)
+
+
 def id_member_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keyed(spark, sf_dir).select("id", "member_id")
 
@@ -261,9 +298,7 @@ def agg_floor_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dup_keys_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return duplicates.duplicate_verification_members(
-        *vars(curated).values(), curated.heavy_keys()
-    )
+    return duplicates.duplicate_verification_members(*curated.tables().values())
 
 
 def dup_keys_delinquency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,8 +310,16 @@ def dup_keys_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
-    return curated.verification(curated.heavy_keys())
+    return _curated(spark, sf_dir).verification()
+
+
+def table_verification_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _curated(spark, sf_dir, FEW_ROWS).verification()
+
+
+def verification_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted rows; a row of the counted form is one row whatever way it was counted."""
+    return skew.merged(_curated(spark, sf_dir).verification_counted())
 
 
 def table_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,8 +327,15 @@ def table_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_members_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
-    return curated.bad_members(curated.heavy_keys())
+    return _curated(spark, sf_dir).bad_members()
+
+
+def bad_members_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _curated(spark, sf_dir, FEW_ROWS).bad_members()
+
+
+def table_bad_members_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return direct.bad_members(star.applications(spark, sf_dir), FEW_ROWS)
 
 
 def bad_members_of_three(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,55 +343,61 @@ def bad_members_of_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.bad_members(curated.loans, curated.delinquency, curated.records)
 
 
-def _good_customers(curated: batch.CuratedTables, heavy: HeavyKeys) -> DataFrame:
-    return duplicates.good_customers(curated.customers, curated.bad_members(heavy), heavy)
-
-
 def table_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct.good_customers(star.applications(spark, sf_dir), ingest_time())
 
 
 def good_customers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return _good_customers(curated, curated.heavy_keys())
+    return duplicates.good_customers(curated.customers, curated.bad_members())
 
 
 def join_repayment_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return scoring.repayments_with_loans(
-        curated.repayments, curated.loans, curated.heavy_keys()
+    return scoring.repayments_with_loans(curated.repayments, curated.loans)
+
+
+def repayment_points_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curated = _curated(spark, sf_dir)
+    return scoring.repayment_points_counted(curated.repayments, curated.loans, CARD)
+
+
+def _repayment_member(curated: batch.CuratedTables) -> DataFrame:
+    points = scoring.repayment_points_counted(
+        curated.repayments, curated.loans, CARD, curated.rows_per_task
     )
+    return scoring.repayment_points_by_member(points, curated.loans, curated.rows_per_task)
 
 
 def join_repayment_member(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
-    heavy = curated.heavy_keys()
-    points = scoring.repayment_points(curated.repayments, curated.loans, CARD, heavy)
-    return scoring.repayment_points_by_member(points, curated.loans, heavy)
+    return _repayment_member(_curated(spark, sf_dir))
+
+
+def join_repayment_member_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repayment_member(_curated(spark, sf_dir, FEW_ROWS))
 
 
 def join_repayment_member_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return scoring.unique_loan_points_by_member(
-        curated.repayments, curated.loans, CARD, curated.heavy_keys()
-    )
+    return scoring.unique_loan_points_by_member(curated.repayments, curated.loans, CARD)
 
 
-def score_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
-    # Used several times below, so they are written like the batch does.
-    found = curated.heavy_keys()
-    heavy = HeavyKeys(
-        loans=sinks.write_parquet(found.loans, shared_folder(spark)),
-        members=sinks.write_parquet(found.members, shared_folder(spark)),
-    )
-    good = sinks.write_parquet(_good_customers(curated, heavy), shared_folder(spark))
+def _score_base(curated: batch.CuratedTables) -> DataFrame:
+    bad = sinks.write_shared(curated.bad_members(), "bad-members")
     return scoring.score_base(
-        good, curated.loans, curated.repayments, None, curated.delinquency, curated.records,
-        CARD, heavy,
+        curated.customers, curated.loans, curated.repayments, bad, curated.delinquency,
+        curated.records, CARD, curated.rows_per_task,
     )
 
 
+def score_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _score_base(_curated(spark, sf_dir))
+
+
+def score_base_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _score_base(_curated(spark, sf_dir, FEW_ROWS))
+
+
 # Scorecard
 
 
@@ -448,6 +504,10 @@ def loan_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct.score_applications(star.applications(spark, sf_dir), CARD)
 
 
+def loan_score_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return direct.score_applications(star.applications(spark, sf_dir), CARD, FEW_ROWS)
+
+
 def loan_score_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct.score_applications(star.applications(spark, sf_dir), CARD_ALL)
 
@@ -472,7 +532,12 @@ QUERIES: dict[str, Query] = {
         sink_curated_roundtrip,
         sink_score_by_grade,
         batch_run,
+        _batch_table("customers"),
+        _batch_table("loans"),
+        _batch_table("bad_members"),
+        _batch_table("good_customers"),
         id_member_hash,
+        id_member_hash_csv,
         proj_customers,
         proj_loans,
         proj_repayments,
@@ -503,15 +568,22 @@ QUERIES: dict[str, Query] = {
         dup_keys_delinquency,
         dup_keys_records,
         table_verification,
+        table_verification_spread,
+        verification_counted,
         table_bad_members,
+        table_bad_members_spread,
         bad_members_from_tables,
+        bad_members_spread,
         bad_members_of_three,
         table_good_customers,
         good_customers_from_tables,
         join_repayment_loan,
+        repayment_points_counted,
         join_repayment_member,
+        join_repayment_member_spread,
         join_repayment_member_folded,
         score_base,
+        score_base_spread,
         score_last_payment,
         score_total_payment,
         score_payment_history,
@@ -525,6 +597,7 @@ QUERIES: dict[str, Query] = {
         score_total,
         score_grade_band,
         loan_score,
+        loan_score_spread,
         loan_score_all,
         loan_score_from_tables,
         score_preview,

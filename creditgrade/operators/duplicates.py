@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.operators import skew
-from creditgrade.operators.skew import HeavyKeys
 
 
 def duplicate_keys(df: DataFrame, key: str = "member_id") -> DataFrame:
@@ -36,7 +35,8 @@ _COUNTED = ("customers", "loans", "delinquency", "records", "repaid_twice")
 
 
 def _counted(df: DataFrame, name: str) -> DataFrame:
-    return df.selectExpr("member_id", *(f"{int(c == name)} AS {c}" for c in _COUNTED))
+    number = skew.TIMES if skew.TIMES in df.columns else "1L"
+    return df.selectExpr("member_id", *(f"{number if c == name else '0L'} AS {c}" for c in _COUNTED))
 
 
 def _member_counts(
@@ -45,32 +45,32 @@ def _member_counts(
     repayments: DataFrame,
     delinquency: DataFrame,
     records: DataFrame,
-    heavy: HeavyKeys | None,
+    rows_per_task: int,
 ) -> DataFrame:
     """Per member, its rows in each table and its loans with several repayment rows."""
-    repaid_twice = loans_repaid_twice(loans, repayments, heavy)
     tables = {
         "customers": customers,
         "loans": loans,
         "delinquency": delinquency,
         "records": records,
-        "repaid_twice": repaid_twice,
+        "repaid_twice": loans_repaid_twice(loans, repayments, rows_per_task),
     }
     rows = reduce(DataFrame.union, (_counted(df, name) for name, df in tables.items()))
     return rows.groupBy("member_id").agg(*(F.expr(f"sum({c}) AS {c}") for c in _COUNTED))
 
 
 def loans_repaid_twice(
-    loans: DataFrame, repayments: DataFrame, heavy: HeavyKeys | None = None
+    loans: DataFrame, repayments: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
 ) -> DataFrame:
-    """Members of the loans whose loan id has several repayment rows, one row per loan."""
-    return skew.semi_join(
-        loans.select("loan_id", "member_id"),
+    """Members of the loans whose loan id has several repayment rows, with their number."""
+    owners = skew.merged(loans.select("loan_id", "member_id"))
+    return skew.join_few(
+        owners,
         duplicate_keys(repayments, "loan_id"),
         "loan_id",
-        heavy and heavy.for_loans(),
+        skew.crowds(owners, "loan_id", rows_per_task),
         "left_semi",
-    ).select("member_id")
+    ).select("member_id", skew.TIMES)
 
 
 # Rows of a member in the verification table: customers x (repayment rows of its
@@ -87,10 +87,10 @@ def duplicate_verification_members(
     repayments: DataFrame,
     delinquency: DataFrame,
     records: DataFrame,
-    heavy: HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Members with several verification rows, without building that table."""
-    counts = _member_counts(customers, loans, repayments, delinquency, records, heavy)
+    counts = _member_counts(customers, loans, repayments, delinquency, records, rows_per_task)
     return counts.filter(_SEVERAL_IN_VERIFICATION).select("member_id")
 
 
@@ -100,21 +100,24 @@ def bad_members_from_tables(
     repayments: DataFrame,
     delinquency: DataFrame,
     records: DataFrame,
-    heavy: HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """``bad_members`` of the verification table of these five tables.
 
     Gives the same set without building the verification table, whose rows per
     member grow with the fourth power of the member's applications.
     """
-    counts = _member_counts(customers, loans, repayments, delinquency, records, heavy)
+    counts = _member_counts(customers, loans, repayments, delinquency, records, rows_per_task)
     return counts.filter(
         f"({_SEVERAL_IN_VERIFICATION}) OR greatest(delinquency, records) > 1"
     ).select("member_id")
 
 
 def good_customers(
-    customers: DataFrame, bad: DataFrame, heavy: HeavyKeys | None = None
+    customers: DataFrame, bad: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
 ) -> DataFrame:
     """Customers that are not in the bad set."""
-    return skew.semi_join(customers, bad, "member_id", heavy and heavy.for_customers(), "left_anti")
+    parts = skew.crowds(customers, "member_id", rows_per_task)
+    return skew.join_few(customers, bad.select("member_id"), "member_id", parts, "left_anti").select(
+        *customers.columns
+    )

@@ -1,76 +1,53 @@
-"""The member key column and the four projections of the raw table."""
+"""The member key column and the four projections of the raw table.
+
+What each table takes is listed once, as the keys of its fields in ``schema.py``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.functions.identity import member_key
-from creditgrade.schema import COUNTRY
+from creditgrade.schema import (
+    COUNTRY,
+    CUSTOMER_FIELDS,
+    DEFAULTER_FIELDS,
+    LOAN_FIELDS,
+    RAW_COLUMNS,
+    REPAYMENT_FIELDS,
+)
 
 
 def with_member_id(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("member_id", member_key())
+    """The raw table with its member key, which is made once only."""
+    return raw if "member_id" in raw.columns else raw.withColumn("member_id", member_key())
+
+
+def keyed_applications(raw: DataFrame) -> DataFrame:
+    """The used columns of the raw table with the member key."""
+    return with_member_id(raw).select("member_id", *RAW_COLUMNS)
+
+
+def _projected(keyed: DataFrame, fields: Iterable[str]) -> DataFrame:
+    made = {"loan_id": F.col("id").alias("loan_id"), "country": F.lit(COUNTRY).alias("country")}
+    columns: list[str | Column] = [made.get(name, name) for name in fields]
+    return keyed.select(*columns)
 
 
 def customers(keyed: DataFrame) -> DataFrame:
-    return keyed.select(
-        "member_id",
-        "emp_title",
-        "emp_length",
-        "home_ownership",
-        "annual_inc",
-        "addr_state",
-        "zip_code",
-        F.lit(COUNTRY).alias("country"),
-        "grade",
-        "sub_grade",
-        "verification_status",
-        "tot_hi_cred_lim",
-        "application_type",
-        "annual_inc_joint",
-        "verification_status_joint",
-    )
+    return _projected(keyed, CUSTOMER_FIELDS)
 
 
 def loans(keyed: DataFrame) -> DataFrame:
-    return keyed.select(
-        F.col("id").alias("loan_id"),
-        "member_id",
-        "loan_amnt",
-        "funded_amnt",
-        "term",
-        "int_rate",
-        "installment",
-        "issue_d",
-        "loan_status",
-        "purpose",
-        "title",
-    )
+    return _projected(keyed, LOAN_FIELDS)
 
 
 def repayments(keyed: DataFrame) -> DataFrame:
-    return keyed.select(
-        F.col("id").alias("loan_id"),
-        "total_rec_prncp",
-        "total_rec_int",
-        "total_rec_late_fee",
-        "total_pymnt",
-        "last_pymnt_amnt",
-        "last_pymnt_d",
-        "next_pymnt_d",
-    )
+    return _projected(keyed, REPAYMENT_FIELDS)
 
 
 def defaulters(keyed: DataFrame) -> DataFrame:
-    return keyed.select(
-        "member_id",
-        "delinq_2yrs",
-        "delinq_amnt",
-        "pub_rec",
-        "pub_rec_bankruptcies",
-        "inq_last_6mths",
-        "total_rec_late_fee",
-        "mths_since_last_delinq",
-        "mths_since_last_record",
-    )
+    return _projected(keyed, DEFAULTER_FIELDS)

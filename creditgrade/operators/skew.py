@@ -1,183 +1,209 @@
-"""Equi-joins that stay parallel when one key holds a large share of the rows.
+"""Equi-joins whose work per task is bounded, whatever rows a key has on either side.
 
-Spark splits an oversized join partition at run time only where both join
-inputs come straight from a shuffle and nothing after the join relies on its
-partitioning. The joins here feed aggregates and further joins on the same
-key, so they spread heavy keys themselves: the rows of a heavy key in one table
-are dealt over ``CELLS`` cells, the matching rows of the other tables are
-repeated in each cell, and ``(key, cell)`` becomes the join key. All other keys
-live in cell 0 and are joined as usual.
+The rows that a join makes of a key are the product of the key's rows in all tables. A key
+is *crowded* where that is more than a task should make. Its rows in each table are then
+dealt over parts by their hash, and the join runs on a grid with one dimension per table: a
+row meets every part of the other tables, so each combination meets in exactly one cell.
+The number of parts follows from the key's row counts. The list of crowded keys is a stored
+table that is joined like any other, however long it gets.
 
-A key is heavy when it holds more than ``1 / MAX_HEAVY_KEYS`` of the rows, so
-there are fewer than ``MAX_HEAVY_KEYS`` heavy keys whatever the size of the data.
-That bound is what makes the broadcast of the heavy-key list safe.
+Where no key is crowded, joins are plain ones and nothing is added to the plan.
 
-Where the list is None, the joins are plain ones and skew is left to Spark.
+Rows are dealt by their contents and the input partition they lie in. Equal rows of one
+partition are dealt alike, so where there may be many they are merged into one with a count
+before. ``merged`` does that, and ``star_join`` multiplies the counts of what it joins.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY_KEYS = 10_000
-MIN_HEAVY_ROWS = 100_000
-CELLS = 64
+from creditgrade.sources.sinks import write_shared
+
+# Rows that one task should make of one key.
+ROWS_PER_TASK = 1_000_000
 CELL = "_cell"
-_HEAVY = "_heavy_in"
-_SPREAD = "_spread_in"
+TIMES = "_times"
+_STEP = 4096
 
 
-def heavy_keys(tables: dict[int, DataFrame], key: str, min_rows: int = MIN_HEAVY_ROWS) -> DataFrame:
-    """Keys that are heavy in numbered tables: ``key`` and the number to spread.
+def crowded_keys(
+    tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK, how: str = "inner"
+) -> DataFrame | None:
+    """The crowded keys of a join of tables, with the parts of each table; None if none.
 
-    A key has more than 1/MAX_HEAVY_KEYS of all the tables' rows and at least
-    ``min_rows`` of them in the table it is listed for, the highest number if it
-    is so in several. All tables are counted in one grouping.
+    Columns: the key and ``p0``, ``p1``, ... Zero parts say that the key's rows join nothing
+    and can be left out. All tables are counted in one grouping, merged before its shuffle.
+    A null key joins nothing, but a left join keeps its rows, so it is counted too. The
+    list is written to the shared folder once.
     """
-    numbers = sorted(tables)
+    numbers = range(len(tables))
     tagged = [
-        tables[number].selectExpr(key, *(f"{int(n == number)} AS n{n}" for n in numbers))
-        for number in numbers
+        table.selectExpr(key, *(f"{int(n == m)} AS n{m}" for m in numbers))
+        for n, table in enumerate(tables)
     ]
+    made = " * ".join(f"greatest(double(n{n}), 1)" for n in numbers)
+    # Pieces of this many rows of every table make rows_per_task rows together.
+    piece = max(1, int(rows_per_task ** (1 / len(tables))))
     counts = (
         reduce(DataFrame.union, tagged)
         .groupBy(key)
         .agg(*(F.expr(f"sum(n{n}) AS n{n}") for n in numbers))
+        .filter(f"{made} > {rows_per_task}")
     )
-    rows = " + ".join(f"n{n}" for n in numbers)
-    share = counts.agg(F.expr(f"sum({rows}) / {MAX_HEAVY_KEYS} AS share"))
-    heaviest = " ".join(
-        f"WHEN n{n} >= {min_rows} AND n{n} > share THEN {n}" for n in reversed(numbers)
-    )
-    return (
-        counts.filter(f"{key} IS NOT NULL")
-        .withColumn("share", share.scalar())
-        .selectExpr(key, f"CASE {heaviest} END AS {_HEAVY}")
-        .filter(f"{_HEAVY} IS NOT NULL")
-    )
-
+    needed = [f"n{n} > 0" for n in (numbers if how == "inner" else numbers[:1])]
+    parts = [
+        f"IF({key} IS NULL OR {' AND '.join(needed)}, greatest(1, bigint(ceil(n{n} / {piece}))), 0L)"
+        f" AS p{n}"
+        for n in numbers
+    ]
+    found = write_shared(counts.selectExpr(key, *parts), "crowded-keys")
+    return None if found.isEmpty() else found
 
-@dataclass(frozen=True)
-class HeavyKeys:
-    """Heavy loan ids and members of a set of curated tables."""
 
-    loans: DataFrame
-    members: DataFrame
+def numbered(df: DataFrame, times: str, name: str, spread: bool = False) -> DataFrame:
+    """Each row ``times`` times, with a number from 0; rows without times go.
 
-    @classmethod
-    def detect(
-        cls,
-        loans: DataFrame,
-        repayments: DataFrame,
-        delinquency: DataFrame,
-        records: DataFrame,
-        min_rows: int = MIN_HEAVY_ROWS,
-    ) -> "HeavyKeys":
-        """Find them with one narrow grouping per key.
+    Made in three steps, so that no array grows with the number. With ``spread``, the steps
+    of one row go to different tasks.
+    """
+    columns = [f"`{column}`" for column in df.columns]
+    large = _STEP * _STEP
+    blocks = df.filter(f"{times} > 0").selectExpr(
+        "*", f"explode(sequence(0L, ({times} - 1) DIV {large})) AS _large"
+    )
+    blocks = blocks.selectExpr(
+        "*",
+        f"explode(sequence(0L, least({_STEP - 1}, ({times} - 1 - _large * {large}) DIV {_STEP})))"
+        " AS _small",
+    ).selectExpr("*", f"_large * {large} + _small * {_STEP} AS _from")
+    if spread:
+        blocks = blocks.hint("rebalance")
+    return blocks.selectExpr(
+        "*", f"explode(sequence(0L, least({_STEP}, {times} - _from) - 1)) AS _one"
+    ).selectExpr(*columns, f"_from + _one AS {name}")
+
+
+def repeat_rows(df: DataFrame, times: str = TIMES, spread: bool = True) -> DataFrame:
+    """Each row as often as its ``times`` column says; the column is dropped.
 
-        Loan ids: 0 loans, 1 repayments. Members: 0 records (customers are dealt
-        out), 1 loans, 2 delinquency.
-        """
-        return cls(
-            loans=heavy_keys({0: loans, 1: repayments}, "loan_id", min_rows),
-            members=heavy_keys({0: records, 1: loans, 2: delinquency}, "member_id", min_rows),
-        )
+    With ``spread``, the copies of one row are made by several tasks.
+    """
+    return numbered(df, times, "_copy", spread).drop("_copy", times)
 
-    def for_loans(self) -> DataFrame:
-        """Heavy loan ids with the loans as the table to spread."""
-        return self.loans.selectExpr("loan_id", f"0 AS {_HEAVY}")
 
-    def for_customers(self) -> DataFrame:
-        """Heavy members with the customers as the table to spread."""
-        return self.members.selectExpr("member_id", f"0 AS {_HEAVY}")
+def merged(df: DataFrame, times: str = TIMES) -> DataFrame:
+    """Equal rows as one with their number, added up where rows have one already."""
+    columns = [name for name in df.columns if name != times]
+    count = f"sum({times})" if times in df.columns else "count(*)"
+    return df.groupBy(*columns).agg(F.expr(f"{count} AS {times}"))
 
 
-def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row as often as its ``times`` column says; the column is dropped.
+def with_cells(df: DataFrame, key: str, parts: DataFrame, number: int) -> DataFrame:
+    """Add the cells of table ``number`` of the join, a row for each of them.
 
-    Rows are made in two steps so that no large array is built for one row.
+    Keys that are not crowded have the one cell 0. Rows of a crowded key are dealt by what a
+    task that is run again finds anew: their hash and the number of the partition. The center (0) also gets the number of
+    parts of each arm. A null key meets nothing, so its rows are only dealt.
     """
-    columns = [name for name in df.columns if name != times]
-    step = 4096
-    return (
-        df.filter(f"{times} > 0")
-        .selectExpr("*", f"explode(sequence(0, ({times} - 1) DIV {step})) AS _block")
-        .selectExpr(
-            *columns,
-            f"explode(array_repeat(0, int(least({step}, {times} - _block * {step})))) AS _one",
-        )
-        .select(*columns)
+    names = [name for name in parts.columns if name != key]
+    columns = [f"`{name}`" for name in df.columns]
+    below = " * ".join(["1L", *names[:number]])
+    others = " * ".join(["1L", *(name for name in names if name != f"p{number}")])
+    listed = parts.withColumnRenamed(key, "_crowded")
+    placed = df.join(listed, F.col(key).eqNullSafe(F.col("_crowded")), "left").selectExpr(
+        *columns,
+        *(f"IF({key} IS NULL, 1L, coalesce({name}, 1L)) AS {name}" for name in names),
+        f"coalesce(pmod(xxhash64(spark_partition_id(), {', '.join(columns)}), nullif(p{number}, 0)), 0L) AS _own",
     )
-
-
-def with_cells(df: DataFrame, key: str, heavy: DataFrame, number: int) -> DataFrame:
-    """Add the cell column to table ``number``, repeating rows where needed."""
-    # Rows are dealt by partition number, not by contents or a random number:
-    # copies of one row get spread too, and a task that is run again deals the
-    # same way. A null key joins nothing; dealing its rows keeps them off one task.
-    return df.join(F.broadcast(heavy), key, "left").selectExpr(
-        *df.columns,
-        f"{_HEAVY} AS {_SPREAD}",
-        f"""
-        explode(CASE
-            WHEN {_HEAVY} = {number} OR {key} IS NULL
-                THEN array(pmod(spark_partition_id(), {CELLS}))
-            WHEN {_HEAVY} IS NOT NULL THEN sequence(0, {CELLS - 1})
-            ELSE array(0) END) AS {CELL}
-        """,
+    placed = placed.selectExpr("*", f"{below} AS _below", f"IF(p{number} = 0, 0L, {others}) AS _others")
+    cell = f"_at % _below + _own * _below + _at DIV _below * _below * p{number}"
+    return numbered(placed, "_others", "_at").selectExpr(
+        *columns, *(names[1:] if number == 0 else ()), f"{cell} AS {CELL}"
     )
 
 
 def star_join(
-    center: DataFrame,
-    arms: list[DataFrame],
-    key: str,
-    heavy: DataFrame | None,
-    how: str = "left",
+    center: DataFrame, arms: Sequence[DataFrame], key: str, parts: DataFrame | None, how: str
 ) -> DataFrame:
     """Join every arm to the center on one key (``how``: ``left`` or ``inner``).
 
-    The center is table 0 and the arms are tables 1, 2, ... of the heavy-key
-    list. A key listed for an arm must occur in that arm. Every table is
-    shuffled once. Columns other than the key must have different names.
+    The center is table 0 of the list of crowded keys, the arms follow. Tables may have a
+    number of equal rows in ``_times``, and have merged rows if there are crowded keys; the
+    result has their product in ``_times``. Columns other than these two must have
+    different names.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how!r}")
-    if heavy is None:
-        return reduce(lambda joined, arm: joined.join(arm, key, how), arms, center)
-    joined = with_cells(center, key, heavy, 0)
-    lone_copies = []
-    for number, arm in enumerate(arms, start=1):
-        cells = with_cells(arm, key, heavy, number).drop(_SPREAD)
-        cells = cells.selectExpr("*", f"true AS _found_{number}")
-        joined = joined.join(cells, [key, CELL], how)
-        # The center is repeated in every cell of a key that this arm spreads.
-        # The key does occur in the arm, so a copy that met none of the arm's
-        # rows is left over from the repetition.
-        lone_copies.append(f"({_SPREAD} <=> {number} AND _found_{number} IS NULL)")
-    if how == "left":
-        joined = joined.filter(f"NOT ({' OR '.join(lone_copies)})")
-    arm_columns = [name for arm in arms for name in arm.columns if name != key]
-    return joined.select(*center.columns, *arm_columns)
-
-
-def semi_join(
-    left: DataFrame, keys: DataFrame, key: str, heavy: DataFrame | None, how: str
+    tables = [
+        (table if TIMES in table.columns else table.selectExpr("*", f"1L AS {TIMES}"))
+        .withColumnRenamed(TIMES, f"_times{n}")
+        for n, table in enumerate([center, *arms])
+    ]
+    if parts is None:
+        joined = reduce(lambda left, arm: left.join(arm, key, how), tables)
+    else:
+        cells = [with_cells(table, key, parts, n) for n, table in enumerate(tables)]
+        joined = reduce(lambda left, arm: left.join(arm, [key, CELL], how), cells)
+    if parts is not None and how == "left":
+        # A center row meets the parts of an arm in several cells. Where a part got no rows,
+        # it is left without a partner there; it has one in another cell.
+        for n in range(1, len(tables)):
+            joined = joined.filter(f"_times{n} IS NOT NULL OR p{n} = 1")
+    columns = [f"`{name}`" for table in (center, *arms) for name in table.columns
+               if name not in (key, TIMES)]
+    product = " * ".join(f"coalesce(_times{n}, 1L)" for n in range(len(tables)))
+    return joined.selectExpr(key, *columns, f"{product} AS {TIMES}")
+
+
+def counted_join(
+    center: DataFrame,
+    arms: Sequence[DataFrame],
+    key: str,
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> tuple[DataFrame, bool]:
+    """``star_join`` of any tables: finds crowded keys, and merges copies if there are any.
+
+    The second value says whether there were any; if not, no row stands for more rows than
+    a task should make.
+
+    Row counts without regard to copies tell that nothing is crowded. Where something is,
+    the tables are merged and stored, and what is still crowded then is dealt over a grid.
+    """
+    tables = [center, *arms]
+    parts = crowded_keys(tables, key, rows_per_task, how)
+    crowded = parts is not None
+    if crowded:
+        tables = [write_shared(merged(table), "merged") for table in tables]
+        parts = crowded_keys(tables, key, rows_per_task, how)
+    return star_join(tables[0], tables[1:], key, parts, how), crowded
+
+
+def crowds(center: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """Crowded keys of one table, for ``join_few``."""
+    return crowded_keys([center], key, rows_per_task)
+
+
+def join_few(
+    center: DataFrame, few: DataFrame, key: str, parts: DataFrame | None, how: str
 ) -> DataFrame:
-    """``left_semi`` or ``left_anti`` join with a table of unique keys.
+    """Join a table with another one that has few rows per key.
 
-    The heavy-key list must name the left side (0) only.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; ``parts`` are the crowded
+    keys of the center, or of a table with its rows and more. The center's rows are only
+    dealt, and the few rows repeated in each part. Equal center rows of one input partition
+    go to one task.
     """
-    if how not in ("left_semi", "left_anti"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how!r}")
-    if heavy is None:
-        return left.join(keys.select(key), key, how)
-    return (
-        with_cells(left, key, heavy, 0)
-        .join(with_cells(keys.select(key), key, heavy, 1), [key, CELL], how)
-        .select(*left.columns)
-    )
+    if parts is None:
+        return center.join(few, key, how)
+    listed = parts.selectExpr(key, "greatest(p0, 1L) AS p0", "1L AS p1")
+    dealt = with_cells(center, key, listed, 0).drop("p1")
+    joined = dealt.join(with_cells(few, key, listed, 1), [key, CELL], how)
+    return joined.drop(CELL)

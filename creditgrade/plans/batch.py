@@ -5,32 +5,37 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from creditgrade.operators import duplicates, projections
-from creditgrade.operators.skew import HeavyKeys
-from creditgrade.plans import tables
-from creditgrade.plans.direct import score_applications
-from creditgrade.plans.verification import verification
+from creditgrade.operators import duplicates, projections, skew
+from creditgrade.plans import direct, tables
+from creditgrade.plans.verification import verification, verification_counted
 from creditgrade.scorecard import Scorecard
 from creditgrade.sources.sinks import write_parquet
 
 
 @dataclass(frozen=True)
 class CuratedTables:
+    """The five tables; their joins make about ``rows_per_task`` rows of a key in one task."""
+
     customers: DataFrame
     loans: DataFrame
     repayments: DataFrame
     delinquency: DataFrame
     records: DataFrame
+    rows_per_task: int = skew.ROWS_PER_TASK
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: value for name, value in vars(self).items() if name != "rows_per_task"}
 
-    def heavy_keys(self) -> HeavyKeys:
-        return HeavyKeys.detect(self.loans, self.repayments, self.delinquency, self.records)
+    def bad_members(self) -> DataFrame:
+        return duplicates.bad_members_from_tables(*vars(self).values())
 
-    def bad_members(self, heavy: HeavyKeys | None = None) -> DataFrame:
-        return duplicates.bad_members_from_tables(*vars(self).values(), heavy)
+    def verification(self) -> DataFrame:
+        return verification(*vars(self).values())
 
-    def verification(self, heavy: HeavyKeys | None = None) -> DataFrame:
-        return verification(*vars(self).values(), heavy)
+    def verification_counted(self) -> DataFrame:
+        return verification_counted(*vars(self).values())
 
 
 def curate(raw: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
@@ -38,7 +43,9 @@ def curate(raw: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
     return curate_keyed(projections.with_member_id(raw), ingest_time)
 
 
-def curate_keyed(keyed: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
+def curate_keyed(
+    keyed: DataFrame, ingest_time: Column | None = None, rows_per_task: int = skew.ROWS_PER_TASK
+) -> CuratedTables:
     """The five cleaned tables of raw applications that have their member key."""
     defaulters = projections.defaulters(keyed)
     return CuratedTables(
@@ -47,6 +54,7 @@ def curate_keyed(keyed: DataFrame, ingest_time: Column | None = None) -> Curated
         repayments=tables.clean_repayments(projections.repayments(keyed), ingest_time),
         delinquency=tables.clean_delinquency(defaulters),
         records=tables.clean_records(defaulters),
+        rows_per_task=rows_per_task,
     )
 
 
@@ -57,31 +65,29 @@ def run_batch(
     ingest_time: Column | None = None,
     mode: str = "errorifexists",
     with_verification: bool = False,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Write the curated tables, bad members, good customers and scores as Parquet.
 
-    Later tables are built from the written ones, so a lost executor costs no
-    more than its own tasks. ``output_dir`` is a shared folder. The verification
-    table is only written on request: nothing else needs it, and it grows with
-    the fourth power of the applications per member. Returns the scores.
+    The input is read once: its used columns are written with the member key, and all
+    tables come from there, so a lost executor costs no more than its own tasks. All rows
+    carry one ingest time. ``output_dir`` is a shared folder. The verification table is
+    written on request, its equal rows as one with their number in ``_times``: nothing else
+    needs it. Returns the scores.
     """
-    curated = curate(raw, ingest_time)
-    written = CuratedTables(
-        **{
-            name: write_parquet(df, f"{output_dir}/{name}", mode)
-            for name, df in vars(curated).items()
-        }
-    )
-    found = written.heavy_keys()
-    heavy = HeavyKeys(
-        **{
-            name: write_parquet(df, f"{output_dir}/heavy_{name}", mode)
-            for name, df in vars(found).items()
-        }
-    )
-    bad = write_parquet(written.bad_members(heavy), f"{output_dir}/bad_members", mode)
-    good = duplicates.good_customers(written.customers, bad, heavy)
-    write_parquet(good, f"{output_dir}/good_customers", mode)
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        return write_parquet(df, f"{output_dir}/{name}", mode)
+
+    if ingest_time is None:
+        now = raw.sparkSession.range(1).select(F.current_timestamp().alias("now"))
+        ingest_time = F.lit(now.first()["now"])
+    keyed = write(projections.keyed_applications(raw), "applications")
+    curated = curate_keyed(keyed, ingest_time, rows_per_task)
+    written = {name: write(df, name) for name, df in curated.tables().items()}
+    write(direct.bad_members(keyed, rows_per_task), "bad_members")
+    write(direct.good_customers(keyed, ingest_time, rows_per_task), "good_customers")
     if with_verification:
-        write_parquet(written.verification(heavy), f"{output_dir}/verification", mode)
-    return write_parquet(score_applications(raw, card), f"{output_dir}/loan_score", mode)
+        found = CuratedTables(**written, rows_per_task=rows_per_task)
+        write(found.verification_counted(), "verification")
+    return write(direct.score_applications(keyed, card, rows_per_task), "loan_score")

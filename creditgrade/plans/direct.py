@@ -25,6 +25,7 @@ from creditgrade.operators import projections, skew
 from creditgrade.plans import tables
 from creditgrade.plans.scoring import graded, payment_points
 from creditgrade.schema import (
+    COUNTRY,
     CUSTOMER_FIELDS,
     DEFAULTER_FIELDS,
     LOAN_FIELDS,
@@ -42,7 +43,7 @@ def typed_applications(raw: DataFrame) -> DataFrame:
     """The fields of all curated tables, cast and renamed, on one row per raw row."""
     fields = DEFAULTER_FIELDS | CUSTOMER_FIELDS | LOAN_FIELDS | REPAYMENT_FIELDS
     raw_fields = {source: target for source, target in fields.items() if source not in _NOT_RAW}
-    return raw.withColumn("member_id", member_key()).selectExpr(
+    return projections.with_member_id(raw).selectExpr(
         "member_id", "string(id) AS loan_id", *clean.renamed(raw_fields)
     )
 
@@ -81,40 +82,58 @@ def repayments_by_loan(rows: DataFrame) -> DataFrame:
     )
 
 
-def bad_members(raw: DataFrame, min_rows: int = skew.MIN_HEAVY_ROWS) -> DataFrame:
-    """The bad members of a raw application table.
+def _members_with_bad(rows: DataFrame, more: list[Column], rows_per_task: int) -> DataFrame:
+    """One row per member: its number of raw rows, and whether its loan id is repaid twice.
 
-    The same set as that of its verification, delinquency and records tables:
-    members with several raw rows, and members with an income whose one complete
-    loan has a loan id with several repayment rows.
+    Of members with several raw rows, ``more`` holds the values of any of them.
     """
-    rows = typed_applications(raw)
-    heavy = skew.heavy_keys({0: loan_rows(rows)}, "loan_id", min_rows)
     with_loan = F.col("annual_income").isNotNull() & clean.present(*_COMPLETE_LOAN)
     members = (
-        rows.select("member_id", F.when(with_loan, F.col("loan_id")).alias("loan_id"))
+        rows.withColumn("owned", F.when(with_loan, F.col("loan_id")))
         .groupBy("member_id")
-        .agg(F.expr("count(*) AS n"), F.expr("max(loan_id) AS loan_id"))
+        .agg(F.expr("count(*) AS n"), F.expr("max(owned) AS loan_id"), *more)
         # Of duplicated members the loan does not matter; null joins nothing.
-        .selectExpr("member_id", "n", "IF(n = 1, loan_id, NULL) AS loan_id")
+        .withColumn("loan_id", F.expr("IF(n = 1, loan_id, NULL)"))
     )
     repaid_twice = repayments_by_loan(rows).filter("n > 1").selectExpr("loan_id", "true AS twice")
-    return (
-        skew.with_cells(members, "loan_id", heavy, 0)
-        .join(skew.with_cells(repaid_twice, "loan_id", heavy, 1), ["loan_id", skew.CELL], "left")
-        .filter("n > 1 OR twice")
-        .select("member_id")
-    )
+    parts = skew.crowds(loan_rows(rows), "loan_id", rows_per_task)
+    return skew.join_few(members, repaid_twice, "loan_id", parts, "left")
+
+
+def bad_members(raw: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK) -> DataFrame:
+    """The bad members of a raw application table.
+
+    The same set as that of its verification, delinquency and records tables:
+    members with several raw rows, and members with an income whose one complete
+    loan has a loan id with several repayment rows.
+    """
+    members = _members_with_bad(typed_applications(raw), [], rows_per_task)
+    return members.filter("n > 1 OR twice").select("member_id")
 
 
 def good_customers(
-    raw: DataFrame, ingest_time: Column | None = None, min_rows: int = skew.MIN_HEAVY_ROWS
+    raw: DataFrame, ingest_time: Column | None = None, rows_per_task: int = skew.ROWS_PER_TASK
 ) -> DataFrame:
-    """The cleaned customers of a raw application table without its bad members."""
+    """The cleaned customers of a raw application table without its bad members.
+
+    A good member has one raw row, so its columns come out of the grouping that finds the
+    bad ones. The mean that fills employment lengths is that of all customers.
+    """
+    rows = typed_applications(raw).withColumn("address_country", F.lit(COUNTRY))
+    columns = [target for target, _ in CUSTOMER_FIELDS.values()]
+    own = F.struct(*columns[1:])
+    members = _members_with_bad(rows, [F.any_value(own).alias("own")], rows_per_task)
+    good = members.filter("n = 1 AND twice IS NULL").select("member_id", "own.*")
     keyed = projections.with_member_id(raw)
-    customers = tables.clean_customers(projections.customers(keyed), ingest_time)
-    heavy = skew.heavy_keys({0: keyed}, "member_id", min_rows)
-    return skew.semi_join(customers, bad_members(raw, min_rows), "member_id", heavy, "left_anti")
+    mean = tables.floor_mean(
+        tables.numbered_employment(
+            tables.with_income(tables.distinct_customers(projections.customers(keyed)))
+        ),
+        "emp_length",
+    )
+    return tables.finished_customers(
+        tables.numbered_employment(tables.with_income(good)), mean, ingest_time
+    )
 
 
 def single_members(rows: DataFrame, card: Scorecard) -> DataFrame:
@@ -155,8 +174,28 @@ def single_members(rows: DataFrame, card: Scorecard) -> DataFrame:
     )
 
 
+def loan_points(
+    rows: DataFrame, card: Scorecard, parts: DataFrame | None
+) -> DataFrame:
+    """Per loan id with one repayment its different points and their number.
+
+    The points have few values, so a loan id has some fifteen rows at most. ``parts`` are
+    the crowded loan ids of the loan rows.
+    """
+    sole = repayments_by_loan(rows).filter("n = 1").drop("n")
+    loans = loan_rows(rows)
+    loans = loans.selectExpr("*", f"1L AS {skew.TIMES}") if parts is None else skew.merged(loans)
+    history = scores.payment_history("last_payment_pts", "total_payment_pts", card)
+    points = (
+        skew.join_few(loans, sole, "loan_id", parts, "inner")
+        .select("loan_id", *payment_points(card), skew.TIMES)
+        .select("loan_id", history.alias("payment_history_pts"), skew.TIMES)
+    )
+    return skew.merged(points)
+
+
 def score_applications(
-    raw: DataFrame, card: Scorecard = Scorecard(), min_rows: int = skew.MIN_HEAVY_ROWS
+    raw: DataFrame, card: Scorecard = Scorecard(), rows_per_task: int = skew.ROWS_PER_TASK
 ) -> DataFrame:
     """Score and grade of every scorable member of a raw application table.
 
@@ -164,29 +203,12 @@ def score_applications(
     good customers and the bad members of its verification table.
     """
     rows = typed_applications(raw)
-    loans = loan_rows(rows)
-    heavy = skew.heavy_keys({1: loans}, "loan_id", min_rows)
-    sole_repayments = repayments_by_loan(rows).filter("n = 1").drop("n")
-    by_loan = ["loan_id", skew.CELL]
-    # A loan id with many loan rows has them dealt over cells; its repayment
-    # and its members go to every cell, and each cell counts its own points.
-    points = (
-        skew.with_cells(sole_repayments, "loan_id", heavy, 0)
-        .join(skew.with_cells(loans, "loan_id", heavy, 1), by_loan)
-        .select(*by_loan, *payment_points(card))
-        .select(
-            *by_loan,
-            scores.payment_history("last_payment_pts", "total_payment_pts", card).alias(
-                "payment_history_pts"
-            ),
-        )
-        .groupBy(*by_loan, "payment_history_pts")
-        .agg(F.expr("count(*) AS times"))
-    )
-    members = skew.with_cells(single_members(rows, card), "loan_id", heavy, 0)
-    parts = skew.repeat_rows(members.join(points, by_loan), "times")
+    # A loan id has no more single members than loan rows, so one list serves both joins.
+    parts = skew.crowds(loan_rows(rows), "loan_id", rows_per_task)
+    points = loan_points(rows, card, parts)
+    scored = skew.join_few(single_members(rows, card), points, "loan_id", parts, "inner")
     return graded(
-        parts.select(
+        skew.repeat_rows(scored, spread=parts is not None).select(
             "member_id", "payment_history_pts", "defaulters_history_pts", "financial_health_pts"
         ),
         card,

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from creditgrade.functions import scores
 from creditgrade.operators import skew
 from creditgrade.operators.duplicates import good_customers
-from creditgrade.operators.skew import HeavyKeys
 from creditgrade.scorecard import Scorecard
 
 
@@ -24,97 +22,82 @@ def payment_points(card: Scorecard) -> list[Column]:
     ]
 
 
-def repayments_with_loans(
-    repayments: DataFrame, loans: DataFrame, heavy: HeavyKeys | None = None
-) -> DataFrame:
-    """Every repayment row with every loan row that has its loan id."""
-    return skew.star_join(
-        loans.select("loan_id", "monthly_installment", "funded_amount"),
+def _pairs(
+    repayments: DataFrame, loans: DataFrame, columns: tuple[str, ...], rows_per_task: int
+) -> tuple[DataFrame, bool]:
+    return skew.counted_join(
+        loans.select("loan_id", *columns),
         [repayments.select("loan_id", "last_payment_amount", "total_payment_received")],
         "loan_id",
-        heavy and heavy.loans,
         "inner",
+        rows_per_task,
     )
 
 
-def repayment_points(
+_COMPARED = ("monthly_installment", "funded_amount")
+
+
+def repayments_with_loans_counted(
+    repayments: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+) -> DataFrame:
+    """Pairs of a repayment and a loan row with its loan id, each with its number."""
+    return _pairs(repayments, loans, _COMPARED, rows_per_task)[0]
+
+
+def repayments_with_loans(
+    repayments: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+) -> DataFrame:
+    """Every repayment row with every loan row that has its loan id."""
+    pairs, crowded = _pairs(repayments, loans, _COMPARED, rows_per_task)
+    return skew.repeat_rows(pairs, spread=crowded)
+
+
+def repayment_points_counted(
     repayments: DataFrame,
     loans: DataFrame,
     card: Scorecard = Scorecard(),
-    heavy: HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
-    """Points of every repayment row against every loan row with its loan id."""
-    return repayments_with_loans(repayments, loans, heavy).select(
-        "loan_id", *payment_points(card)
-    )
+    """Different points of the repayment rows of a loan id, with their number.
 
+    Points take a few values, so a loan id has few rows whatever it had before.
+    """
+    pairs = repayments_with_loans_counted(repayments, loans, rows_per_task)
+    return skew.merged(pairs.select("loan_id", *payment_points(card), skew.TIMES))
 
-def counted_points_by_member(
-    points: DataFrame, loans: DataFrame, heavy: HeavyKeys | None = None
-) -> DataFrame:
-    """``repayment_points_by_member`` with equal rows of one loan as a count.
 
-    A loan id with many rows has few different points, so its rows are merged
-    before they meet the members.
-    """
-    merged = points.groupBy("loan_id", "last_payment_pts", "total_payment_pts").agg(
-        F.expr("count(*) AS times")
+def points_by_member_counted(
+    points: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+) -> DataFrame:
+    """Counted points of loan ids with every member that has a loan row with the loan id."""
+    owners = loans.select("loan_id", "member_id")
+    parts = skew.crowds(owners, "loan_id", rows_per_task)
+    owners = owners.selectExpr("*", "1L AS _loans") if parts is None else skew.merged(owners, "_loans")
+    return skew.join_few(owners, points, "loan_id", parts, "inner").selectExpr(
+        "member_id", "last_payment_pts", "total_payment_pts", f"_loans * {skew.TIMES} AS {skew.TIMES}"
     )
-    return skew.star_join(
-        loans.select("loan_id", "member_id"),
-        [merged],
-        "loan_id",
-        heavy and heavy.for_loans(),
-        "inner",
-    ).select("member_id", "last_payment_pts", "total_payment_pts", "times")
 
 
 def repayment_points_by_member(
-    points: DataFrame, loans: DataFrame, heavy: HeavyKeys | None = None
+    points: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
 ) -> DataFrame:
-    """Repayment points with every member that has a loan row with the loan id."""
-    return skew.repeat_rows(counted_points_by_member(points, loans, heavy), "times")
+    """``points_by_member_counted`` row by row."""
+    return skew.repeat_rows(points_by_member_counted(points, loans, rows_per_task))
 
 
 def unique_loan_points_by_member(
     repayments: DataFrame,
     loans: DataFrame,
     card: Scorecard = Scorecard(),
-    heavy: HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """``repayment_points_by_member`` with one join instead of two.
 
     Equal to it only where no loan id has several rows in ``loans``.
     """
-    pairs = skew.star_join(
-        loans.select("loan_id", "member_id", "monthly_installment", "funded_amount"),
-        [repayments.select("loan_id", "last_payment_amount", "total_payment_received")],
-        "loan_id",
-        heavy and heavy.loans,
-        "inner",
-    )
-    return pairs.select("member_id", *payment_points(card))
-
-
-def _without_absent_crowds(
-    arms: list[DataFrame], people: DataFrame, heavy: HeavyKeys | None
-) -> list[DataFrame]:
-    """Take members with very many records out of the arms if ``people`` lacks them.
-
-    Such a member is almost always a duplicated one that is no longer among the
-    people. The joins would still move all of its rows to one task. Both lists
-    hold fewer than ``MAX_HEAVY_KEYS`` members.
-    """
-    if heavy is None:
-        return arms
-    crowded = heavy.members.select("member_id")
-    present = (
-        people.select("member_id")
-        .join(F.broadcast(crowded), "member_id", "left_semi")
-        .distinct()
-    )
-    absent = F.broadcast(crowded.join(F.broadcast(present), "member_id", "left_anti"))
-    return [arm.join(absent, "member_id", "left_anti") for arm in arms]
+    pairs, crowded = _pairs(repayments, loans, ("member_id", *_COMPARED), rows_per_task)
+    points = pairs.select("member_id", *payment_points(card), skew.TIMES)
+    return skew.repeat_rows(points, spread=crowded)
 
 
 def _points_of(
@@ -122,37 +105,26 @@ def _points_of(
     loans: DataFrame,
     repayments: DataFrame,
     card: Scorecard,
-    heavy: HeavyKeys | None,
+    rows_per_task: int,
 ) -> DataFrame:
     """Counted repayment points, made only for loan ids that the people have.
 
-    The many copies of one application have a product of pairs of repayment and
-    loan rows. Their member is a bad one, so these pairs are not formed.
+    The many copies of one application have a product of pairs of repayment and loan rows.
+    Their member is a bad one, so these pairs are not formed.
     """
-    wanted = (
-        skew.semi_join(
-            loans.select("loan_id", "member_id"),
-            people,
-            "member_id",
-            heavy and heavy.for_customers(),
-            "left_semi",
-        )
-        .select("loan_id")
-        .distinct()
-    )
+    owners = loans.select("loan_id", "member_id")
+    by_member = skew.crowds(owners, "member_id", rows_per_task)
+    owned = skew.join_few(owners, people.select("member_id"), "member_id", by_member, "left_semi")
+    wanted = skew.write_shared(owned.select("loan_id").distinct(), "wanted-loans")
     loans, repayments = (
-        skew.semi_join(df, wanted, "loan_id", heavy and heavy.for_loans(), "left_semi")
-        for df in (
-            loans.select("loan_id", "member_id", "monthly_installment", "funded_amount"),
-            repayments.select("loan_id", "last_payment_amount", "total_payment_received"),
-        )
-    )
-    return counted_points_by_member(
-        repayment_points(repayments, loans, card, heavy), loans, heavy
+        skew.join_few(table, wanted, "loan_id", skew.crowds(table, "loan_id", rows_per_task), "left_semi")
+        for table in (loans, repayments)
     )
+    points = repayment_points_counted(repayments, loans, card, rows_per_task)
+    return points_by_member_counted(points, loans, rows_per_task)
 
 
-def score_base(
+def score_base_counted(
     customers: DataFrame,
     loans: DataFrame,
     repayments: DataFrame,
@@ -160,20 +132,21 @@ def score_base(
     delinquency: DataFrame,
     records: DataFrame,
     card: Scorecard = Scorecard(),
-    heavy: HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
-    """One row per combination of a member's rows in all five tables.
+    """Different combinations of a member's rows in all five tables, with their number.
 
-    ``bad`` members are left out; pass None when ``customers`` already comes
-    without them. The joins share one partitioning by member and start at the
-    customers, so members without a customer row are gone after the first one.
+    ``bad`` members are left out; pass None when ``customers`` already comes without them.
+    Members that lack a row in any of the tables join nothing; those with very many rows
+    among them are taken out before the joins.
     """
     people = customers.select(
         "member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade"
     )
     if bad is not None:
-        people = good_customers(people, bad, heavy)
-    points = _points_of(people, loans, repayments, card, heavy)
+        people = good_customers(people, bad, rows_per_task)
+    people = skew.write_shared(people, "people")
+    points = skew.write_shared(_points_of(people, loans, repayments, card, rows_per_task), "points")
     arms = [
         records.selectExpr(
             "member_id",
@@ -185,10 +158,8 @@ def score_base(
         loans.select("member_id", "loan_status", "funded_amount"),
         points,
     ]
-    joined = people
-    for arm in _without_absent_crowds(arms, people, heavy):
-        joined = joined.join(arm, "member_id")
-    return skew.repeat_rows(joined, "times").select(
+    joined, _ = skew.counted_join(people, arms, "member_id", "inner", rows_per_task)
+    return joined.select(
         "member_id",
         "last_payment_pts",
         "total_payment_pts",
@@ -202,6 +173,25 @@ def score_base(
         "funded_amount",
         "grade",
         "sub_grade",
+        skew.TIMES,
+    )
+
+
+def score_base(
+    customers: DataFrame,
+    loans: DataFrame,
+    repayments: DataFrame,
+    bad: DataFrame | None,
+    delinquency: DataFrame,
+    records: DataFrame,
+    card: Scorecard = Scorecard(),
+    rows_per_task: int = skew.ROWS_PER_TASK,
+) -> DataFrame:
+    """One row per combination of a member's rows in all five tables."""
+    return skew.repeat_rows(
+        score_base_counted(
+            customers, loans, repayments, bad, delinquency, records, card, rows_per_task
+        )
     )
 
 
@@ -244,12 +234,14 @@ def loan_score(
     delinquency: DataFrame,
     records: DataFrame,
     card: Scorecard = Scorecard(),
-    heavy: HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Score and grade of the members in all of the given tables and not in ``bad``.
 
     Takes any tables of these shapes. From one raw table,
     ``score_applications`` gives the same rows with much less data movement.
     """
-    base = score_base(customers, loans, repayments, bad, delinquency, records, card, heavy)
+    base = score_base(
+        customers, loans, repayments, bad, delinquency, records, card, rows_per_task
+    )
     return graded(score_parts(base, card), card)

@@ -43,8 +43,12 @@ def fill_with_floor_mean(df: DataFrame, column: str) -> DataFrame:
     The mean is a scalar subquery: it stays in the plan, and is not computed
     when the column is not needed.
     """
-    mean = floor_mean(df, column).scalar().cast("int")
-    return df.withColumn(column, F.coalesce(F.col(column), mean))
+    return fill_with(df, column, floor_mean(df, column))
+
+
+def fill_with(df: DataFrame, column: str, mean: DataFrame) -> DataFrame:
+    """Fill nulls of an int column with the value of a one-row table."""
+    return df.withColumn(column, F.coalesce(F.col(column), mean.scalar().cast("int")))
 
 
 def fill_with_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -92,7 +96,14 @@ def numbered_employment(customers: DataFrame) -> DataFrame:
 def clean_customers(customers: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     # The time is the same for all rows, so it can be added after the distinct.
     rows = numbered_employment(with_income(distinct_customers(customers)))
-    filled = fill_with_floor_mean(rows, "emp_length")
+    return finished_customers(rows, floor_mean(rows, "emp_length"), ingest_time)
+
+
+def finished_customers(
+    rows: DataFrame, mean: DataFrame, ingest_time: Column | None = None
+) -> DataFrame:
+    """Numbered customers with an income, their gaps filled, in their final form."""
+    filled = fill_with(rows, "emp_length", mean)
     return stamp_ingest(
         filled.withColumn("address_state", clean.state_code("address_state")), ingest_time
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from creditgrade.operators import skew
 from creditgrade.schema import (
@@ -16,9 +15,62 @@ from creditgrade.schema import (
 )
 
 
-def _merged_copies(df: DataFrame, columns: tuple[str, ...], times: str) -> DataFrame:
-    """Equal rows of a member as one row with their number."""
-    return df.groupBy("member_id", *columns).agg(F.expr(f"count(*) AS {times}"))
+def _counted(
+    customers: DataFrame,
+    loans: DataFrame,
+    repayments: DataFrame,
+    delinquency: DataFrame,
+    records: DataFrame,
+    rows_per_task: int,
+) -> tuple[DataFrame, bool]:
+    """The counted table, and whether there are crowded keys."""
+    paid_loans, crowded = skew.counted_join(
+        loans.select("loan_id", "member_id", *VERIFICATION_LOAN_COLUMNS),
+        [repayments.select("loan_id", *VERIFICATION_REPAYMENT_COLUMNS)],
+        "loan_id",
+        "left",
+        rows_per_task,
+    )
+    # What repayments add to a member's loans has been looked at above, by loan id.
+    owned = [table.select("member_id") for table in (customers, loans, delinquency, records)]
+    parts = skew.crowded_keys(owned, "member_id", rows_per_task, "left")
+    tables = [
+        customers.select(*VERIFICATION_CUSTOMER_COLUMNS),
+        paid_loans,
+        skew.merged(delinquency.select("member_id", *VERIFICATION_DELINQUENCY_COLUMNS)),
+        skew.merged(records.select("member_id", *VERIFICATION_RECORD_COLUMNS)),
+    ]
+    crowded = crowded or parts is not None
+    if crowded:
+        tables = [skew.write_shared(skew.merged(table), "merged") for table in tables]
+        parts = skew.crowded_keys(tables, "member_id", rows_per_task, "left")
+    joined = skew.star_join(tables[0], tables[1:], "member_id", parts, "left").selectExpr(
+        *VERIFICATION_LOAN_KEY,
+        *VERIFICATION_CUSTOMER_COLUMNS,
+        *VERIFICATION_LOAN_COLUMNS,
+        *VERIFICATION_REPAYMENT_COLUMNS,
+        *VERIFICATION_DELINQUENCY_COLUMNS,
+        *VERIFICATION_RECORD_COLUMNS,
+        skew.TIMES,
+    )
+    return joined, crowded
+
+
+def verification_counted(
+    customers: DataFrame,
+    loans: DataFrame,
+    repayments: DataFrame,
+    delinquency: DataFrame,
+    records: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+) -> DataFrame:
+    """Rows of the verification table with the number of times each is there, in ``_times``.
+
+    Where keys are crowded, copies of a member's records become counts before they are
+    joined: a member with many copies of one application has one row here. Repayments join
+    their loans first, so that the other three tables need only one shuffle by member.
+    """
+    return _counted(customers, loans, repayments, delinquency, records, rows_per_task)[0]
 
 
 def verification(
@@ -27,37 +79,14 @@ def verification(
     repayments: DataFrame,
     delinquency: DataFrame,
     records: DataFrame,
-    heavy: skew.HeavyKeys | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Customers with all combinations of their loans, repayments and incidents.
 
-    Repayments join their loans first, so that the other three tables need only
-    one shuffle by member. Equal incident rows travel as one row with a count
-    and are written out at the end.
+    Written out row by row; the rows of a member grow with the fourth power of its
+    applications. ``verification_counted`` holds the same.
     """
-    paid_loans = skew.star_join(
-        loans.select("loan_id", "member_id", *VERIFICATION_LOAN_COLUMNS),
-        [repayments.select("loan_id", *VERIFICATION_REPAYMENT_COLUMNS)],
-        "loan_id",
-        heavy and heavy.loans,
-    )
-    incidents = _merged_copies(delinquency, VERIFICATION_DELINQUENCY_COLUMNS, "_delinquencies")
-    public = _merged_copies(records, VERIFICATION_RECORD_COLUMNS, "_records")
-    joined = skew.star_join(
-        customers.select(*VERIFICATION_CUSTOMER_COLUMNS),
-        [paid_loans, incidents, public],
-        "member_id",
-        heavy and heavy.members,
-    )
-    return skew.repeat_rows(
-        joined.selectExpr(
-            *VERIFICATION_LOAN_KEY,
-            *VERIFICATION_CUSTOMER_COLUMNS,
-            *VERIFICATION_LOAN_COLUMNS,
-            *VERIFICATION_REPAYMENT_COLUMNS,
-            *VERIFICATION_DELINQUENCY_COLUMNS,
-            *VERIFICATION_RECORD_COLUMNS,
-            "coalesce(_delinquencies, 1) * coalesce(_records, 1) AS _times",
-        ),
-        "_times",
+    counted, crowded = _counted(
+        customers, loans, repayments, delinquency, records, rows_per_task
     )
+    return skew.repeat_rows(counted, spread=crowded)

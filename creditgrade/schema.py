@@ -59,6 +59,7 @@ MEMBER_KEY_COLUMNS = (
     "sub_grade",
     "verification_status",
 )
+MEMBER_KEY_NUMBERS = ("annual_inc",)
 MEMBER_KEY_SEPARATOR = "||"
 
 # Loan purposes that are kept; any other value becomes OTHER_PURPOSE.

@@ -24,11 +24,11 @@ class Scorecard:
     very_good_rated_pts: int = 650
     excellent_rated_pts: int = 800
     # Upper score limits of grades F, E, D, C and B.
-    unacceptable_grade_pts: int = 750
-    very_bad_grade_pts: int = 1000
-    bad_grade_pts: int = 1500
-    good_grade_pts: int = 2000
-    very_good_grade_pts: int = 2500
+    unacceptable_grade_pts: float = 750
+    very_bad_grade_pts: float = 1000
+    bad_grade_pts: float = 1500
+    good_grade_pts: float = 2000
+    very_good_grade_pts: float = 2500
     # Weights of the three score parts.
     payment_history_weight: float = 0.20
     defaulters_history_weight: float = 0.45
@@ -41,11 +41,15 @@ class Scorecard:
 
     @classmethod
     def from_session(cls, spark: SparkSession, prefix: str = "spark.sql.") -> "Scorecard":
-        """Points and thresholds set in the session, defaults for those that are not."""
+        """Points and thresholds set in the session, defaults for those that are not.
+
+        Thresholds may be fractional.
+        """
         found = {}
         for field in fields(cls):
             if field.name.endswith("_pts"):
                 value = spark.conf.get(prefix + field.name, None)
                 if value is not None:
-                    found[field.name] = int(value)
+                    number = float(value)
+                    found[field.name] = int(number) if number.is_integer() else number
         return cls(**found)
