@@ -1,11 +1,12 @@
 """The fast plans give the rows of the step-by-step ones."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import random_applications, rows_of
 from pyspark.sql import functions as F
 
-from creditgrade.operators import duplicates
-from creditgrade.operators.skew import HeavyKeys
+from creditgrade.operators import duplicates, skew
 from creditgrade.plans import direct, scoring
 from creditgrade.plans.batch import CuratedTables, curate
 from creditgrade.scorecard import Scorecard
@@ -25,7 +26,7 @@ def curated(raw, tmp_path_factory):
     folder = tmp_path_factory.mktemp("curated")
     tables = curate(raw, F.lit("2024-01-01").cast("timestamp"))
     return CuratedTables(
-        **{name: write_parquet(df, str(folder / name)) for name, df in vars(tables).items()}
+        **{name: write_parquet(df, str(folder / name)) for name, df in tables.tables().items()}
     )
 
 
@@ -48,8 +49,9 @@ def plain_verification(t):
     return joined.join(t.delinquency, "member_id", "left").join(t.records, "member_id", "left")
 
 
-def heavy_of(t, min_rows=3):
-    return HeavyKeys.detect(t.loans, t.repayments, t.delinquency, t.records, min_rows)
+def spread(t, rows_per_task=2):
+    """The tables with so few rows per task that many keys are crowded."""
+    return replace(t, rows_per_task=rows_per_task)
 
 
 def plain_bad(t):
@@ -84,54 +86,58 @@ def plain_scores(t, card=Scorecard()):
 
 def test_verification(curated):
     expected = plain_verification(curated)
-    for heavy in (None, heavy_of(curated)):
-        built = curated.verification(heavy)
+    for t in (curated, spread(curated), spread(curated, 30)):
+        built = t.verification()
         assert len(built.columns) == 35
         assert rows_of(built.select(*expected.columns)) == rows_of(expected)
+        counted = t.verification_counted().agg(F.sum(skew.TIMES)).first()[0]
+        assert counted == expected.count()
 
 
-def test_fixture_has_heavy_keys(curated):
-    heavy = heavy_of(curated)
-    assert heavy.loans.count() > 0 and heavy.members.count() > 0
+def test_fixture_has_crowded_keys(curated):
+    loans = skew.crowded_keys([curated.loans, curated.repayments], "loan_id", 2)
+    members = skew.crowds(curated.records, "member_id", 2)
+    assert loans.count() > 0 and members.count() > 0
 
 
 def test_bad_members(curated, bad_rows):
     assert bad_rows
-    for heavy in (None, heavy_of(curated)):
-        assert rows_of(curated.bad_members(heavy)) == bad_rows
+    for t in (curated, spread(curated)):
+        assert rows_of(t.bad_members()) == bad_rows
 
 
 def test_bad_members_of_raw(raw, bad_rows):
     assert rows_of(direct.bad_members(raw)) == bad_rows
-    assert rows_of(direct.bad_members(raw, min_rows=2)) == bad_rows
+    assert rows_of(direct.bad_members(raw, rows_per_task=2)) == bad_rows
 
 
 def test_good_customers_of_raw(raw, curated, bad_rows):
     time = F.lit("2024-01-01").cast("timestamp")
     expected = rows_of(curated.customers.join(plain_bad(curated), "member_id", "left_anti"))
-    for min_rows in (2, 100_000):
-        assert rows_of(direct.good_customers(raw, time, min_rows)) == expected
+    for rows_per_task in (2, 100_000):
+        good = direct.good_customers(raw, time, rows_per_task)
+        assert rows_of(good.select(*curated.customers.columns)) == expected
 
 
 def test_duplicate_verification_members(curated):
     expected = rows_of(duplicates.duplicate_keys(plain_verification(curated)))
-    for heavy in (None, heavy_of(curated)):
-        built = duplicates.duplicate_verification_members(*vars(curated).values(), heavy)
+    for t in (curated, spread(curated)):
+        built = duplicates.duplicate_verification_members(*vars(t).values())
         assert rows_of(built) == expected
 
 
 def test_good_customers(curated):
     bad = plain_bad(curated)
     expected = rows_of(curated.customers.join(bad, "member_id", "left_anti"))
-    for heavy in (None, heavy_of(curated)):
-        assert rows_of(duplicates.good_customers(curated.customers, bad, heavy).select(
-            *curated.customers.columns)) == expected
+    for rows_per_task in (1, 100_000):
+        good = duplicates.good_customers(curated.customers, bad, rows_per_task)
+        assert rows_of(good) == expected
 
 
 def test_direct_score(raw, score_rows):
     assert len(score_rows) > 10
     assert rows_of(direct.score_applications(raw)) == score_rows
-    assert rows_of(direct.score_applications(raw, min_rows=2)) == score_rows
+    assert rows_of(direct.score_applications(raw, rows_per_task=2)) == score_rows
 
 
 def test_direct_score_with_other_weights(raw, curated):
@@ -143,11 +149,12 @@ def test_score_from_tables(curated, score_rows):
     t = curated
     bad = plain_bad(t)
     good = duplicates.good_customers(t.customers, bad)
-    for heavy in (None, heavy_of(t)):
+    for rows_per_task in (2, 100_000):
         for people, left_out in ((good, None), (t.customers, bad)):
             built = scoring.loan_score(
-                people, t.loans, t.repayments, left_out, t.delinquency, t.records, heavy=heavy
-            )
+                people, t.loans, t.repayments, left_out, t.delinquency, t.records,
+                rows_per_task=rows_per_task,
+            )
             assert rows_of(built) == score_rows
 
 
@@ -165,23 +172,23 @@ def test_score_of_duplicated_customers(curated):
     nobody = plain_bad(t).filter("false")
     plain = scoring.loan_score(t.customers, t.loans, t.repayments, None, t.delinquency, t.records)
     for bad in (None, nobody):
-        spread = scoring.loan_score(
-            t.customers, t.loans, t.repayments, bad, t.delinquency, t.records, heavy=heavy_of(t)
+        dealt = scoring.loan_score(
+            t.customers, t.loans, t.repayments, bad, t.delinquency, t.records, rows_per_task=5
         )
-        assert rows_of(spread) == rows_of(plain)
+        assert rows_of(dealt) == rows_of(plain)
 
 
 def test_plans_without_broadcast(raw, curated, bad_rows, score_rows, no_broadcast):
     assert rows_of(direct.score_applications(raw)) == score_rows
-    assert rows_of(direct.score_applications(raw, min_rows=2)) == score_rows
-    assert rows_of(curated.bad_members(heavy_of(curated))) == bad_rows
+    assert rows_of(direct.score_applications(raw, rows_per_task=2)) == score_rows
+    assert rows_of(spread(curated).bad_members()) == bad_rows
 
 
 def test_folded_points_need_unique_loans(spark, sf_dir):
     t = curate(star.applications(spark, sf_dir))
     unique = t.loans.join(duplicates.duplicate_keys(t.loans, "loan_id"), "loan_id", "left_anti")
     t = CuratedTables(t.customers, unique, t.repayments, t.delinquency, t.records)
-    points = scoring.repayment_points(t.repayments, t.loans)
+    points = scoring.repayment_points_counted(t.repayments, t.loans)
     assert rows_of(scoring.unique_loan_points_by_member(t.repayments, t.loans)) == rows_of(
         scoring.repayment_points_by_member(points, t.loans)
     )
@@ -205,7 +212,7 @@ def test_known_row_counts(spark, sf_dir):
     raw = star.applications(spark, sf_dir)
     t = curate(raw)
     bad = t.bad_members()
-    tables = [raw, *vars(t).values(), t.verification(), bad]
+    tables = [raw, *t.tables().values(), t.verification(), bad]
     assert [df.count() for df in tables] == [1508, 1009, 1491, 1443, 1286, 1508, 4433, 337]
     assert duplicates.good_customers(t.customers, bad).count() == 692
     grades = direct.score_applications(raw).groupBy("loan_final_grade").count()
@@ -213,3 +220,20 @@ def test_known_row_counts(spark, sf_dir):
     every = direct.score_applications(raw, Scorecard(grade_weight_scope="all"))
     grades = every.groupBy("loan_final_grade").count()
     assert dict(grades.collect()) == {"D": 23, "E": 170, "F": 371}
+
+
+def test_members_of_a_hot_loan_are_dealt_once(spark):
+    """Dealing keeps one row per member, whatever the number of parts."""
+    members = spark.range(5000).selectExpr("'hot' AS loan_id", "id AS member_id").repartition(3)
+    parts = skew.crowds(members, "loan_id", 100)
+    dealt = skew.with_cells(members, "loan_id", parts.selectExpr("loan_id", "p0", "1L AS p1"), 0)
+    assert dealt.count() == 5000 and dealt.select(skew.CELL).distinct().count() == 50
+
+
+def reads(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_good_customers_read_the_input_few_times(spark, raw):
+    assert reads(direct.good_customers(raw)) <= 4
+    assert reads(direct.score_applications(raw)) <= 4

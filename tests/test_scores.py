@@ -147,3 +147,14 @@ def test_scorecard_from_session(spark):
         assert Scorecard.from_session(spark) == Scorecard(good_rated_pts=501)
     finally:
         spark.conf.unset("spark.sql.good_rated_pts")
+
+
+def test_thresholds_may_be_fractional(spark):
+    spark.conf.set("spark.sql.very_good_grade_pts", "2500.5")
+    try:
+        card = Scorecard.from_session(spark)
+        assert card.very_good_grade_pts == 2500.5
+        row = spark.createDataFrame([(2500.25,)], "s double").select(scores.grade_band("s", card))
+        assert row.first()[0] == "B"
+    finally:
+        spark.conf.unset("spark.sql.very_good_grade_pts")
