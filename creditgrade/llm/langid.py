@@ -245,7 +245,7 @@ def train(
         sample.filter("part > 0").select("lang", "text")
         .mapInArrow(grams, "lang string, gram int, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        .orderBy("lang", "gram").toPandas()
+        .orderBy("lang", "gram").toArrow().to_pandas()
     )
     languages = sorted(counted["lang"].unique().tolist())
     if len(languages) > MAX_LANGUAGES:
@@ -278,7 +278,7 @@ def _calibrated(model: LanguageModel, texts: DataFrame) -> LanguageModel:
 
     found = texts.select("lang", "text").mapInArrow(
         entropies, "lang string, n long, entropy array<double>"
-    ).toPandas()
+    ).toArrow().to_pandas()
     usual, worst, foreign = model.usual.copy(), model.worst.copy(), model.foreign.copy()
     for i, name in enumerate(model.languages):
         value = np.array([row[i] for row in found["entropy"]])

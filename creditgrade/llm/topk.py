@@ -165,7 +165,7 @@ def top_k(
     asked = stored(queries.filter(fine).select("vec_id", "v").distinct(), "topk-asked")
     by_query = asked.groupBy("v").agg(F.min("vec_id").alias("qid"))
     distinct = stored(by_query.selectExpr("qid", "v AS q"), "topk-queries")
-    sample = entries.orderBy(F.xxhash64("v")).limit(_SAMPLE).select("v").toPandas()
+    sample = entries.orderBy(F.xxhash64("v")).limit(_SAMPLE).select("v").toArrow().to_pandas()
     if sample.empty:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     longest = entries.agg(F.max(F.expr("aggregate(v, 0L, (s, x) -> s + x * x)"))).first()[0]
@@ -190,7 +190,7 @@ def top_k(
     rings = placed.groupBy("pivot", "ring").agg(
         F.expr(f"int(ceil(count(*) / {block_rows}))").alias("blocks"),
         F.min("distance").alias("low"), F.max("distance").alias("high"),
-    ).toPandas()
+    ).toArrow().to_pandas()
     blocks = spark.sparkContext.broadcast(
         {(r.pivot, r.ring): (r.blocks, r.low, r.high) for r in rings.itertuples()}
     )

@@ -262,8 +262,8 @@ def _bags(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
         "toxicity-words",
     )
     words = words.distinct()
-    toxic = words.filter("label = 1").select("id", "word").toPandas()
-    clean = words.filter("label = 0").groupBy("word").count().toPandas()
+    toxic = words.filter("label = 1").select("id", "word").toArrow().to_pandas()
+    clean = words.filter("label = 0").groupBy("word").count().toArrow().to_pandas()
     return toxic.sort_values(["id", "word"]), clean.sort_values("word").reset_index(drop=True)
 
 
@@ -356,10 +356,10 @@ def train(
             share = 0.0 + 1e-9
         return ToxicityModel([], np.empty(0, np.int64), np.empty(0, np.float32), 0.0, float(np.log(share / (1 - share))))
     model = _fit(toxic, clean)
-    found = valued(sample.filter("part = 0"), model, "text").select("label", "value").toPandas()
+    found = valued(sample.filter("part = 0"), model, "text").select("label", "value").toArrow().to_pandas()
     found = found[found["value"] > _NONE]
     if found["label"].nunique() < 2:
-        found = valued(sample, model, "text").select("label", "value").toPandas()
+        found = valued(sample, model, "text").select("label", "value").toArrow().to_pandas()
         found = found[found["value"] > _NONE]
     weight = found["label"].map(lambda c: numbers[c] / max(1, (found["label"] == c).sum()))
     weight = (weight / weight.mean()).to_numpy()
