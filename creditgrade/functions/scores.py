@@ -1,4 +1,8 @@
-"""Scorecard rules as column expressions. A comparison with null is never true."""
+"""Scorecard rules as column expressions. A comparison with null is never true.
+
+Fixed values: the limits, status words and letters in these rules have to stay as they are
+for right results.
+"""
 
 from __future__ import annotations
 
