@@ -64,8 +64,8 @@ once AS (
          WHEN 3 THEN 'Late (16-30 days)' WHEN 4 THEN 'Charged Off'
          ELSE 'Default' END AS loan_status,
     CASE k % 4 WHEN 0 THEN 'debt_consolidation' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'car'
-         ELSE 'boat' END AS purpose,
-    NULL::VARCHAR AS title,
+         ELSE CASE WHEN k % 16 = 15 THEN 'Car' ELSE 'boat' END END AS purpose,
+    CASE WHEN k % 5 <> 0 THEN 'loan ' || (k % 17)::VARCHAR END AS title,
     CASE WHEN k % 25 = 0 THEN 0::DOUBLE ELSE highest END AS total_rec_prncp,
     lowest AS total_rec_int,
     returned AS total_rec_late_fee,
@@ -79,7 +79,7 @@ once AS (
     CASE WHEN k % 9 <> 0 THEN open_lines END AS pub_rec,
     k % 2 AS pub_rec_bankruptcies,
     CASE WHEN k % 13 <> 0 THEN k % 5 END AS inq_last_6mths,
-    NULL::DOUBLE AS mths_since_last_record
+    CASE WHEN k % 3 <> 0 THEN (k % 30)::DOUBLE END AS mths_since_last_record
   FROM order_rows
 ),
 raw AS (

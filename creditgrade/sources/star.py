@@ -40,8 +40,8 @@ MAPPING = {
         WHEN 3 THEN 'Late (16-30 days)' WHEN 4 THEN 'Charged Off' ELSE 'Default' END""",
     "purpose": """CASE k % 4
         WHEN 0 THEN 'debt_consolidation' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'car'
-        ELSE 'boat' END""",
-    "title": "CAST(NULL AS STRING)",
+        ELSE IF(k % 16 = 15, 'Car', 'boat') END""",
+    "title": "IF(k % 5 = 0, NULL, 'loan ' || k % 17)",
     "total_rec_prncp": "IF(k % 25 = 0, 0D, highest)",
     "total_rec_int": "lowest",
     "total_rec_late_fee": "returned",
@@ -55,7 +55,7 @@ MAPPING = {
     "pub_rec": "IF(k % 9 = 0, NULL, open_lines)",
     "pub_rec_bankruptcies": "k % 2",
     "inq_last_6mths": "IF(k % 13 = 0, NULL, k % 5)",
-    "mths_since_last_record": "CAST(NULL AS DOUBLE)",
+    "mths_since_last_record": "IF(k % 3 = 0, NULL, CAST(k % 30 AS DOUBLE))",
 }
 
 
