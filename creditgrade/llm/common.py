@@ -54,6 +54,21 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.crc32(text.cast("binary")) % divisor
 
 
+def bounded_sample(rows: DataFrame, group: str, key: str, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows of each group, those with the smallest hashes of the key, with
+    their number from 1 in ``n``.
+
+    Groups are counted first, and of a large one only the rows whose hash lies below a limit
+    are ranked: about twice as many as are asked for, however large the group is.
+    """
+    sizes = stored(rows.groupBy(group).agg(F.count("*").alias("_size")), "sample-sizes")
+    place = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 31))
+    near = rows.join(sizes, group).withColumn("_place", place)
+    near = near.filter(F.col("_place") < F.lit(float(1 << 31)) * (2 * most + 200) / F.col("_size"))
+    rank = f"row_number() OVER (PARTITION BY {group} ORDER BY _place, {key})"
+    return near.withColumn("n", F.expr(rank)).filter(f"n <= {most}").drop("_place", "_size")
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditgrade.llm.common import letter_table, pieces, schema_text, stored
+from creditgrade.llm.common import bounded_sample, letter_table, pieces, schema_text, stored
 
 SAMPLE_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 500
@@ -185,12 +185,10 @@ def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
 
 def _sample(docs: DataFrame, key: str, text: str, lang: str, per_language: int) -> DataFrame:
     """At most ``per_language`` labelled texts of each language, the same ones each time."""
+    labelled = docs.filter(f"{lang} IS NOT NULL AND {text} IS NOT NULL").select(lang, key)
     ids = (
-        docs.filter(f"{lang} IS NOT NULL AND {text} IS NOT NULL")
-        .select(lang, key, F.xxhash64(F.lit(5), key).alias("_place"))
-        .withColumn("_n", F.expr(f"row_number() OVER (PARTITION BY {lang} ORDER BY _place, {key})"))
-        .filter(f"_n <= {per_language}")
-        .selectExpr(f"{key} AS _id", f"{lang} AS _lang", f"_n % {CALIBRATION_PART} AS _part")
+        bounded_sample(labelled, lang, key, per_language, 5)
+        .selectExpr(f"{key} AS _id", f"{lang} AS _lang", f"n % {CALIBRATION_PART} AS _part")
         .dropDuplicates(["_id", "_lang"])
     )
     ids = stored(ids, "langid-ids")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditgrade.llm.common import letter_table, pieces, schema_text, stored
+from creditgrade.llm.common import bounded_sample, letter_table, pieces, schema_text, stored
 
 SAMPLE_PER_CLASS = 2000
 CALIBRATION_PART = 4
@@ -223,12 +223,8 @@ def _sample(
     )
     each = stored(each, "toxicity-labels")
     numbers = {r["label"]: r["count"] for r in each.groupBy("label").count().collect()}
-    chosen = (
-        each.withColumn("place", F.xxhash64(F.lit(9), key))
-        .withColumn("n", F.expr(f"row_number() OVER (PARTITION BY label ORDER BY place, {key})"))
-        .filter(f"n <= {per_class} AND label IN (0, 1)")
-        .selectExpr(f"{key} AS _id", "label", f"n % {CALIBRATION_PART} AS part")
-    )
+    chosen = bounded_sample(each.filter("label IN (0, 1)"), "label", key, per_class, 9)
+    chosen = chosen.selectExpr(f"{key} AS _id", "label", f"n % {CALIBRATION_PART} AS part")
     chosen = stored(chosen, "toxicity-ids")
     texts = docs.join(chosen, F.col(key) == F.col("_id")).select("_id", "label", "part", text)
     return stored(texts.withColumnRenamed(text, "text"), "toxicity-sample"), numbers
