@@ -15,8 +15,8 @@ grow with the data, so a tree goes to the queries of its shard and to no other t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 from itertools import accumulate
 
 import numpy as np
@@ -254,8 +254,13 @@ def near_duplicates(
     A null key stays null and is no one's smallest key unless all are null.
     """
     prints = stored(fingerprints(docs, key, text, width), "simhash-prints")
+    return with_components(prints, links(prints, radius), key)
+
+
+def with_components(prints: DataFrame, linked: DataFrame, key: str) -> DataFrame:
+    """``key``, ``fp`` and ``component`` from the links ``fp`` and ``other``."""
     first = prints.groupBy("fp").agg(F.min(key).alias("_first"))
-    members = components(links(prints, radius))
+    members = components(linked)
     roots = members.union(members.selectExpr("root AS node", "root")).distinct()
     tops = roots.join(first, roots["node"] == first["fp"])
     smallest = tops.groupBy("root").agg(F.min("_first").alias("_smallest"))
@@ -266,8 +271,6 @@ def near_duplicates(
     return prints.join(stored(table, "simhash-components"), "fp").select(key, "fp", "component")
 
 
-
-
 def one_per_component(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2
 ) -> DataFrame:
@@ -275,9 +278,17 @@ def one_per_component(
 
     Of linked rows with one key the smaller hash of the text stays, of equal rows any one.
     """
+    find = partial(near_duplicates, width=width, radius=radius)
+    return one_of_each(docs, find, key, text)
+
+
+def one_of_each(
+    docs: DataFrame, find: Callable[[DataFrame, str, str], DataFrame], key: str, text: str
+) -> DataFrame:
+    """One document of each component that ``find`` gives for (docs, key, text)."""
     columns = docs.columns
     keyed = docs.withColumn("_key", F.struct(key, F.xxhash64(text).alias("text")))
-    found = near_duplicates(keyed, "_key", text, width, radius)
+    found = find(keyed, "_key", text)
     found = stored(found.select("_key", "component"), "simhash-found")
     same = F.col("_key").eqNullSafe(F.col("_gone"))
     gone = found.filter("NOT (_key <=> component)").select(F.col("_key").alias("_gone"))
