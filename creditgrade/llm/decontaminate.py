@@ -1,6 +1,7 @@
 """Benchmark decontamination by SimHash windows.
 
-For every benchmark item, a document is read in windows of as many words as the item has.
+For every benchmark item, a document is read in windows of as many words as the item has; a
+shorter document is one window, so that items with words left out are found as well.
 Windows and items have SimHash fingerprints of their five-word shingles. A multi-index of
 the items' fingerprints finds every item within the radius of a window: it is cut into
 blocks, and fingerprints within the radius agree in one block up to a few bits, all of
@@ -139,11 +140,13 @@ class ItemIndex:
         return at[self.anchors[place] == shingles[at]]
 
     def _search(self, shingles: np.ndarray, size: int, anchored: np.ndarray, best: dict) -> None:
-        """Windows of one size with enough of the anchored shingles."""
+        """Windows of one size with enough of the anchored shingles.
+
+        A text with fewer shingles is one window.
+        """
         n = max(1, size - WORDS + 1)
-        if len(shingles) < n:
-            return
         least = self.similarity * n - 1e-9
+        n = min(n, len(shingles))
         run = np.concatenate([[0], np.cumsum(anchored)])
         starts = np.flatnonzero(run[n:] - run[:-n] >= least)
         if not len(starts):
