@@ -22,6 +22,45 @@ WHERE rank <= 5
 """
 
 
+# Term counts of every document; whole numbers but for the logarithm of a term's weight.
+RANKED_SEARCH = r"""
+WITH cut AS (
+    SELECT doc_id, row_number() OVER () AS r,
+           regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents WHERE text IS NOT NULL
+), held AS (
+    SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM cut WHERE len(terms) > 0
+), total AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM held
+), norm AS (
+    SELECT r, doc_id, 100 - 50 + (50 * n * n_docs) // n_all AS m FROM held, total
+), tfs AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM held) GROUP BY r, term
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), total
+), scored AS (
+    SELECT item_id, r, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM wanted JOIN weighed USING (term) JOIN tfs USING (term) JOIN norm USING (r)
+    GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored WHERE score > 0
+)
+WHERE rank <= 50
+"""
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -67,4 +106,5 @@ FROM matched
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": EXACT_TOPK,
     "op9_license_scan": license_sql(),
+    "op11_lexical_search": RANKED_SEARCH,
 }

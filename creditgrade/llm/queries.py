@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditgrade.llm import (
     decontaminate,
     langid,
+    lexical,
     licenses,
     mixing,
     ngram,
@@ -23,6 +24,7 @@ from creditgrade.llm.common import id_remainder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP_K = 5
+TOP_RANKED = 50
 N_SHARDS = 40
 MAX_REPEATS = 1.25
 SIMHASH_WORDS, SIMHASH_RADIUS = 3, 2
@@ -141,6 +143,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark"), top=TOP_RANKED)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -154,5 +161,6 @@ QUERIES: dict[str, Query] = {
         op8_decontaminate,
         op9_license_scan,
         op10_suffix_dedup,
+        op11_lexical_search,
     )
 }
