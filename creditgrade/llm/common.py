@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditgrade.sources.sinks import write_parquet
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one that the cluster names.
@@ -41,11 +43,22 @@ def mounted(path: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it back: cuts the lineage.
+
+    Rows are counted on the way there and back, so a lost file raises.
+    """
+    return write_parquet(df, scratch_path(df.sparkSession, name))
+
+
+def in_every_shard(pieces_: DataFrame, n_shards: int, piece: bytes) -> DataFrame:
+    """Rows of ``shard`` and ``piece`` with an empty piece for each shard.
+
+    So the task of each shard runs and writes its files, and a file that is not there when it
+    is read is a lost one: reading it raises.
+    """
+    spark = pieces_.sparkSession
+    empty = spark.range(n_shards).select(F.col("id").cast("int").alias("shard"), F.lit(piece).alias("piece"))
+    return pieces_.union(empty)
 
 
 def id_remainder(column: str, divisor: int) -> Column:

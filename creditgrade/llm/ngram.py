@@ -15,7 +15,6 @@ very frequent first words by the whole pair: no shard gets all pairs of one word
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.llm.common import (
+    in_every_shard,
     mix,
     mounted,
     pieces,
@@ -116,6 +116,12 @@ def _packed(columns: dict[str, np.ndarray]) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+_NONE = {"h": np.empty(0, np.uint64), "n": np.empty(0, np.int64)}
+_NO_WORDS = _packed(_NONE)
+_NO_PAIRS = _packed({"h1": _NONE["h"], "h2": _NONE["h"], "n": _NONE["n"]})
+_NO_CONTEXTS = _packed({"h": _NONE["h"]} | {name: _NONE["n"] for name in _SUMS})
+
+
 def _unpacked(pieces_: list[bytes]) -> dict[str, np.ndarray]:
     tables = [pa.ipc.open_stream(piece).read_all() for piece in pieces_]
     names = tables[0].column_names
@@ -230,7 +236,7 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
                          "top": [keys[top].view(np.int64)], "top_n": [n[top]]})
 
     counted = stored(
-        texts.mapInArrow(count_words, _PIECE).groupBy("shard").applyInArrow(
+        in_every_shard(texts.mapInArrow(count_words, _PIECE), n_shards, _NO_WORDS).groupBy("shard").applyInArrow(
             merge_words, "tokens long, words long, top array<long>, top_n array<long>"
         ), "ngram-words",
     )
@@ -259,6 +265,12 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
     def merge_pairs(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         own = _unpacked(table.column("piece").to_pylist())
+        if not len(own["n"]):
+            save_array(f"{folder}/pairs", f"{shard}-hash", own["h1"])
+            save_array(f"{folder}/pairs", f"{shard}-count", own["n"])
+            nothing = pa.array([], pa.list_(pa.int64()))
+            return pa.table([pa.array([], pa.int32()), pa.array([], pa.binary()), nothing,
+                             pa.array([], pa.int64())], ["shard", "piece", "few", "pairs"])
         keys = pair_key(own["h1"], own["h2"])
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
@@ -282,7 +294,8 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
         out = out.append_column("few", pa.array([few] + [[0] * 4] * (out.num_rows - 1)))
         return out.append_column("pairs", pa.array([len(n)] + [0] * (out.num_rows - 1)))
 
-    paired = texts.mapInArrow(count_pairs, _PIECE).groupBy("shard").applyInArrow(
+    paired = in_every_shard(texts.mapInArrow(count_pairs, _PIECE), n_shards, _NO_PAIRS)
+    paired = paired.groupBy("shard").applyInArrow(
         merge_pairs, f"{_PIECE}, few array<long>, pairs long"
     )
     paired = stored(paired, "ngram-pairs")
@@ -299,7 +312,7 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -
                         | {"kmore": [int((different > 2).sum())]})
 
     kinds = stored(
-        paired.select("shard", "piece").groupBy("shard").applyInArrow(
+        in_every_shard(paired.select("shard", "piece"), n_shards, _NO_CONTEXTS).groupBy("shard").applyInArrow(
             merge_contexts, "k1 long, k2 long, k3 long, k4 long, kmore long"
         ), "ngram-contexts",
     )
@@ -323,10 +336,10 @@ class Mapped:
         self.open: dict[str, np.ndarray] = {}
         self.kept: dict[str, np.ndarray] = {}
 
-    def _array(self, name: str) -> np.ndarray | None:
+    def _array(self, name: str) -> np.ndarray:
+        """Every shard has its files, empty ones too: one that is not there raises."""
         if name not in self.open:
-            path = f"{self.model.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            self.open[name] = np.load(f"{self.model.folder}/{name}.npy", mmap_mode="r")
         return self.open[name]
 
     def _find(self, table: str, values: str, keys: np.ndarray, shard: np.ndarray, width: int):
@@ -337,7 +350,7 @@ class Mapped:
         bounds = [*heads.tolist(), len(order)]
         for n, shard_id in enumerate(ids.tolist()):
             hashes = self._array(f"{table}/{shard_id}-hash")
-            if hashes is None or not len(hashes):
+            if not len(hashes):
                 continue
             own = order[bounds[n] : bounds[n + 1]]
             at = np.minimum(np.searchsorted(hashes, keys[own]), len(hashes) - 1)

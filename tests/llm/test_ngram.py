@@ -101,3 +101,18 @@ def test_the_shared_folder_has_to_be_mounted():
     assert mounted("file:///a/b") == mounted("file:/a/b") == mounted("/a/b") == "/a/b"
     with pytest.raises(ValueError):
         mounted("hdfs://x/y")
+
+
+def test_a_lost_file_raises(spark, sf_dir):
+    import glob
+    import os
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = ngram.train(docs, shard_bytes=40_000)
+    assert model.word_shards > 1
+    for table in ("words", "pairs", "contexts"):
+        path = sorted(glob.glob(f"{model.folder}/{table}/*-hash.npy"))[1]
+        os.rename(path, path + ".gone")
+        with pytest.raises(Exception, match="No such file"):
+            ngram.score(docs, model).collect()
+        os.rename(path + ".gone", path)
