@@ -9,8 +9,6 @@ permutation of its documents.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from creditgrade.llm.common import stored
 
 TOKEN = r"[^\\x20\\x09-\\x0D]+"
 PRECISION = 1e-6
+STEPS = 64
 BLOCK_TOKENS = 1_000_000
 _ORDER = 1 << 62
 
@@ -43,28 +42,42 @@ def _weigh(shares: DataFrame, exponent: float) -> DataFrame:
     )
 
 
-def _measure(shares: DataFrame, exponent: float) -> tuple[float, float]:
-    """Entropy of the weights in nats, and the most repetitions of a source.
+def _measured(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
+    """For each exponent the entropy of the weights in nats, and the most repetitions.
 
-    Repetitions are counted at the smallest budget at which no source loses a document.
+    Repetitions are counted at the smallest budget at which no source loses a document. One
+    pass over the sources: with T = sum(p**a), the entropy is ln(T) - a * sum(p**a * ln(p)) / T.
     """
-    row = (
-        _weigh(shares, exponent)
-        .filter("tokens > 0")
+    values = ", ".join(f"{float(a)!r}D" for a in exponents)
+    rows = (
+        shares.filter("tokens > 0")
+        .selectExpr("share", f"posexplode(array({values})) AS (n, a)")
+        .groupBy("n")
         .agg(
-            F.expr("-sum(weight * ln(weight))").alias("entropy"),
-            F.expr("max(weight / share) / min(weight / share)").alias("repeats"),
+            F.expr("ln(sum(pow(share, a))) - first(a) * sum(pow(share, a) * ln(share)) / sum(pow(share, a))")
+            .alias("entropy"),
+            F.expr("max(pow(share, a) / share) / min(pow(share, a) / share)").alias("repeats"),
         )
-        .first()
+        .collect()
     )
-    return row["entropy"] or 0.0, row["repeats"] or 1.0
+    found = {row["n"]: (row["entropy"], row["repeats"]) for row in rows}
+    return [found.get(n, (0.0, 1.0)) for n in range(len(exponents))]
+
 
+def _bisect(shares: DataFrame, measure: int, least: bool, limit: float, good: float, bad: float) -> float:
+    """The exponent nearest to ``bad`` whose measure still keeps the limit.
 
-def _bisect(meets: Callable[[float], bool], good: float, bad: float) -> float:
-    """The exponent nearest to ``bad`` that still meets a condition."""
+    A pass halves the interval as often as STEPS has powers of two: all the middles that the
+    halvings could look at are measured together.
+    """
     while abs(bad - good) > PRECISION:
-        middle = (good + bad) / 2
-        good, bad = (middle, bad) if meets(middle) else (good, middle)
+        between = [good + (bad - good) * k / STEPS for k in range(STEPS + 1)]
+        found = [m[measure] >= limit if least else m[measure] <= limit for m in _measured(shares, between)]
+        low, high = 0, STEPS
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if found[middle] else (low, middle)
+        good, bad = between[low], between[high]
     return good
 
 
@@ -78,10 +91,10 @@ def bisect_exponent(
     1. Entropy and repetitions both fall as the exponent grows.
     """
     exponent = 1.0 if max_repeats is None or target_entropy is not None else 0.0
-    if target_entropy is not None and _measure(shares, 1.0)[0] < target_entropy:
-        exponent = _bisect(lambda a: _measure(shares, a)[0] >= target_entropy, 0.0, 1.0)
-    if max_repeats is not None and _measure(shares, exponent)[1] > max_repeats:
-        exponent = _bisect(lambda a: _measure(shares, a)[1] <= max_repeats, 1.0, exponent)
+    if target_entropy is not None and _measured(shares, [1.0])[0][0] < target_entropy:
+        exponent = _bisect(shares, 0, True, target_entropy, 0.0, 1.0)
+    if max_repeats is not None and _measured(shares, [exponent])[0][1] > max_repeats:
+        exponent = _bisect(shares, 1, False, max_repeats, 1.0, exponent)
     return exponent
 
 
@@ -113,11 +126,13 @@ def plan_mix(
     weights = _weigh(shares, bisect_exponent(shares, target_entropy, max_repeats))
     if budget_tokens is None:
         budget = weights.agg(F.expr("max(try_divide(tokens, weight))")).scalar()
+        # Doubles round; no source gets less than its tokens, or it would lose documents.
+        least = "tokens"
     else:
-        budget = F.lit(float(budget_tokens))
+        budget, least = F.lit(float(budget_tokens)), "0L"
     plan = (
         weights.withColumn("_budget", budget)
-        .withColumn("budget", F.expr("bigint(coalesce(_budget * weight, 0) + 1e-6)"))
+        .withColumn("budget", F.expr(f"greatest({least}, bigint(coalesce(_budget * weight, 0) + 1e-6))"))
         .withColumn("passes", F.expr("IF(tokens > 0, budget DIV tokens, 1)"))
         .withColumn("rest", F.expr("budget - passes * tokens"))
         .withColumn("width", F.expr(f"{_ORDER}D / greatest(1, tokens DIV {block_tokens})"))

@@ -61,3 +61,58 @@ def test_edges(spark):
     assert [r["copies"] for r in mixing.with_copies(empty, plan).collect()] == [1, 1, 1]
     texts = spark.createDataFrame([(None,), ("",), ("a  b\tc\nd",)], "text string")
     assert [r[0] for r in texts.select(mixing.n_tokens("text")).collect()] == [0, 0, 4]
+
+
+def test_no_document_is_lost_to_rounding(spark):
+    """Budgets of sources with up to 10**13 tokens, against whole numbers."""
+    import random
+
+    rng = random.Random(4)
+    for n in range(6):
+        counts = [rng.randrange(5 * 10**10, 10**13) for _ in range(5)]
+        rows = [(i, f"s{i}", count) for i, count in enumerate(counts)]
+        docs = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long")
+        plan = mixing.plan_mix(docs, max_repeats=1 + rng.random())
+        found = {r["source"]: r for r in plan.collect()}
+        assert all(found[s]["budget"] >= t and found[s]["passes"] >= 1 for _, s, t in rows)
+        assert all(r["copies"] >= 1 for r in mixing.with_copies(docs, plan).collect())
+
+
+def plain_copies(rows, exponent, block_tokens, order, seed=7):
+    """The mix by its definition: weights, budgets, passes and the blocks of a permutation."""
+    tokens = {}
+    for _, source, n in rows:
+        tokens[source] = tokens.get(source, 0) + n
+    total = sum(tokens.values())
+    raised = {s: (n / total) ** exponent for s, n in tokens.items()}
+    weight = {s: r / sum(raised.values()) for s, r in raised.items()}
+    budget = max(n / weight[s] for s, n in tokens.items())
+    copies = {}
+    for source, n in tokens.items():
+        own = max(n, int(budget * weight[source] + 1e-6))
+        passes, rest = divmod(own, n)
+        width = mixing._ORDER / max(1, n // block_tokens)
+        placed = sorted((order[key], key, m) for key, s, m in rows if s == source)
+        copies |= {key: passes for _, key, _ in placed}
+        used, closed = 0, False
+        for block in sorted({int(place / width) for place, _, _ in placed}):
+            inside = [p for p in placed if int(p[0] / width) == block]
+            for _, key, m in inside:
+                closed |= used + m > rest
+                if not closed:
+                    used += m
+                    copies[key] += 1
+    return copies
+
+
+@pytest.mark.parametrize("block_tokens", [200, 10**6])
+def test_copies_by_definition(spark, block_tokens):
+    docs = slim(spark, COUNTS)
+    plan = mixing.plan_mix(docs, max_repeats=1.7, block_tokens=block_tokens)
+    shares = plan.select("source", "tokens", "share")
+    exponent = mixing.bisect_exponent(shares, max_repeats=1.7)
+    rows = [tuple(r) for r in docs.collect()]
+    order = {r[0]: r[1] for r in docs.select("doc_id", mixing.permuted("doc_id", 7)).collect()}
+    expected = plain_copies(rows, exponent, block_tokens, order)
+    found = {r["doc_id"]: r["copies"] for r in mixing.with_copies(docs, plan).collect()}
+    assert found == expected
