@@ -15,8 +15,8 @@ grow with the data, so a tree goes to the queries of its shard and to no other t
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -277,26 +277,23 @@ def one_per_component(
     """The documents of which no linked one has a smaller key; one row of each component.
 
     Of linked rows with one key the smaller hash of the text stays, of equal rows any one.
+    Texts are not shuffled unless such rows are there. Column names that begin with
+    ``_simhash`` are reserved.
     """
-    find = partial(near_duplicates, width=width, radius=radius)
-    return one_of_each(docs, find, key, text)
-
-
-def one_of_each(
-    docs: DataFrame, find: Callable[[DataFrame, str, str], DataFrame], key: str, text: str
-) -> DataFrame:
-    """One document of each component that ``find`` gives for (docs, key, text)."""
     columns = docs.columns
-    keyed = docs.withColumn("_key", F.struct(key, F.xxhash64(text).alias("text")))
-    found = find(keyed, "_key", text)
-    found = stored(found.select("_key", "component"), "simhash-found")
-    same = F.col("_key").eqNullSafe(F.col("_gone"))
-    gone = found.filter("NOT (_key <=> component)").select(F.col("_key").alias("_gone"))
+    if taken := [name for name in columns if name.lower().startswith("_simhash")]:
+        raise ValueError(f"reserved column names: {taken}")
+    own, other, number = "_simhash_key", "_simhash_gone", "_simhash_n"
+    keyed = docs.withColumn(own, F.struct(key, F.xxhash64(text).alias("text")))
+    found = near_duplicates(keyed.select(own, text), own, text, width, radius)
+    found = stored(found.select(own, "component"), "simhash-found")
+    same = F.col(own).eqNullSafe(F.col(other))
+    gone = found.filter(f"NOT ({own} <=> component)").select(F.col(own).alias(other))
     kept = keyed.join(stored(gone.distinct(), "simhash-gone"), same, "left_anti")
-    again = stored(found.groupBy("_key").count().filter("count > 1"), "simhash-again")
+    again = stored(found.groupBy(own).count().filter("count > 1"), "simhash-again")
     if again.isEmpty():
         return kept.select(*columns)
-    again = again.select(F.col("_key").alias("_gone"))
-    first = "row_number() OVER (PARTITION BY _key ORDER BY _key)"
-    repeated = kept.join(again, same, "left_semi").withColumn("_n", F.expr(first)).filter("_n = 1")
+    again = again.select(F.col(own).alias(other))
+    first = f"row_number() OVER (PARTITION BY {own} ORDER BY {own})"
+    repeated = kept.join(again, same, "left_semi").withColumn(number, F.expr(first)).filter(f"{number} = 1")
     return kept.join(again, same, "left_anti").select(*columns).union(repeated.select(*columns))

@@ -78,3 +78,23 @@ def test_empty_and_repeated(spark):
     assert sorted(map(tuple, found), key=str) == sorted(
         [(1, 1), (1, 1), (None, 1), (7, 7)], key=str
     )
+
+
+def test_one_per_component(spark):
+    rows = [(i, t, "k", i) for i, t in enumerate(texts(60))]
+    rows += [rows[12], rows[12], (12, rows[13][1], "k", 0), (None, rows[13][1], "k", 0), (500, "x y " * 100_000, "k", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, fp long").repartition(3)
+    left = simhash.one_per_component(docs)
+    assert left.columns == docs.columns
+    top = components({i: fingerprint(r[1], 3) for i, r in enumerate(rows)}, 2)
+    groups = {}
+    for i, root in top.items():
+        groups.setdefault(root, []).append(rows[i])
+    found = left.collect()
+    # A null key is smaller than any other here: struct order has nulls first.
+    smallest = [min((r[0] for r in g), key=lambda k: (k is not None, k or 0)) for g in groups.values()]
+    assert sorted((r["doc_id"] for r in found), key=repr) == sorted(smallest, key=repr)
+    assert {(r["doc_id"], r["text"]) for r in found} <= {r[:2] for r in rows}
+    assert simhash.one_per_component(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="reserved"):
+        simhash.one_per_component(docs.withColumnRenamed("_key", "_simhash_key"))
