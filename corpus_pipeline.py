@@ -1,7 +1,7 @@
 """A training corpus from raw documents: five stages, each one operator over all documents.
 
 1. Language: documents in none of the known languages, and those without letters, go.
-2. Near copies: one document of each group linked by the similarity of its shingles stays.
+2. Near copies: one document of each group linked by their SimHash fingerprints stays.
 3. Decontamination: documents that hold a benchmark item go.
 4. Mixing: sources are repeated towards the target weights; every document stays.
 5. Sharding: each row gets its shard and its place in it.
@@ -15,11 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditgrade.llm import decontaminate, langid, mixing, near_copies, sharding
+from creditgrade.llm import decontaminate, langid, mixing, sharding, simhash
 from creditgrade.llm.common import stored
-from creditgrade.llm.queries import MAX_REPEATS, N_SHARDS, table
-
-COPY_WORDS, COPY_SIMILARITY = 5, 0.8
+from creditgrade.llm.queries import MAX_REPEATS, N_SHARDS, SIMHASH_RADIUS, SIMHASH_WORDS, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +33,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Texts are linked where their five-word shingles reach the similarity 0.8.
+    Linked by the SimHash operator at its own shingle length and bit distance.
     """
-    return near_copies.one_of_each(docs, width=COPY_WORDS, similarity=COPY_SIMILARITY)
+    return simhash.one_per_component(docs, width=SIMHASH_WORDS, radius=SIMHASH_RADIUS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
