@@ -61,6 +61,71 @@ WHERE rank <= 50
 """
 
 
+# Every node by the list of its turns; crc32 from its definition, as SQL has no such function.
+PREFIX_TRIE = r"""
+WITH RECURSIVE crc_table(n, k, c) AS (
+    SELECT CAST(i AS BIGINT), 0, CAST(i AS BIGINT) FROM range(256) t(i)
+    UNION ALL
+    SELECT n, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_table WHERE k < 8
+), crc_list AS (
+    SELECT list(c ORDER BY n) AS cells FROM crc_table WHERE k = 8
+), own AS (
+    SELECT conv_id, row_number() OVER (
+               PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))
+           ) AS place,
+           coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, n, conv_id - conv_id % 20 AS base,
+           xor(list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda a, b: xor(a >> 8, cells[1 + xor(a & 255, b)])
+           ), 4294967295) % 4 AS h
+    FROM (SELECT conv_id, max(place) AS n FROM own GROUP BY conv_id), crc_list
+), shifted AS (
+    SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS taken
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), rebuilt AS (
+    SELECT s.conv_id, o.place, o.role, o.text FROM shifted s JOIN own o ON o.conv_id = s.base AND o.place <= s.h
+    UNION ALL
+    SELECT s.conv_id, o.place - s.h + s.taken, o.role, o.text
+    FROM shifted s JOIN own o ON o.conv_id = s.conv_id AND o.place > s.h
+), seqs AS (
+    SELECT s.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.place) FILTER (r.place IS NOT NULL), []) AS turns
+    FROM shifted s LEFT JOIN rebuilt r ON r.conv_id = s.conv_id GROUP BY s.conv_id
+), members AS (
+    SELECT conv_id, CAST(depth AS BIGINT) AS depth, turns[1:depth] AS prefix, len(turns) AS whole
+    FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM seqs)
+), nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+           string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole = depth) AS ends
+    FROM members GROUP BY depth, prefix
+), owned AS (
+    SELECT m.conv_id AS member, m.depth, n.conv_id FROM members m JOIN nodes n ON n.depth = m.depth AND n.prefix = m.prefix
+), linked AS (
+    SELECT n.conv_id, n.depth, n.n_convs, n.ends, p.conv_id AS parent_conv_id,
+           CASE WHEN n.depth = 0 THEN 0
+                ELSE (n.n_convs - 1) * len(regexp_extract_all(n.prefix[-1].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM nodes n LEFT JOIN owned p ON p.member = n.conv_id AND p.depth = n.depth - 1
+), children AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children
+    FROM linked WHERE depth > 0 GROUP BY 1, 2
+), counted AS (
+    SELECT l.*, coalesce(c.n_children, 0) AS n_children
+    FROM linked l LEFT JOIN children c ON c.conv_id = l.conv_id AND c.depth = l.depth
+), subtrees AS (
+    SELECT a.conv_id, a.depth, CAST(count(*) FILTER (d.n_children = 0) AS BIGINT) AS n_leaves,
+           CAST(sum(d.saved) AS BIGINT) AS saved_tokens
+    FROM counted d JOIN owned a ON a.member = d.conv_id AND a.depth <= d.depth
+    GROUP BY a.conv_id, a.depth
+)
+SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens,
+       sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM counted c JOIN subtrees s ON s.conv_id = c.conv_id AND s.depth = c.depth
+"""
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -107,4 +172,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_topk": EXACT_TOPK,
     "op9_license_scan": license_sql(),
     "op11_lexical_search": RANKED_SEARCH,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

@@ -14,6 +14,7 @@ from creditgrade.llm import (
     licenses,
     mixing,
     ngram,
+    prefix_trie,
     sharding,
     simhash,
     suffix_dedup,
@@ -148,6 +149,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(docs, table(spark, sf_dir, "benchmark"), top=TOP_RANKED)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -162,5 +167,6 @@ QUERIES: dict[str, Query] = {
         op9_license_scan,
         op10_suffix_dedup,
         op11_lexical_search,
+        op12_prefix_trie,
     )
 }
