@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditgrade.llm import (
+    boilerplate,
     decontaminate,
     langid,
     lexical,
@@ -153,6 +154,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = boilerplate.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return boilerplate.judge(docs, model, keep=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -168,5 +175,6 @@ QUERIES: dict[str, Query] = {
         op10_suffix_dedup,
         op11_lexical_search,
         op12_prefix_trie,
+        op13_quality_rules,
     )
 }
