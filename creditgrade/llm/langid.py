@@ -141,22 +141,23 @@ class Scanner:
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.symbols = _alphabet_table(model.alphabet)
-        self.place = np.full(_KEYS, -1, np.int32)
+        # From 1, 0 for grams not seen: pages of the table that hold none take no memory.
+        self.place = np.zeros(_KEYS, np.int32)
         self.values = np.empty((0, len(model.languages)), np.float32)
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text the nats per symbol in each language, its symbols and its letters."""
         keys, starts, letters = _grams(texts, self.symbols)
-        new = np.unique(keys[self.place[keys] < 0])
+        new = np.unique(keys[self.place[keys] == 0])
         if len(new):
-            self.place[new] = np.arange(len(self.values), len(self.values) + len(new))
+            self.place[new] = np.arange(len(self.values), len(self.values) + len(new)) + 1
             fresh = [model.surprise(new).astype(np.float32) for model in self.model.models]
             self.values = np.concatenate([self.values, np.stack(fresh, axis=1)])
         n = np.diff(starts)
         sums = np.zeros((len(texts), len(self.model.languages)))
         some = np.flatnonzero(n)
         if len(some):
-            nats = self.values[self.place[keys]]
+            nats = self.values[self.place[keys] - 1]
             sums[some] = np.add.reduceat(nats, starts[some], axis=0, dtype=np.float64)
         return sums / np.maximum(n, 1)[:, None], n, letters
 
