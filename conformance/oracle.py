@@ -406,10 +406,10 @@ RESULTS = {
 }
 
 # The same results by other plans: few rows per task, other sources, written tables.
+COUNTED = "*, count(*) AS _times FROM verification GROUP BY ALL"
 RESULTS |= {
     "id_member_hash_csv": RESULTS["id_member_hash"],
     "table_verification_spread": RESULTS["table_verification"],
-    "verification_counted": "*, count(*) AS _times FROM verification GROUP BY ALL",
     "table_bad_members_spread": RESULTS["table_bad_members"],
     "bad_members_spread": RESULTS["table_bad_members"],
     "repayment_points_counted": """loan_id, last_payment_pts, total_payment_pts,
@@ -418,6 +418,14 @@ RESULTS |= {
     "score_base_spread": RESULTS["score_base"],
     "loan_score_spread": RESULTS["loan_score"],
     "batch_customers": RESULTS["table_customers"],
+    "verification_counted": COUNTED,
+    "verification_counted_spread": COUNTED,
+    "batch_verification": COUNTED,
+    "batch_factorised": RESULTS["table_verification"],
+    "batch_repayments": RESULTS["table_repayments"],
+    "batch_delinquency": RESULTS["table_delinquency"],
+    "batch_records": RESULTS["table_records_enquiries"],
+    "verification_factorised": RESULTS["table_verification"],
     "batch_loans": RESULTS["table_loans"],
     "batch_bad_members": RESULTS["table_bad_members"],
     "batch_good_customers": RESULTS["table_good_customers"],

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from creditgrade.functions import cleaning as clean
 from creditgrade.functions import scores
 from creditgrade.operators import duplicates, projections, skew
+from creditgrade.operators.statistics import KeyStatistics, application_statistics
 from creditgrade.plans import batch, direct, scoring, tables
+from creditgrade.plans.verification import expanded
 from creditgrade.schema import (
     CUSTOMER_FIELDS,
     DEFAULTER_FIELDS,
@@ -35,29 +37,33 @@ def ingest_time() -> Column:
 # So few rows of a key per task that the test tables have many crowded keys.
 FEW_ROWS = 4
 # Applications with their keys that were written before: by session and tables.
-_written: dict[tuple[str, str], DataFrame] = {}
+_written: dict[tuple[str, str], tuple[DataFrame, KeyStatistics]] = {}
+# Folders of batches, likewise.
+_batches: dict[tuple[str, str], str] = {}
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.with_member_id(star.applications(spark, sf_dir))
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The applications with their keys, written once for all queries of a session.
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, KeyStatistics]:
+    """The applications with their keys and their statistics, once for all queries of a session.
 
     Otherwise each of the curated tables would derive them anew.
     """
     about = (spark.sparkContext.applicationId, sf_dir)
     if about not in _written:
         keyed = projections.keyed_applications(star.applications(spark, sf_dir))
-        _written[about] = sinks.write_shared(keyed, "applications")
+        stored = sinks.write_shared(keyed, "applications")
+        _written[about] = stored, application_statistics(stored)
     return _written[about]
 
 
 def _curated(
     spark: SparkSession, sf_dir: str, rows_per_task: int = skew.ROWS_PER_TASK
 ) -> batch.CuratedTables:
-    return batch.curate_keyed(_stored(spark, sf_dir), ingest_time(), rows_per_task)
+    stored, statistics = _stored(spark, sf_dir)
+    return batch.curate_keyed(stored, ingest_time(), rows_per_task, statistics)
 
 
 # Sources, catalog, sinks
@@ -108,16 +114,31 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.run_batch(raw, shared_folder(spark), CARD, ingest_time())
 
 
+def _batch_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The output of one whole batch, run once for all queries of a session."""
+    about = (spark.sparkContext.applicationId, sf_dir)
+    if about not in _batches:
+        folder = shared_folder(spark)
+        raw = star.applications(spark, sf_dir)
+        batch.run_batch(raw, folder, CARD, ingest_time(), with_verification=True)
+        _batches[about] = folder
+    return _batches[about]
+
+
 def _batch_table(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = shared_folder(spark)
-        batch.run_batch(star.applications(spark, sf_dir), folder, CARD, ingest_time())
-        return spark.read.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{_batch_folder(spark, sf_dir)}/{name}")
 
     query.__name__ = f"batch_{name}"
     return query
 
 
+def batch_factorised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the written factorised table stands for."""
+    folder = _batch_folder(spark, sf_dir)
+    return expanded(spark.read.parquet(f"{folder}/verification_factorised"))
+
+
 # Identity and projections
 
 
@@ -298,7 +319,7 @@ def agg_floor_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dup_keys_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return duplicates.duplicate_verification_members(*curated.tables().values())
+    return duplicates.duplicate_verification_members(*vars(curated).values())
 
 
 def dup_keys_delinquency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,8 +339,16 @@ def table_verification_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verification_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counted rows; a row of the counted form is one row whatever way it was counted."""
-    return skew.merged(_curated(spark, sf_dir).verification_counted())
+    return _curated(spark, sf_dir).verification_counted()
+
+
+def verification_counted_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _curated(spark, sf_dir, FEW_ROWS).verification_counted()
+
+
+def verification_factorised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the factorised table stands for."""
+    return expanded(_curated(spark, sf_dir).verification_factorised())
 
 
 def table_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,24 +378,32 @@ def table_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def good_customers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return duplicates.good_customers(curated.customers, curated.bad_members())
+    return duplicates.good_customers(
+        curated.customers, curated.bad_members(), statistics=curated.statistics
+    )
 
 
 def join_repayment_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return scoring.repayments_with_loans(curated.repayments, curated.loans)
+    return scoring.repayments_with_loans(
+        curated.repayments, curated.loans, statistics=curated.statistics
+    )
 
 
 def repayment_points_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
-    return scoring.repayment_points_counted(curated.repayments, curated.loans, CARD)
+    return scoring.repayment_points_counted(
+        curated.repayments, curated.loans, CARD, statistics=curated.statistics
+    )
 
 
 def _repayment_member(curated: batch.CuratedTables) -> DataFrame:
     points = scoring.repayment_points_counted(
-        curated.repayments, curated.loans, CARD, curated.rows_per_task
+        curated.repayments, curated.loans, CARD, curated.rows_per_task, curated.statistics
+    )
+    return scoring.repayment_points_by_member(
+        points, curated.loans, curated.rows_per_task, curated.statistics
     )
-    return scoring.repayment_points_by_member(points, curated.loans, curated.rows_per_task)
 
 
 def join_repayment_member(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,7 +423,7 @@ def _score_base(curated: batch.CuratedTables) -> DataFrame:
     bad = sinks.write_shared(curated.bad_members(), "bad-members")
     return scoring.score_base(
         curated.customers, curated.loans, curated.repayments, bad, curated.delinquency,
-        curated.records, CARD, curated.rows_per_task,
+        curated.records, CARD, curated.rows_per_task, curated.statistics,
     )
 
 
@@ -536,6 +573,11 @@ QUERIES: dict[str, Query] = {
         _batch_table("loans"),
         _batch_table("bad_members"),
         _batch_table("good_customers"),
+        _batch_table("repayments"),
+        _batch_table("delinquency"),
+        _batch_table("records"),
+        _batch_table("verification"),
+        batch_factorised,
         id_member_hash,
         id_member_hash_csv,
         proj_customers,
@@ -570,6 +612,8 @@ QUERIES: dict[str, Query] = {
         table_verification,
         table_verification_spread,
         verification_counted,
+        verification_counted_spread,
+        verification_factorised,
         table_bad_members,
         table_bad_members_spread,
         bad_members_from_tables,

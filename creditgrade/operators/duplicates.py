@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditgrade.operators import skew
+from creditgrade.operators.statistics import KeyStatistics
 
 
 def duplicate_keys(df: DataFrame, key: str = "member_id") -> DataFrame:
@@ -46,6 +47,7 @@ def _member_counts(
     delinquency: DataFrame,
     records: DataFrame,
     rows_per_task: int,
+    statistics: KeyStatistics | None,
 ) -> DataFrame:
     """Per member, its rows in each table and its loans with several repayment rows."""
     tables = {
@@ -53,14 +55,17 @@ def _member_counts(
         "loans": loans,
         "delinquency": delinquency,
         "records": records,
-        "repaid_twice": loans_repaid_twice(loans, repayments, rows_per_task),
+        "repaid_twice": loans_repaid_twice(loans, repayments, rows_per_task, statistics),
     }
     rows = reduce(DataFrame.union, (_counted(df, name) for name, df in tables.items()))
     return rows.groupBy("member_id").agg(*(F.expr(f"sum({c}) AS {c}") for c in _COUNTED))
 
 
 def loans_repaid_twice(
-    loans: DataFrame, repayments: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+    loans: DataFrame,
+    repayments: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Members of the loans whose loan id has several repayment rows, with their number."""
     owners = skew.merged(loans.select("loan_id", "member_id"))
@@ -68,7 +73,7 @@ def loans_repaid_twice(
         owners,
         duplicate_keys(repayments, "loan_id"),
         "loan_id",
-        skew.crowds(owners, "loan_id", rows_per_task),
+        skew.crowds(owners, "loan_id", rows_per_task, statistics),
         "left_semi",
     ).select("member_id", skew.TIMES)
 
@@ -88,9 +93,12 @@ def duplicate_verification_members(
     delinquency: DataFrame,
     records: DataFrame,
     rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Members with several verification rows, without building that table."""
-    counts = _member_counts(customers, loans, repayments, delinquency, records, rows_per_task)
+    counts = _member_counts(
+        customers, loans, repayments, delinquency, records, rows_per_task, statistics
+    )
     return counts.filter(_SEVERAL_IN_VERIFICATION).select("member_id")
 
 
@@ -101,23 +109,29 @@ def bad_members_from_tables(
     delinquency: DataFrame,
     records: DataFrame,
     rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """``bad_members`` of the verification table of these five tables.
 
     Gives the same set without building the verification table, whose rows per
     member grow with the fourth power of the member's applications.
     """
-    counts = _member_counts(customers, loans, repayments, delinquency, records, rows_per_task)
+    counts = _member_counts(
+        customers, loans, repayments, delinquency, records, rows_per_task, statistics
+    )
     return counts.filter(
         f"({_SEVERAL_IN_VERIFICATION}) OR greatest(delinquency, records) > 1"
     ).select("member_id")
 
 
 def good_customers(
-    customers: DataFrame, bad: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+    customers: DataFrame,
+    bad: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Customers that are not in the bad set."""
-    parts = skew.crowds(customers, "member_id", rows_per_task)
+    parts = skew.crowds(customers, "member_id", rows_per_task, statistics)
     return skew.join_few(customers, bad.select("member_id"), "member_id", parts, "left_anti").select(
         *customers.columns
     )

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditgrade.operators.statistics import KeyStatistics
 from creditgrade.sources.sinks import write_shared
 
 # Rows that one task should make of one key.
@@ -32,7 +33,11 @@ _STEP = 4096
 
 
 def crowded_keys(
-    tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK, how: str = "inner"
+    tables: Sequence[DataFrame],
+    key: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    how: str = "inner",
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame | None:
     """The crowded keys of a join of tables, with the parts of each table; None if none.
 
@@ -40,7 +45,14 @@ def crowded_keys(
     and can be left out. All tables are counted in one grouping, merged before its shuffle.
     A null key joins nothing, but a left join keeps its rows, so it is counted too. The
     list is written to the shared folder once.
+
+    ``statistics`` are those of rows that give a key no fewer rows than each of the tables. They
+    spare the counting where no key can be crowded, and else all keys but the heavy ones.
     """
+    if statistics is not None:
+        if statistics.never_above(key, len(tables), rows_per_task):
+            return None
+        tables = [statistics.candidates(table, key, len(tables), rows_per_task) for table in tables]
     numbers = range(len(tables))
     tagged = [
         table.selectExpr(key, *(f"{int(n == m)} AS n{m}" for m in numbers))
@@ -166,6 +178,7 @@ def counted_join(
     key: str,
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> tuple[DataFrame, bool]:
     """``star_join`` of any tables: finds crowded keys, and merges copies if there are any.
 
@@ -176,17 +189,22 @@ def counted_join(
     the tables are merged and stored, and what is still crowded then is dealt over a grid.
     """
     tables = [center, *arms]
-    parts = crowded_keys(tables, key, rows_per_task, how)
+    parts = crowded_keys(tables, key, rows_per_task, how, statistics)
     crowded = parts is not None
     if crowded:
         tables = [write_shared(merged(table), "merged") for table in tables]
-        parts = crowded_keys(tables, key, rows_per_task, how)
+        parts = crowded_keys(tables, key, rows_per_task, how, statistics)
     return star_join(tables[0], tables[1:], key, parts, how), crowded
 
 
-def crowds(center: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+def crowds(
+    center: DataFrame,
+    key: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
+) -> DataFrame | None:
     """Crowded keys of one table, for ``join_few``."""
-    return crowded_keys([center], key, rows_per_task)
+    return crowded_keys([center], key, rows_per_task, statistics=statistics)
 
 
 def join_few(

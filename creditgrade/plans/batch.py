@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 
 from creditgrade.operators import duplicates, projections, skew
 from creditgrade.plans import direct, tables
-from creditgrade.plans.verification import verification, verification_counted
+from creditgrade.operators.statistics import KeyStatistics, application_statistics
+from creditgrade.plans.verification import (
+    verification,
+    verification_counted,
+    verification_factorised,
+)
 from creditgrade.scorecard import Scorecard
 from creditgrade.sources.sinks import write_parquet
 
 
 @dataclass(frozen=True)
 class CuratedTables:
-    """The five tables; their joins make about ``rows_per_task`` rows of a key in one task."""
+    """The five tables; their joins make about ``rows_per_task`` rows of a key in one task.
+
+    ``statistics`` of the rows that the tables come from spare the joins counting their keys.
+    """
 
     customers: DataFrame
     loans: DataFrame
@@ -24,9 +32,11 @@ class CuratedTables:
     delinquency: DataFrame
     records: DataFrame
     rows_per_task: int = skew.ROWS_PER_TASK
+    statistics: KeyStatistics | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: value for name, value in vars(self).items() if name != "rows_per_task"}
+        others = ("rows_per_task", "statistics")
+        return {name: value for name, value in vars(self).items() if name not in others}
 
     def bad_members(self) -> DataFrame:
         return duplicates.bad_members_from_tables(*vars(self).values())
@@ -37,6 +47,9 @@ class CuratedTables:
     def verification_counted(self) -> DataFrame:
         return verification_counted(*vars(self).values())
 
+    def verification_factorised(self) -> DataFrame:
+        return verification_factorised(*vars(self).values())
+
 
 def curate(raw: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
     """The five cleaned tables of a raw application table."""
@@ -44,7 +57,10 @@ def curate(raw: DataFrame, ingest_time: Column | None = None) -> CuratedTables:
 
 
 def curate_keyed(
-    keyed: DataFrame, ingest_time: Column | None = None, rows_per_task: int = skew.ROWS_PER_TASK
+    keyed: DataFrame,
+    ingest_time: Column | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> CuratedTables:
     """The five cleaned tables of raw applications that have their member key."""
     defaulters = projections.defaulters(keyed)
@@ -55,6 +71,7 @@ def curate_keyed(
         delinquency=tables.clean_delinquency(defaulters),
         records=tables.clean_records(defaulters),
         rows_per_task=rows_per_task,
+        statistics=statistics,
     )
 
 
@@ -65,6 +82,7 @@ def run_batch(
     ingest_time: Column | None = None,
     mode: str = "errorifexists",
     with_verification: bool = False,
+    with_factorised: bool = True,
     rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Write the curated tables, bad members, good customers and scores as Parquet.
@@ -72,8 +90,8 @@ def run_batch(
     The input is read once: its used columns are written with the member key, and all
     tables come from there, so a lost executor costs no more than its own tasks. All rows
     carry one ingest time. ``output_dir`` is a shared folder. The verification table is
-    written on request, its equal rows as one with their number in ``_times``: nothing else
-    needs it. Returns the scores.
+    written as its factors, which are linear in the input, and on request with its equal rows
+    as one and their number in ``_times``. Returns the scores.
     """
 
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -83,11 +101,14 @@ def run_batch(
         now = raw.sparkSession.range(1).select(F.current_timestamp().alias("now"))
         ingest_time = F.lit(now.first()["now"])
     keyed = write(projections.keyed_applications(raw), "applications")
+    statistics = application_statistics(keyed)
     curated = curate_keyed(keyed, ingest_time, rows_per_task)
     written = {name: write(df, name) for name, df in curated.tables().items()}
     write(direct.bad_members(keyed, rows_per_task), "bad_members")
     write(direct.good_customers(keyed, ingest_time, rows_per_task), "good_customers")
+    found = CuratedTables(**written, rows_per_task=rows_per_task, statistics=statistics)
+    if with_factorised:
+        write(found.verification_factorised(), "verification_factorised")
     if with_verification:
-        found = CuratedTables(**written, rows_per_task=rows_per_task)
         write(found.verification_counted(), "verification")
     return write(direct.score_applications(keyed, card, rows_per_task), "loan_score")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from creditgrade.functions import scores
 from creditgrade.operators import skew
 from creditgrade.operators.duplicates import good_customers
+from creditgrade.operators.statistics import KeyStatistics
 from creditgrade.scorecard import Scorecard
 
 
@@ -22,8 +23,16 @@ def payment_points(card: Scorecard) -> list[Column]:
     ]
 
 
+# Different points that the repayments of one loan id can have, at most.
+POINT_KINDS = 32
+
+
 def _pairs(
-    repayments: DataFrame, loans: DataFrame, columns: tuple[str, ...], rows_per_task: int
+    repayments: DataFrame,
+    loans: DataFrame,
+    columns: tuple[str, ...],
+    rows_per_task: int,
+    statistics: KeyStatistics | None = None,
 ) -> tuple[DataFrame, bool]:
     return skew.counted_join(
         loans.select("loan_id", *columns),
@@ -31,6 +40,7 @@ def _pairs(
         "loan_id",
         "inner",
         rows_per_task,
+        statistics,
     )
 
 
@@ -38,17 +48,23 @@ _COMPARED = ("monthly_installment", "funded_amount")
 
 
 def repayments_with_loans_counted(
-    repayments: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+    repayments: DataFrame,
+    loans: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Pairs of a repayment and a loan row with its loan id, each with its number."""
-    return _pairs(repayments, loans, _COMPARED, rows_per_task)[0]
+    return _pairs(repayments, loans, _COMPARED, rows_per_task, statistics)[0]
 
 
 def repayments_with_loans(
-    repayments: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+    repayments: DataFrame,
+    loans: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Every repayment row with every loan row that has its loan id."""
-    pairs, crowded = _pairs(repayments, loans, _COMPARED, rows_per_task)
+    pairs, crowded = _pairs(repayments, loans, _COMPARED, rows_per_task, statistics)
     return skew.repeat_rows(pairs, spread=crowded)
 
 
@@ -57,21 +73,25 @@ def repayment_points_counted(
     loans: DataFrame,
     card: Scorecard = Scorecard(),
     rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Different points of the repayment rows of a loan id, with their number.
 
     Points take a few values, so a loan id has few rows whatever it had before.
     """
-    pairs = repayments_with_loans_counted(repayments, loans, rows_per_task)
+    pairs = repayments_with_loans_counted(repayments, loans, rows_per_task, statistics)
     return skew.merged(pairs.select("loan_id", *payment_points(card), skew.TIMES))
 
 
 def points_by_member_counted(
-    points: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+    points: DataFrame,
+    loans: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Counted points of loan ids with every member that has a loan row with the loan id."""
     owners = loans.select("loan_id", "member_id")
-    parts = skew.crowds(owners, "loan_id", rows_per_task)
+    parts = skew.crowds(owners, "loan_id", rows_per_task, statistics)
     owners = owners.selectExpr("*", "1L AS _loans") if parts is None else skew.merged(owners, "_loans")
     return skew.join_few(owners, points, "loan_id", parts, "inner").selectExpr(
         "member_id", "last_payment_pts", "total_payment_pts", f"_loans * {skew.TIMES} AS {skew.TIMES}"
@@ -79,10 +99,13 @@ def points_by_member_counted(
 
 
 def repayment_points_by_member(
-    points: DataFrame, loans: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK
+    points: DataFrame,
+    loans: DataFrame,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """``points_by_member_counted`` row by row."""
-    return skew.repeat_rows(points_by_member_counted(points, loans, rows_per_task))
+    return skew.repeat_rows(points_by_member_counted(points, loans, rows_per_task, statistics))
 
 
 def unique_loan_points_by_member(
@@ -106,6 +129,7 @@ def _points_of(
     repayments: DataFrame,
     card: Scorecard,
     rows_per_task: int,
+    statistics: KeyStatistics | None,
 ) -> DataFrame:
     """Counted repayment points, made only for loan ids that the people have.
 
@@ -113,15 +137,18 @@ def _points_of(
     Their member is a bad one, so these pairs are not formed.
     """
     owners = loans.select("loan_id", "member_id")
-    by_member = skew.crowds(owners, "member_id", rows_per_task)
+    by_member = skew.crowds(owners, "member_id", rows_per_task, statistics)
     owned = skew.join_few(owners, people.select("member_id"), "member_id", by_member, "left_semi")
     wanted = skew.write_shared(owned.select("loan_id").distinct(), "wanted-loans")
     loans, repayments = (
-        skew.join_few(table, wanted, "loan_id", skew.crowds(table, "loan_id", rows_per_task), "left_semi")
+        skew.join_few(
+            table, wanted, "loan_id",
+            skew.crowds(table, "loan_id", rows_per_task, statistics), "left_semi",
+        )
         for table in (loans, repayments)
-    )
-    points = repayment_points_counted(repayments, loans, card, rows_per_task)
-    return points_by_member_counted(points, loans, rows_per_task)
+    )
+    points = repayment_points_counted(repayments, loans, card, rows_per_task, statistics)
+    return points_by_member_counted(points, loans, rows_per_task, statistics)
 
 
 def score_base_counted(
@@ -133,6 +160,7 @@ def score_base_counted(
     records: DataFrame,
     card: Scorecard = Scorecard(),
     rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Different combinations of a member's rows in all five tables, with their number.
 
@@ -144,9 +172,10 @@ def score_base_counted(
         "member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade"
     )
     if bad is not None:
-        people = good_customers(people, bad, rows_per_task)
+        people = good_customers(people, bad, rows_per_task, statistics)
     people = skew.write_shared(people, "people")
-    points = skew.write_shared(_points_of(people, loans, repayments, card, rows_per_task), "points")
+    points = _points_of(people, loans, repayments, card, rows_per_task, statistics)
+    points = skew.write_shared(skew.merged(points), "points")
     arms = [
         records.selectExpr(
             "member_id",
@@ -158,7 +187,12 @@ def score_base_counted(
         loans.select("member_id", "loan_status", "funded_amount"),
         points,
     ]
-    joined, _ = skew.counted_join(people, arms, "member_id", "inner", rows_per_task)
+    # Of points a member has some kinds only; the other tables have no more rows of it than
+    # the rows they come from.
+    if statistics is not None and statistics.never_above("member_id", 4, rows_per_task // POINT_KINDS):
+        joined = skew.star_join(people, arms, "member_id", None, "inner")
+    else:
+        joined, _ = skew.counted_join(people, arms, "member_id", "inner", rows_per_task)
     return joined.select(
         "member_id",
         "last_payment_pts",
@@ -186,11 +220,12 @@ def score_base(
     records: DataFrame,
     card: Scorecard = Scorecard(),
     rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """One row per combination of a member's rows in all five tables."""
     return skew.repeat_rows(
         score_base_counted(
-            customers, loans, repayments, bad, delinquency, records, card, rows_per_task
+            customers, loans, repayments, bad, delinquency, records, card, rows_per_task, statistics
         )
     )
 
@@ -235,6 +270,7 @@ def loan_score(
     records: DataFrame,
     card: Scorecard = Scorecard(),
     rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
 ) -> DataFrame:
     """Score and grade of the members in all of the given tables and not in ``bad``.
 
@@ -242,6 +278,6 @@ def loan_score(
     ``score_applications`` gives the same rows with much less data movement.
     """
     base = score_base(
-        customers, loans, repayments, bad, delinquency, records, card, rows_per_task
+        customers, loans, repayments, bad, delinquency, records, card, rows_per_task, statistics
     )
     return graded(score_parts(base, card), card)
