@@ -422,6 +422,10 @@ RESULTS |= {
     "verification_counted_spread": COUNTED,
     "batch_verification": COUNTED,
     "batch_factorised": RESULTS["table_verification"],
+    "bucketed_verification": RESULTS["table_verification"],
+    "bucketed_bad_members": RESULTS["table_bad_members"],
+    "bucketed_dup_records": RESULTS["dup_keys_records"],
+    "bucketed_good_customers": RESULTS["table_good_customers"],
     "batch_repayments": RESULTS["table_repayments"],
     "batch_delinquency": RESULTS["table_delinquency"],
     "batch_records": RESULTS["table_records_enquiries"],

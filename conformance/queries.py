@@ -40,6 +40,8 @@ FEW_ROWS = 4
 _written: dict[tuple[str, str], tuple[DataFrame, KeyStatistics]] = {}
 # Folders of batches, likewise.
 _batches: dict[tuple[str, str], str] = {}
+# Curated tables in buckets, likewise.
+_in_buckets: dict[tuple[str, str], batch.CuratedTables] = {}
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,6 +353,35 @@ def verification_factorised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expanded(_curated(spark, sf_dir).verification_factorised())
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> batch.CuratedTables:
+    """The curated tables stored in buckets, once for all queries of a session."""
+    about = (spark.sparkContext.applicationId, sf_dir)
+    if about not in _in_buckets:
+        prefix = f"curated_{len(_in_buckets)}"
+        curated = _curated(spark, sf_dir)
+        _in_buckets[about] = batch.store_bucketed(curated, shared_folder(spark), prefix, 16)
+    return _in_buckets[about]
+
+
+def bucketed_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bucketed(spark, sf_dir).verification()
+
+
+def bucketed_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bucketed(spark, sf_dir).bad_members()
+
+
+def bucketed_dup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.duplicate_keys(_bucketed(spark, sf_dir).records)
+
+
+def bucketed_good_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curated = _bucketed(spark, sf_dir)
+    return duplicates.good_customers(
+        curated.customers, curated.bad_members(), statistics=curated.statistics
+    )
+
+
 def table_bad_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct.bad_members(star.applications(spark, sf_dir))
 
@@ -614,6 +645,10 @@ QUERIES: dict[str, Query] = {
         verification_counted,
         verification_counted_spread,
         verification_factorised,
+        bucketed_verification,
+        bucketed_bad_members,
+        bucketed_dup_records,
+        bucketed_good_customers,
         table_bad_members,
         table_bad_members_spread,
         bad_members_from_tables,

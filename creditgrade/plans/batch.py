@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditgrade.operators import duplicates, projections, skew
@@ -16,6 +16,7 @@ from creditgrade.plans.verification import (
     verification_factorised,
 )
 from creditgrade.scorecard import Scorecard
+from creditgrade.sources.bucketed import BUCKETS, open_bucketed, write_bucketed
 from creditgrade.sources.sinks import write_parquet
 
 
@@ -75,6 +76,47 @@ def curate_keyed(
     )
 
 
+# The key of each table's buckets: joins by member need no shuffle, nor do those by loan.
+_BUCKET_KEYS = {
+    "customers": "member_id",
+    "loans": "member_id",
+    "repayments": "loan_id",
+    "delinquency": "member_id",
+    "records": "member_id",
+}
+
+
+def store_bucketed(
+    curated: CuratedTables, output_dir: str, prefix: str = "curated", n_buckets: int = BUCKETS
+) -> CuratedTables:
+    """Write the curated tables in buckets of their keys, and return them as stored.
+
+    Below ``output_dir`` there is a folder per table; in the catalog they are called by the
+    prefix and the table's name. Joins of the stored tables by member, and groupings by it,
+    run without a shuffle; crowded keys are still dealt over several tasks.
+    """
+    stored = {
+        name: write_bucketed(
+            df, f"{output_dir}/{name}", f"{prefix}_{name}", _BUCKET_KEYS[name], n_buckets,
+            curated.statistics, curated.rows_per_task,
+        )
+        for name, df in curated.tables().items()
+    }
+    return replace(curated, **stored)
+
+
+def open_stored(
+    spark: SparkSession,
+    output_dir: str,
+    prefix: str = "curated",
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    statistics: KeyStatistics | None = None,
+) -> CuratedTables:
+    """The tables that another session stored in buckets."""
+    tables_ = {name: open_bucketed(spark, f"{output_dir}/{name}", f"{prefix}_{name}") for name in _BUCKET_KEYS}
+    return CuratedTables(**tables_, rows_per_task=rows_per_task, statistics=statistics)
+
+
 def run_batch(
     raw: DataFrame,
     output_dir: str,
