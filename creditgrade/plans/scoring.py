@@ -8,6 +8,7 @@ from creditgrade.functions import scores
 from creditgrade.operators import skew
 from creditgrade.operators.duplicates import good_customers
 from creditgrade.operators.statistics import KeyStatistics
+from creditgrade.operators.wanted import WantedKeys, wanted_keys
 from creditgrade.scorecard import Scorecard
 
 
@@ -125,6 +126,7 @@ def unique_loan_points_by_member(
 
 def _points_of(
     people: DataFrame,
+    likely_people: WantedKeys,
     loans: DataFrame,
     repayments: DataFrame,
     card: Scorecard,
@@ -136,13 +138,15 @@ def _points_of(
     The many copies of one application have a product of pairs of repayment and loan rows.
     Their member is a bad one, so these pairs are not formed.
     """
-    owners = loans.select("loan_id", "member_id")
+    owners = likely_people.keep(loans.select("loan_id", "member_id"), "member_id")
     by_member = skew.crowds(owners, "member_id", rows_per_task, statistics)
     owned = skew.join_few(owners, people.select("member_id"), "member_id", by_member, "left_semi")
     wanted = skew.write_shared(owned.select("loan_id").distinct(), "wanted-loans")
+    # Rows of other loan ids go before they are shuffled, but for a few.
+    likely = wanted_keys(wanted, "loan_id")
     loans, repayments = (
         skew.join_few(
-            table, wanted, "loan_id",
+            likely.keep(table, "loan_id"), wanted, "loan_id",
             skew.crowds(table, "loan_id", rows_per_task, statistics), "left_semi",
         )
         for table in (loans, repayments)
@@ -174,17 +178,18 @@ def score_base_counted(
     if bad is not None:
         people = good_customers(people, bad, rows_per_task, statistics)
     people = skew.write_shared(people, "people")
-    points = _points_of(people, loans, repayments, card, rows_per_task, statistics)
+    likely = wanted_keys(people, "member_id")
+    points = _points_of(people, likely, loans, repayments, card, rows_per_task, statistics)
     points = skew.write_shared(skew.merged(points), "points")
     arms = [
-        records.selectExpr(
+        likely.keep(records, "member_id").selectExpr(
             "member_id",
             "pub_rec AS public_records_pts",
             "pub_rec_bankruptcies AS public_bankruptcies_pts",
             "inq_last_6mths AS enq_pts",
         ),
-        delinquency.selectExpr("member_id", "delinq_2yrs AS delinq_pts"),
-        loans.select("member_id", "loan_status", "funded_amount"),
+        likely.keep(delinquency, "member_id").selectExpr("member_id", "delinq_2yrs AS delinq_pts"),
+        likely.keep(loans, "member_id").select("member_id", "loan_status", "funded_amount"),
         points,
     ]
     # Of points a member has some kinds only; the other tables have no more rows of it than
