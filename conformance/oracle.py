@@ -429,6 +429,22 @@ RESULTS |= {
     "batch_repayments": RESULTS["table_repayments"],
     "batch_delinquency": RESULTS["table_delinquency"],
     "batch_records": RESULTS["table_records_enquiries"],
+    "batch_audit": """table_name, step::INT AS step, filter_name, n_rows FROM (
+        SELECT 'customers' AS table_name, 0 AS step, 'rows' AS filter_name,
+               (SELECT count(*) FROM distinct_customers) AS n_rows
+        UNION ALL SELECT 'customers', 1, 'income_present', (SELECT count(*) FROM customers)
+        UNION ALL SELECT 'loans', 0, 'rows', (SELECT count(*) FROM typed_loans)
+        UNION ALL SELECT 'loans', 1, 'complete', (SELECT count(*) FROM complete_loans)
+        UNION ALL SELECT 'repayments', 0, 'rows', (SELECT count(*) FROM typed_repayments)
+        UNION ALL SELECT 'repayments', 1, 'complete', (SELECT count(*) FROM complete_repayments)
+        UNION ALL SELECT 'repayments', 2, 'paid', (SELECT count(*) FROM paid_repayments)
+        UNION ALL SELECT 'delinquency', 0, 'rows', (SELECT count(*) FROM typed_defaulters)
+        UNION ALL SELECT 'delinquency', 1, 'delinquent', (SELECT count(*) FROM delinquency)
+        UNION ALL SELECT 'records', 0, 'rows', (SELECT count(*) FROM records))""",
+    "published_good_customers": RESULTS["table_good_customers"],
+    "incremental_scores": RESULTS["loan_score"],
+    "incremental_bad_members": RESULTS["table_bad_members"],
+    "incremental_customers": RESULTS["table_customers"],
     "verification_factorised": RESULTS["table_verification"],
     "batch_loans": RESULTS["table_loans"],
     "batch_bad_members": RESULTS["table_bad_members"],

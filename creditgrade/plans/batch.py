@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from creditgrade.operators import duplicates, projections, skew
 from creditgrade.plans import direct, tables
 from creditgrade.operators.statistics import KeyStatistics, application_statistics
+from creditgrade.plans.audit import Audit
 from creditgrade.plans.verification import (
     verification,
     verification_counted,
@@ -17,6 +20,7 @@ from creditgrade.plans.verification import (
 )
 from creditgrade.scorecard import Scorecard
 from creditgrade.sources.bucketed import BUCKETS, open_bucketed, write_bucketed
+from creditgrade.sources.runs import Run, RunWriter
 from creditgrade.sources.sinks import write_parquet
 
 
@@ -62,15 +66,27 @@ def curate_keyed(
     ingest_time: Column | None = None,
     rows_per_task: int = skew.ROWS_PER_TASK,
     statistics: KeyStatistics | None = None,
+    audit: Audit | None = None,
 ) -> CuratedTables:
-    """The five cleaned tables of raw applications that have their member key."""
+    """The five cleaned tables of raw applications that have their member key.
+
+    With an ``audit``, the rows that each filter leaves are counted when a table is written.
+    """
+
+    def seen(name: str) -> tables.Seen | None:
+        return partial(audit.seen, table=name) if audit else None
+
     defaulters = projections.defaulters(keyed)
     return CuratedTables(
-        customers=tables.clean_customers(projections.customers(keyed), ingest_time),
-        loans=tables.clean_loans(projections.loans(keyed), ingest_time),
-        repayments=tables.clean_repayments(projections.repayments(keyed), ingest_time),
-        delinquency=tables.clean_delinquency(defaulters),
-        records=tables.clean_records(defaulters),
+        customers=tables.clean_customers(
+            projections.customers(keyed), ingest_time, seen("customers")
+        ),
+        loans=tables.clean_loans(projections.loans(keyed), ingest_time, seen("loans")),
+        repayments=tables.clean_repayments(
+            projections.repayments(keyed), ingest_time, seen("repayments")
+        ),
+        delinquency=tables.clean_delinquency(defaulters, seen("delinquency")),
+        records=tables.clean_records(defaulters, seen("records")),
         rows_per_task=rows_per_task,
         statistics=statistics,
     )
@@ -133,19 +149,60 @@ def run_batch(
     tables come from there, so a lost executor costs no more than its own tasks. All rows
     carry one ingest time. ``output_dir`` is a shared folder. The verification table is
     written as its factors, which are linear in the input, and on request with its equal rows
-    as one and their number in ``_times``. Returns the scores.
+    as one and their number in ``_times``. The table ``audit`` has the rows that each filter
+    left. Returns the scores.
     """
 
     def write(df: DataFrame, name: str) -> DataFrame:
         return write_parquet(df, f"{output_dir}/{name}", mode)
 
+    written = _run(
+        raw, write, card, ingest_time, with_verification, with_factorised, rows_per_task
+    )
+    return written["loan_score"]
+
+
+def publish_batch(
+    raw: DataFrame,
+    root: str,
+    card: Scorecard = Scorecard(),
+    ingest_time: Column | None = None,
+    with_verification: bool = False,
+    with_factorised: bool = True,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+) -> Run:
+    """``run_batch`` into a new folder below ``root`` that readers find once it is whole.
+
+    The run's manifest is written last (``sources.runs``), so a batch that ends in the middle
+    leaves the tables of the run before it in place. ``newest_run`` finds the tables.
+    """
+    run = RunWriter(raw.sparkSession, root)
+    _run(
+        raw, run.write, card, ingest_time, with_verification, with_factorised, rows_per_task
+    )
+    return run.publish({"scorecard": repr(card)})
+
+
+def _run(
+    raw: DataFrame,
+    write: Callable[[DataFrame, str], DataFrame],
+    card: Scorecard,
+    ingest_time: Column | None,
+    with_verification: bool,
+    with_factorised: bool,
+    rows_per_task: int,
+) -> dict[str, DataFrame]:
+    """Write all tables of a batch; returns them as written."""
+
     if ingest_time is None:
         now = raw.sparkSession.range(1).select(F.current_timestamp().alias("now"))
         ingest_time = F.lit(now.first()["now"])
     keyed = write(projections.keyed_applications(raw), "applications")
     statistics = application_statistics(keyed)
-    curated = curate_keyed(keyed, ingest_time, rows_per_task)
+    audit = Audit()
+    curated = curate_keyed(keyed, ingest_time, rows_per_task, audit=audit)
     written = {name: write(df, name) for name, df in curated.tables().items()}
+    write(audit.counts(raw.sparkSession), "audit")
     write(direct.bad_members(keyed, rows_per_task), "bad_members")
     write(direct.good_customers(keyed, ingest_time, rows_per_task), "good_customers")
     found = CuratedTables(**written, rows_per_task=rows_per_task, statistics=statistics)
@@ -153,4 +210,7 @@ def run_batch(
         write(found.verification_factorised(), "verification_factorised")
     if with_verification:
         write(found.verification_counted(), "verification")
-    return write(direct.score_applications(keyed, card, rows_per_task), "loan_score")
+    written["loan_score"] = write(
+        direct.score_applications(keyed, card, rows_per_task), "loan_score"
+    )
+    return written

@@ -54,6 +54,11 @@ _COMPLETE_LOAN = (
 )
 
 
+def owns_loan() -> Column:
+    """Whether a row has an income and a complete loan."""
+    return F.col("annual_income").isNotNull() & clean.present(*_COMPLETE_LOAN)
+
+
 def loan_rows(rows: DataFrame) -> DataFrame:
     """What the scorecard needs of each complete loan row."""
     return rows.filter(clean.present(*_COMPLETE_LOAN)).select(
@@ -87,9 +92,8 @@ def _members_with_bad(rows: DataFrame, more: list[Column], rows_per_task: int) -
 
     Of members with several raw rows, ``more`` holds the values of any of them.
     """
-    with_loan = F.col("annual_income").isNotNull() & clean.present(*_COMPLETE_LOAN)
     members = (
-        rows.withColumn("owned", F.when(with_loan, F.col("loan_id")))
+        rows.withColumn("owned", F.when(owns_loan(), F.col("loan_id")))
         .groupBy("member_id")
         .agg(F.expr("count(*) AS n"), F.expr("max(owned) AS loan_id"), *more)
         # Of duplicated members the loan does not matter; null joins nothing.
@@ -147,11 +151,7 @@ def single_members(rows: DataFrame, card: Scorecard) -> DataFrame:
         {name: clean.whole_or_zero(name) for name in counts}
         | {"mths_since_last_delinq": clean.whole_number("mths_since_last_delinq")}
     )
-    eligible = (
-        F.col("annual_income").isNotNull()
-        & clean.present(*_COMPLETE_LOAN)
-        & clean.is_delinquent("delinq_2yrs", "mths_since_last_delinq")
-    )
+    eligible = owns_loan() & clean.is_delinquent("delinq_2yrs", "mths_since_last_delinq")
     health = scores.financial_health(
         "loan_status", "home_ownership", "funded_amount", "total_high_credit_limit", "grade", card
     )
@@ -185,6 +185,13 @@ def loan_points(
     sole = repayments_by_loan(rows).filter("n = 1").drop("n")
     loans = loan_rows(rows)
     loans = loans.selectExpr("*", f"1L AS {skew.TIMES}") if parts is None else skew.merged(loans)
+    return points_of_loans(loans, sole, card, parts)
+
+
+def points_of_loans(
+    loans: DataFrame, sole: DataFrame, card: Scorecard, parts: DataFrame | None
+) -> DataFrame:
+    """``loan_points`` of counted loan rows and the loan ids' only repayments."""
     history = scores.payment_history("last_payment_pts", "total_payment_pts", card)
     points = (
         skew.join_few(loans, sole, "loan_id", parts, "inner")

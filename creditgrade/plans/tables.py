@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,8 @@ from creditgrade.schema import (
 )
 
 INGEST_COLUMN = "ingest_date"
+# What observes the rows of a table before its filters.
+Seen = Callable[[DataFrame], DataFrame]
 
 
 def rename_and_cast(df: DataFrame, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -93,10 +95,16 @@ def numbered_employment(customers: DataFrame) -> DataFrame:
     return customers.withColumn("emp_length", clean.digits_to_int("emp_length"))
 
 
-def clean_customers(customers: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+def clean_customers(
+    customers: DataFrame, ingest_time: Column | None = None, seen: Seen | None = None
+) -> DataFrame:
     # The time is the same for all rows, so it can be added after the distinct.
-    rows = numbered_employment(with_income(distinct_customers(customers)))
-    return finished_customers(rows, floor_mean(rows, "emp_length"), ingest_time)
+    distinct = distinct_customers(customers)
+    rows = numbered_employment(with_income(distinct))
+    mean = floor_mean(rows, "emp_length")
+    if seen:
+        rows = numbered_employment(with_income(seen(distinct)))
+    return finished_customers(rows, mean, ingest_time)
 
 
 def finished_customers(
@@ -109,8 +117,11 @@ def finished_customers(
     )
 
 
-def clean_loans(loans: DataFrame, ingest_time: Column | None = None) -> DataFrame:
-    rows = stamp_ingest(complete_loans(rename_and_cast(loans, LOAN_FIELDS)), ingest_time)
+def clean_loans(
+    loans: DataFrame, ingest_time: Column | None = None, seen: Seen | None = None
+) -> DataFrame:
+    typed = rename_and_cast(loans, LOAN_FIELDS)
+    rows = stamp_ingest(complete_loans(seen(typed) if seen else typed), ingest_time)
     return rows.withColumns(
         {
             "loan_purpose": clean.allowed_or_other("loan_purpose", LOAN_PURPOSES),
@@ -119,8 +130,11 @@ def clean_loans(loans: DataFrame, ingest_time: Column | None = None) -> DataFram
     ).drop("loan_term_months")
 
 
-def clean_repayments(repayments: DataFrame, ingest_time: Column | None = None) -> DataFrame:
-    complete = complete_repayments(rename_and_cast(repayments, REPAYMENT_FIELDS))
+def clean_repayments(
+    repayments: DataFrame, ingest_time: Column | None = None, seen: Seen | None = None
+) -> DataFrame:
+    typed = rename_and_cast(repayments, REPAYMENT_FIELDS)
+    complete = complete_repayments(seen(typed) if seen else typed)
     paid = with_payment(with_reconciled_total(complete))
     return stamp_ingest(
         paid.withColumns(
@@ -133,9 +147,10 @@ def clean_repayments(repayments: DataFrame, ingest_time: Column | None = None) -
     )
 
 
-def clean_delinquency(defaulters: DataFrame) -> DataFrame:
+def clean_delinquency(defaulters: DataFrame, seen: Seen | None = None) -> DataFrame:
     """Members with a delinquency in the last two years or a dated earlier one."""
-    typed = fill_with_zero(rename_and_cast(defaulters, DEFAULTER_FIELDS), ["delinq_2yrs"])
+    rows = rename_and_cast(defaulters, DEFAULTER_FIELDS)
+    typed = fill_with_zero(seen(rows) if seen else rows, ["delinq_2yrs"])
     return (
         typed.withColumn("mths_since_last_delinq", clean.whole_number("mths_since_last_delinq"))
         .filter(clean.is_delinquent("delinq_2yrs", "mths_since_last_delinq"))
@@ -146,10 +161,10 @@ def clean_delinquency(defaulters: DataFrame) -> DataFrame:
 RECORD_COLUMNS = ("pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
 
 
-def clean_records(defaulters: DataFrame) -> DataFrame:
+def clean_records(defaulters: DataFrame, seen: Seen | None = None) -> DataFrame:
     """Public records and enquiries: one row per raw row, none left out."""
     typed = rename_and_cast(defaulters, DEFAULTER_FIELDS)
-    return fill_with_zero(typed, RECORD_COLUMNS).select("member_id", *RECORD_COLUMNS)
+    return fill_with_zero(seen(typed) if seen else typed, RECORD_COLUMNS).select("member_id", *RECORD_COLUMNS)
 
 
 def enquiry_members(defaulters: DataFrame) -> DataFrame:
