@@ -321,6 +321,11 @@ RESULTS = {
     "src_csv_scan": """id, emp_title, emp_length, annual_inc::DOUBLE AS annual_inc, term, issue_d,
         title, loan_amnt::REAL AS loan_amnt, total_pymnt::REAL AS total_pymnt,
         delinq_2yrs::INT AS delinq_2yrs FROM raw""",
+    "src_csv_rejects": """CASE id::BIGINT % 50 WHEN 7 THEN 'too few fields' ELSE 'too many fields' END
+        AS reason, id, count(*) AS n_lines FROM raw WHERE id::BIGINT % 50 IN (7, 9)
+        GROUP BY ALL""",
+    "src_csv_ingested": """id, emp_title, addr_state, loan_status FROM raw
+        WHERE id::BIGINT % 50 NOT IN (7, 9)""",
     "src_parquet_scan": "* FROM raw",
     "src_row_count": "count(*) AS n_rows FROM raw",
     "cat_temp_view": """grade, count(*) AS n_loans, count(DISTINCT member_id) AS n_members

@@ -85,6 +85,43 @@ def src_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Applications as delimited text in which some lines lost or gained a field."""
+    rows = star.applications(spark, sf_dir)
+    path, output = shared_folder(spark), shared_folder(spark)
+    whole = F.to_csv(F.struct(*rows.columns), {"quoteAll": "true"})
+    line = (
+        F.when(F.expr("bigint(id) % 50 = 7"), F.concat_ws(",", "id", "emp_title"))
+        .when(F.expr("bigint(id) % 50 = 9"), F.concat(whole, F.lit(",more")))
+        .otherwise(whole)
+    )
+    # One file to a part, as many as there are shuffle partitions, each with its header line.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = rows.select(line.alias("value")).selectExpr(
+        "value", f"pmod(xxhash64(value), {n_parts}) AS part", "1 AS place"
+    )
+    headers = spark.range(n_parts).select(
+        F.lit(",".join(rows.columns)).alias("value"), F.col("id").alias("part"), F.lit(0).alias("place")
+    )
+    both = lines.union(headers).repartition(n_parts, "part").sortWithinPartitions("part", "place")
+    both.drop("place").write.partitionBy("part").text(path)
+    path = f"{path}/*"
+    return readers.ingest_csv(spark, path, output)
+
+
+def src_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines by their reason and the id that they begin with."""
+    rejects = _ingested(spark, sf_dir)[1]
+    found = rejects.selectExpr(
+        "reason", "trim(BOTH '\"' FROM split(line, ',')[0]) AS id", "n_lines"
+    )
+    return found.groupBy("reason", "id").agg(F.sum("n_lines").alias("n_lines"))
+
+
+def src_csv_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir)[0].select("id", "emp_title", "addr_state", "loan_status")
+
+
 def src_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
     sinks.write_parquet(star.applications(spark, sf_dir), path)
@@ -630,6 +667,8 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         src_csv_scan,
+        src_csv_rejects,
+        src_csv_ingested,
         src_parquet_scan,
         src_row_count,
         cat_temp_view,

@@ -146,3 +146,29 @@ def test_the_batch_reads_its_input_once(spark, sf_dir, tmp_path):
         for row in spark.read.parquet(f"{out}/{name}").select("ingest_date").distinct().collect()
     }
     assert len(stamps) == 1
+
+
+def test_rejected_lines(spark, tmp_path):
+    lines = ['id,title,grade', '1,"a, b",A', "2,b", "2,b", "", '3,"say ""x"", y",B,more', '4,"open,C', "5,,"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "in" / "two.csv").write_text("id,title,grade\n6,x,C\n")
+    good, rejects = readers.ingest_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert rows_of(good) == rows_of(
+        spark.createDataFrame([("1", "a, b", "A"), ("5", None, None), ("6", "x", "C")], "id string, title string, grade string")
+    )
+    found = {(r["line"], r["reason"], r["n_lines"]) for r in rejects.collect()}
+    assert found == {
+        ("2,b", "too few fields", 2),
+        ('3,"say ""x"", y",B,more', "too many fields", 1),
+        ('4,"open,C', "open quote", 1),
+    }
+
+
+def test_rejected_lines_of_empty_and_clashing_files(spark, tmp_path):
+    (tmp_path / "none.csv").write_text("id,title\n")
+    good, rejects = readers.ingest_csv(spark, str(tmp_path / "none.csv"), str(tmp_path / "out"))
+    assert good.columns == ["id", "title"] and good.count() == 0 and rejects.count() == 0
+    (tmp_path / "clash.csv").write_text("id,csv_rejected\n1,2\n")
+    with pytest.raises(ValueError):
+        readers.ingest_csv(spark, str(tmp_path / "clash.csv"), str(tmp_path / "out2"))
