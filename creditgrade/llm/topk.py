@@ -18,6 +18,7 @@ Pivots are a bounded sample. They decide how much is searched and never what is
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -143,26 +144,37 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.distinct().withColumn("rank", F.expr(rank)).filter(f"rank <= {k}")
 
 
+def _one_length(*tables: DataFrame) -> list[DataFrame]:
+    """The tables with zeros after their shorter vectors, up to the longest one of all."""
+    sizes = reduce(DataFrame.union, (table.select(F.size("v").alias("n")) for table in tables))
+    width = max(1, sizes.agg(F.max("n")).first()[0] or 0)
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))
+    whole = F.when(F.size("v") == width, F.col("v")).otherwise(F.concat("v", zeros))
+    return [table.withColumn("v", whole) for table in tables]
+
+
 def top_k(
     vectors: DataFrame, queries: DataFrame, k: int, n_pivots: int = PIVOTS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the best vectors per query.
 
-    Both tables have ``vec_id`` and ``v``, whole numbers, all of one length. A query's own
-    id is no candidate for it. Ties go to the smaller id; fewer candidates than k are all
+    Both tables have ``vec_id`` and ``v``, whole numbers. Shorter vectors count as ending in
+    zeros, so the score of two is over the components that both have. A query's own id is no
+    candidate for it. Ties go to the smaller id; fewer candidates than k are all
     returned. Rows whose id or vector is null take no part, repeated rows count once.
     """
     spark = vectors.sparkSession
     # One candidate more than asked for, as the query itself may be among them.
     most = k + 1
     fine = "vec_id IS NOT NULL AND v IS NOT NULL"
-    ranked = vectors.filter(fine).select("vec_id", "v").distinct().withColumn(
+    vectors, queries = _one_length(vectors.filter(fine), queries.filter(fine))
+    ranked = vectors.select("vec_id", "v").distinct().withColumn(
         "n", F.expr("row_number() OVER (PARTITION BY v ORDER BY vec_id)")
     )
     entries = ranked.filter(f"n <= {most}").groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     entries = stored(entries, "topk-entries")
-    asked = stored(queries.filter(fine).select("vec_id", "v").distinct(), "topk-asked")
+    asked = stored(queries.select("vec_id", "v").distinct(), "topk-asked")
     by_query = asked.groupBy("v").agg(F.min("vec_id").alias("qid"))
     distinct = stored(by_query.selectExpr("qid", "v AS q"), "topk-queries")
     sample = entries.orderBy(F.xxhash64("v")).limit(_SAMPLE).select("v").toArrow().to_pandas()

@@ -42,3 +42,17 @@ def test_whole_numbers_and_edges(spark):
     assert topk.top_k(none, none, 5).count() == 0
     one = df.select("vec_id", topk.whole_numbers("embedding").alias("v"))
     assert topk.top_k(one, one, 5).count() == 0
+
+
+def test_vectors_of_different_lengths(spark):
+    rng = random.Random(3)
+    rows = [(i, tuple(rng.randrange(-50, 50) for _ in range(rng.choice([0, 2, 4, 4, 6])))) for i in range(120)]
+    rows += [(500, (1, 2)), (501, (1, 2, 0, 0)), (502, ())]
+    queries = [row for row in rows if row[0] % 5 == 0]
+    found = topk.top_k(table(spark, rows), table(spark, queries), 5, 4, 30)
+    # The score is over the components that both vectors have.
+    assert sorted(map(tuple, found.collect())) == brute(rows, queries, 5)
+    none = [(1, ()), (2, ())]
+    assert sorted(map(tuple, topk.top_k(table(spark, none), table(spark, none), 5).collect())) == [
+        (1, 1, 2, 0), (2, 1, 1, 0)
+    ]
