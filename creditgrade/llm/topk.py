@@ -18,7 +18,6 @@ Pivots are a bounded sample. They decide how much is searched and never what is
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -144,13 +143,11 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.distinct().withColumn("rank", F.expr(rank)).filter(f"rank <= {k}")
 
 
-def _one_length(*tables: DataFrame) -> list[DataFrame]:
-    """The tables with zeros after their shorter vectors, up to the longest one of all."""
-    sizes = reduce(DataFrame.union, (table.select(F.size("v").alias("n")) for table in tables))
-    width = max(1, sizes.agg(F.max("n")).first()[0] or 0)
-    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))
-    whole = F.when(F.size("v") == width, F.col("v")).otherwise(F.concat("v", zeros))
-    return [table.withColumn("v", whole) for table in tables]
+def _padded(df: DataFrame, column: str, width: int) -> DataFrame:
+    """The vectors with zeros behind them up to a length."""
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size(column))
+    whole = F.when(F.size(column) == width, F.col(column)).otherwise(F.concat(column, zeros))
+    return df.withColumn(column, whole)
 
 
 def top_k(
@@ -168,19 +165,22 @@ def top_k(
     # One candidate more than asked for, as the query itself may be among them.
     most = k + 1
     fine = "vec_id IS NOT NULL AND v IS NOT NULL"
-    vectors, queries = _one_length(vectors.filter(fine), queries.filter(fine))
-    ranked = vectors.select("vec_id", "v").distinct().withColumn(
+    ranked = vectors.filter(fine).select("vec_id", "v").distinct().withColumn(
         "n", F.expr("row_number() OVER (PARTITION BY v ORDER BY vec_id)")
     )
     entries = ranked.filter(f"n <= {most}").groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     entries = stored(entries, "topk-entries")
-    asked = stored(queries.select("vec_id", "v").distinct(), "topk-asked")
+    asked = stored(queries.filter(fine).select("vec_id", "v").distinct(), "topk-asked")
     by_query = asked.groupBy("v").agg(F.min("vec_id").alias("qid"))
     distinct = stored(by_query.selectExpr("qid", "v AS q"), "topk-queries")
+    longest, width = entries.agg(
+        F.max(F.expr("aggregate(v, 0L, (s, x) -> s + x * x)")), F.max(F.size("v"))
+    ).first()
+    width = max(1, width or 0, distinct.agg(F.max(F.size("q"))).first()[0] or 0)
+    entries, distinct = _padded(entries, "v", width), _padded(distinct, "q", width)
     sample = entries.orderBy(F.xxhash64("v")).limit(_SAMPLE).select("v").toArrow().to_pandas()
     if sample.empty:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    longest = entries.agg(F.max(F.expr("aggregate(v, 0L, (s, x) -> s + x * x)"))).first()[0]
     index = spark.sparkContext.broadcast(
         PivotIndex(np.stack(sample["v"].to_numpy()), float(longest), n_pivots)
     )
