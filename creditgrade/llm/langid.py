@@ -6,6 +6,9 @@ within the word. The language with the lowest cross-entropy per symbol wins. Its
 also held against what texts of that language and of the others had in a part of the sample
 that was not used for fitting: a text that is farther from its language than all of these
 were, and nearer to what foreign texts have, is rejected.
+
+Every letter of the sample is a symbol of its own, whatever its script and however rare; only
+letters that no sampled text has share one. Symbols are numbered by frequency.
 """
 
 from __future__ import annotations
@@ -26,20 +29,35 @@ CALIBRATION_PART = 4
 SLACK = 1.5
 LONG_TEXT = 2000
 UNDETERMINED = "und"
-_SYMBOLS = 256
 _OTHER, _FIRST = 1, 2
-_KEYS = _SYMBOLS**3
+_BITS = 21  # as many as a code point has, so that any alphabet fits
+_SYMBOL, _PAIR = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1
+# Grams of the 256 most frequent symbols are found by place, the others in sorted arrays.
+_FREQUENT = 8
+_RARE = sum((_SYMBOL >> _FREQUENT << _FREQUENT) << _BITS * i for i in range(3))
 _BATCH_BYTES = 1 << 20
+_MEMORY_BYTES = 128 << 20
+
+
+def packed(far: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """One number for three symbols, in their order."""
+    return (far << 2 * _BITS) | (before << _BITS) | own
 
 
-def _alphabet_table(alphabet: list[int]) -> np.ndarray:
+def _alphabet_table(alphabet: np.ndarray) -> np.ndarray:
     """For each code point its symbol: 0 no letter, 1 a letter outside the alphabet."""
-    symbol = np.full(0x110000, _OTHER, np.uint8)
+    symbol = np.full(0x110000, _OTHER, np.int32)
     symbol[0] = 0
-    symbol[alphabet] = np.arange(_FIRST, _FIRST + len(alphabet), dtype=np.uint8)
+    symbol[alphabet] = np.arange(_FIRST, _FIRST + len(alphabet))
     return symbol[letter_table()]
 
 
+def _find(array: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: float) -> np.ndarray:
+    """The values beside the wanted keys in a sorted array, ``other`` for keys not in it."""
+    at = np.minimum(np.searchsorted(array, wanted), len(array) - 1)
+    return np.where(array[at] == wanted, values[at], other)
+
+
 def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one array, a line end after each, and where each starts."""
     flat = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le"), np.uint32)
@@ -56,11 +74,11 @@ def _grams(texts: list[str], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarra
     kept[1:] |= symbol[:-1] > 0
     places = np.concatenate([[0], np.cumsum(kept)])[starts]
     letters = np.concatenate([[0], np.cumsum(symbol > 0)])[starts]
-    own = symbol[kept].astype(np.int32)
+    own = symbol[kept].astype(np.int64)
     before = np.concatenate([[0], own[:-1]])[: len(own)]
     far = np.concatenate([[0, 0], own[:-2]])[: len(own)]
     far = np.where(before == 0, 0, far)
-    return (far << 16) | (before << 8) | own, places, np.diff(letters)
+    return packed(far, before, own), places, np.diff(letters)
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -71,60 +89,60 @@ def _discount(counts: np.ndarray) -> float:
 
 @dataclass(frozen=True)
 class CharModel:
-    """A language's model: sorted arrays of gram keys, each with its value."""
+    """A language's model: sorted arrays of keys, each with its value."""
 
     grams: np.ndarray
     gram_part: np.ndarray
     contexts: np.ndarray
     context_part: np.ndarray
-    pairs: np.ndarray  # dense over two symbols: probability of the second after the first
+    pairs: np.ndarray
+    pair_part: np.ndarray
+    firsts: np.ndarray
+    first_part: np.ndarray
+    seconds: np.ndarray
+    second_part: np.ndarray
+    unseen: float  # probability of a symbol that the language does not have
 
     @classmethod
-    def fit(cls, keys: np.ndarray, counts: np.ndarray) -> CharModel:
+    def fit(cls, keys: np.ndarray, counts: np.ndarray, n_symbols: int) -> CharModel:
         """From the sorted keys of the three-symbol grams and their counts."""
-        context, pair = keys >> 8, keys & 0xFFFF
-        contexts, of_context = np.unique(context, return_inverse=True)
+        contexts, of_context = np.unique(keys >> _BITS, return_inverse=True)
         total = np.bincount(of_context, counts)
         kinds = np.bincount(of_context)
         three = _discount(counts)
         # The number of different symbols before a pair, and before a symbol.
-        pairs, before_pair = np.unique(pair, return_counts=True)
+        pairs, before_pair = np.unique(keys & _PAIR, return_counts=True)
         two = _discount(before_pair)
-        first, second = pairs >> 8, pairs & 0xFF
-        all_after = np.bincount(first, before_pair, _SYMBOLS)
-        kinds_after = np.bincount(first, minlength=_SYMBOLS)
-        before_one = np.bincount(second, minlength=_SYMBOLS).astype(float)
-        one = _discount(before_one[before_one > 0])
-        n_pairs = max(1, len(pairs))
-        single = np.maximum(before_one - one, 0) / n_pairs
-        single += one * (before_one > 0).sum() / n_pairs / _SYMBOLS
-        single /= single.sum()
-        left = np.divide(
-            two * kinds_after, all_after, out=np.ones(_SYMBOLS), where=all_after > 0
-        )
-        table = left[:, None] * single[None, :]
-        table[first, second] += np.maximum(before_pair - two, 0) / all_after[first]
+        firsts, of_first = np.unique(pairs >> _BITS, return_inverse=True)
+        all_after = np.bincount(of_first, before_pair)
+        seconds, before_one = np.unique(pairs & _SYMBOL, return_counts=True)
+        one = _discount(before_one)
+        unseen = one * len(seconds) / len(pairs) / n_symbols
         return cls(
             keys, np.maximum(counts - three, 0) / total[of_context],
-            contexts, three * kinds / total, table.ravel(),
+            contexts, three * kinds / total,
+            pairs, np.maximum(before_pair - two, 0) / all_after[of_first],
+            firsts, two * np.bincount(of_first) / all_after,
+            seconds, np.maximum(before_one - one, 0) / len(pairs) + unseen, unseen,
         )
 
+    def after_one(self, pairs: np.ndarray) -> np.ndarray:
+        """Probability of each pair's second symbol after its first."""
+        single = _find(self.seconds, self.second_part, pairs & _SYMBOL, self.unseen)
+        left = _find(self.firsts, self.first_part, pairs >> _BITS, 1.0)
+        return _find(self.pairs, self.pair_part, pairs, 0.0) + left * single
+
     def surprise(self, keys: np.ndarray) -> np.ndarray:
         """Nats of each gram's last symbol after its first two."""
-
-        def find(array: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: float):
-            at = np.minimum(np.searchsorted(array, wanted), len(array) - 1)
-            return np.where(array[at] == wanted, values[at], other)
-
-        lower = find(self.contexts, self.context_part, keys >> 8, 1.0)
-        return -np.log(find(self.grams, self.gram_part, keys, 0.0) + lower * self.pairs[keys & 0xFFFF])
+        lower = _find(self.contexts, self.context_part, keys >> _BITS, 1.0)
+        return -np.log(_find(self.grams, self.gram_part, keys, 0.0) + lower * self.after_one(keys & _PAIR))
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     """Models of all languages, in the order of their names."""
 
-    alphabet: list[int]
+    alphabet: np.ndarray  # letters, the most frequent first
     languages: list[str]
     models: list[CharModel]
     usual: np.ndarray  # mean cross-entropy of each language's own texts
@@ -141,23 +159,52 @@ class Scanner:
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.symbols = _alphabet_table(model.alphabet)
+        self.forget()
+
+    def forget(self) -> None:
         # From 1, 0 for grams not seen: pages of the table that hold none take no memory.
-        self.place = np.zeros(_KEYS, np.int32)
-        self.values = np.empty((0, len(model.languages)), np.float32)
+        self.place = np.zeros(1 << 3 * _FREQUENT, np.int32)
+        self.rare, self.rare_place = np.zeros(1, np.int64), np.zeros(1, np.int32)
+        self.values = np.empty((0, len(self.model.languages)), np.float32)
+
+    def remembered(self, keys: np.ndarray) -> np.ndarray:
+        """Where each gram's values are, from 1, and 0 for new grams."""
+        dense = (
+            (keys >> 2 * (_BITS - _FREQUENT) & 0xFF0000) | (keys >> _BITS - _FREQUENT & 0xFF00) | keys & 0xFF
+        )
+        found = self.place[dense]
+        if len(rare := np.flatnonzero(keys & _RARE)):
+            found[rare] = _find(self.rare, self.rare_place, keys[rare], 0)
+        return found
+
+    def remember(self, keys: np.ndarray) -> None:
+        """Add values of new grams, given once each."""
+        places = np.arange(len(self.values), len(self.values) + len(keys), dtype=np.int32) + 1
+        rare = keys & _RARE > 0
+        far, before, own = (keys[~rare] >> _BITS * i & _SYMBOL for i in (2, 1, 0))
+        self.place[far << 2 * _FREQUENT | before << _FREQUENT | own] = places[~rare]
+        if rare.any():
+            every = np.concatenate([self.rare, keys[rare]])
+            order = np.argsort(every, kind="stable")
+            self.rare = every[order]
+            self.rare_place = np.concatenate([self.rare_place, places[rare]])[order]
+        fresh = [model.surprise(keys).astype(np.float32) for model in self.model.models]
+        self.values = np.concatenate([self.values, np.stack(fresh, axis=1)])
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text the nats per symbol in each language, its symbols and its letters."""
         keys, starts, letters = _grams(texts, self.symbols)
-        new = np.unique(keys[self.place[keys] == 0])
-        if len(new):
-            self.place[new] = np.arange(len(self.values), len(self.values) + len(new)) + 1
-            fresh = [model.surprise(new).astype(np.float32) for model in self.model.models]
-            self.values = np.concatenate([self.values, np.stack(fresh, axis=1)])
+        if self.values.nbytes > _MEMORY_BYTES:
+            self.forget()
+        places = self.remembered(keys)
+        if len(new := np.unique(keys[places == 0])):
+            self.remember(new)
+            places = self.remembered(keys)
         n = np.diff(starts)
         sums = np.zeros((len(texts), len(self.model.languages)))
         some = np.flatnonzero(n)
         if len(some):
-            nats = self.values[self.place[keys] - 1]
+            nats = self.values[places - 1]
             sums[some] = np.add.reduceat(nats, starts[some], axis=0, dtype=np.float64)
         return sums / np.maximum(n, 1)[:, None], n, letters
 
@@ -207,8 +254,8 @@ def train(
 ) -> LanguageModel:
     """Fit the models on at most ``per_language`` texts of each language.
 
-    Grams are counted in Spark. What comes to the driver is bounded by the sample: at most
-    2**24 different grams per language. Three of four sampled texts fit, the fourth
+    Grams are counted in Spark. What comes to the driver is bounded by the sample: its
+    letters, and the different grams of each language's texts. Three of four sampled texts fit, the fourth
     calibrates. Without labelled texts there are no languages.
     """
     sample = _sample(docs, key, text, lang, per_language)
@@ -224,8 +271,7 @@ def train(
     most = sample.select("text").mapInArrow(characters, "code long, n long").groupBy("code").agg(
         F.sum("n").alias("n")
     )
-    top = most.orderBy(F.desc("n"), "code").limit(_SYMBOLS - _FIRST).collect()
-    alphabet = sorted(row["code"] for row in top)
+    alphabet = most.orderBy(F.desc("n"), "code").toArrow()["code"].to_numpy()
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = _alphabet_table(alphabet)
@@ -236,13 +282,13 @@ def train(
                 own = [keys[a:b] for name, a, b in zip(langs, starts, starts[1:]) if name == lang]
                 found, counts = np.unique(np.concatenate(own), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found)), pa.array(found.astype(np.int32)), pa.array(counts)],
+                    [pa.array([lang] * len(found)), pa.array(found), pa.array(counts)],
                     ["lang", "gram", "n"],
                 )
 
     counted = (
         sample.filter("part > 0").select("lang", "text")
-        .mapInArrow(grams, "lang string, gram int, n long")
+        .mapInArrow(grams, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         .orderBy("lang", "gram").toArrow().to_pandas()
     )
@@ -252,7 +298,8 @@ def train(
     models = []
     for name in languages:
         own = counted[counted["lang"] == name]
-        models.append(CharModel.fit(own["gram"].to_numpy(np.int32), own["n"].to_numpy(np.int64)))
+        keys, counts = own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.int64)
+        models.append(CharModel.fit(keys, counts, _FIRST + len(alphabet)))
     n = len(languages)
     model = LanguageModel(
         alphabet, languages, models, np.full(n, np.inf), np.zeros(n), np.full(n, -np.inf)

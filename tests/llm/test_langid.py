@@ -69,18 +69,104 @@ def test_without_labels(spark):
 def test_kneser_ney_sums_to_one_and_follows_the_formula():
     rng = random.Random(4)
     grams = Counter(
-        (rng.choice([0, 2, 3]) << 16) | (rng.choice([2, 3, 4]) << 8) | rng.choice([0, 2, 3, 4, 5])
+        langid.packed(rng.choice([0, 2, 3]), rng.choice([2, 3, 4]), rng.choice([0, 2, 3, 4, 5]))
         for _ in range(400)
     )
-    keys = np.array(sorted(grams), np.int32)
+    keys = np.array(sorted(grams), np.int64)
     counts = np.array([grams[k] for k in keys.tolist()])
-    model = langid.CharModel.fit(keys, counts)
-    for context in (0x0202, 0x0003, 0x0909):
-        every = (context << 8) | np.arange(256, dtype=np.int32)
+    model = langid.CharModel.fit(keys, counts, 256)
+    for context in ((2, 2), (0, 3), (9, 9)):
+        every = langid.packed(*context, np.arange(256, dtype=np.int64))
         assert np.exp(-model.surprise(every)).sum() == pytest.approx(1)
     d = langid._discount(counts)
-    context = int(keys[0]) >> 8
-    own = {k: c for k, c in grams.items() if k >> 8 == context}
-    lower = model.pairs[int(keys[0]) & 0xFFFF]
+    context = int(keys[0]) >> langid._BITS
+    own = {k: c for k, c in grams.items() if k >> langid._BITS == context}
+    lower = model.after_one(keys[:1] & langid._PAIR)[0]
     expected = (max(own[int(keys[0])] - d, 0) + d * len(own) * lower) / sum(own.values())
     assert np.exp(-model.surprise(keys[:1]))[0] == pytest.approx(expected)
+
+
+class PlainModel:
+    """Interpolated Kneser-Ney over symbols, from the texts themselves and by its definition."""
+
+    def __init__(self, texts, n_symbols):
+        self.grams = Counter(gram for text in texts for gram in plain_grams(text))
+        self.pairs = Counter(gram[1:] for gram in self.grams)
+        self.ones = Counter(pair[1:] for pair in self.pairs)
+        self.n_symbols = n_symbols
+
+    def part(self, counts, gram, lower):
+        kinds = Counter(counts.values())
+        d = kinds[1] / (kinds[1] + 2 * kinds[2]) if kinds[1] else 0.5
+        own = [n for other, n in counts.items() if other[:-1] == gram[:-1]]
+        if not own:
+            return lower
+        return (max(counts[gram] - d, 0) + d * len(own) * lower) / sum(own)
+
+    def nats(self, text):
+        total = []
+        for gram in plain_grams(text):
+            lower = 1 / self.n_symbols
+            for counts, tail in ((self.ones, gram[2:]), (self.pairs, gram[1:]), (self.grams, gram)):
+                lower = self.part(counts, tail, lower)
+            total.append(-np.log(lower))
+        return sum(total) / len(total)
+
+
+def plain_grams(text):
+    """Each letter and word end with the two symbols before it in its word."""
+    out = []
+    for word in "".join(c.lower() if c.isalpha() else " " for c in text).split():
+        marked = ["", "", *word, ""]
+        out += [tuple(marked[i - 2 : i + 1]) for i in range(2, len(marked))]
+    return out
+
+
+def many_letters(first, n):
+    return [c for c in map(chr, range(first, first + 3 * n)) if c.isalpha()][:n]
+
+
+def scripts(n, seed):
+    """Two languages of 1,500 letters each beside one of 240 letters that is ten times as frequent."""
+    rng = random.Random(seed)
+    letters = {"han": many_letters(0x4E00, 3000)[::2], "kan": many_letters(0x4E00, 3000)[1::2],
+               "yi": many_letters(0xA000, 240)}
+    rows = []
+    for i in range(n):
+        lang = ("han", "kan", "yi")[i % 3]
+        words = 40 if lang != "yi" else 400
+        text = " ".join(
+            "".join(rng.choice(letters[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(words)
+        )
+        rows.append((i, text, lang))
+    return rows
+
+
+def test_scripts_of_many_letters(spark):
+    kinds = "doc_id long, text string, lang string"
+    model = langid.train(spark.createDataFrame(scripts(450, 5), kinds))
+    assert len(model.alphabet) >= 3000
+    found = langid.identify(spark.createDataFrame(scripts(150, 6), kinds), model).collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in found) >= 0.95 * len(found)
+
+
+def test_entropies_equal_a_plain_scorer(spark, monkeypatch):
+    """Also with symbols beyond the frequent ones and where values are forgotten."""
+    rows = [r for r in scripts(24, 7) if r[2] != "yi"] + texts(40, 8)
+    docs = spark.createDataFrame(
+        [(i, *r[1:]) for i, r in enumerate(rows)], "doc_id long, text string, lang string"
+    )
+    model = langid.train(docs)
+    assert len(model.alphabet) > 300
+    own = {lang: [] for lang in model.languages}
+    for row in langid._sample(docs, "doc_id", "text", "lang", langid.SAMPLE_PER_LANGUAGE).filter("part > 0").collect():
+        own[row["lang"]].append(row["text"])
+    plain = [PlainModel(own[lang], langid._FIRST + len(model.alphabet)) for lang in model.languages]
+    tried = [rows[0][1][:60], rows[-1][1][:60], "abc, ABC! " + rows[1][1][:20]]
+    scanner = model.scanner()
+    for _ in range(2):
+        entropy, n, letters = scanner.entropies(tried)
+        for i, text in enumerate(tried):
+            assert (n[i], letters[i]) == (len(plain_grams(text)), sum(c.isalpha() for c in text))
+            assert entropy[i] == pytest.approx([one.nats(text) for one in plain], rel=1e-4)
+        monkeypatch.setattr(langid, "_MEMORY_BYTES", 0)
