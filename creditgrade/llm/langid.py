@@ -35,7 +35,7 @@ _SYMBOL, _PAIR = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1
 # Grams of the 256 most frequent symbols are found by place, the others in sorted arrays.
 _FREQUENT = 8
 _RARE = sum((_SYMBOL >> _FREQUENT << _FREQUENT) << _BITS * i for i in range(3))
-_BATCH_BYTES = 1 << 20
+_BATCH_BYTES = 1 << 18
 _MEMORY_BYTES = 128 << 20
 
 

@@ -9,7 +9,8 @@ out before, and letters that stand alone are read as one word.
 The kernel is approximated by Nyström landmarks: words are described by their kernel values
 with some landmark words, and the machine is linear in that space. As a kernel value is a
 sum over triples, so is the machine's value: after training it is a table of triples, and
-scoring a text needs no landmark.
+scoring a text needs no landmark. Each letter of a landmark is a symbol of its own; all other
+letters share one, which changes no value, as no triple with them is in the table.
 
 Labels are per document. Training alternates between picking each toxic document's witness,
 its most toxic word so far, and fitting the machine to tell the witnesses from the words of
@@ -40,8 +41,8 @@ SPAN = 6
 DECAY = 0.7
 COST = 10.0
 UNIT = 16
-_BITS = 7
-_LETTERS = (1 << _BITS) - 2
+_BITS = 21  # as many as a code point has, so that any alphabet fits
+COPY_HASHES = 8
 _OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _BATCH_BYTES = 2 << 20
 _MEMORY = 500_000
@@ -58,13 +59,27 @@ def words_of(text: str) -> set[str]:
     return found
 
 
+def _alphabet(words: list[str]) -> list[int]:
+    """The different letters of words."""
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "replace"), np.uint32)
+    return [code for code in np.unique(letter_table()[flat]).tolist() if code]
+
+
+def _places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key is among the sorted known ones, from 1; 0 if it is not."""
+    if not len(known):
+        return np.zeros(keys.shape, np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, at + 1, 0)
+
+
 class Kernel:
     """Symbols of words and sums over their triples."""
 
     def __init__(self, alphabet: list[int]) -> None:
-        symbol = np.ones(0x110000, np.uint8)
+        symbol = np.ones(0x110000, np.int32)
         symbol[0] = 0
-        symbol[alphabet] = np.arange(2, 2 + len(alphabet), dtype=np.uint8)
+        symbol[alphabet] = np.arange(2, 2 + len(alphabet))
         self.symbols = symbol[letter_table()]
 
     def units(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +101,7 @@ class Kernel:
         place = start[:, None] + np.arange(UNIT)
         inside = place < (first + n)[owner][:, None]
         table = np.where(inside, np.append(symbol, 0)[np.minimum(place, len(symbol))], 0)
-        return table.astype(np.int32), owner
+        return table.astype(np.int64), owner
 
     @staticmethod
     def triples(units: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
@@ -102,29 +117,33 @@ class Kernel:
         return np.sqrt(np.maximum(total, 1.0))
 
     @classmethod
-    def sums(cls, units: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """The machine's value of each unit from its table of triples."""
-        total = sum(weight * table[keys].sum(axis=1) for keys, weight in cls.triples(units))
+    def known(cls, units: np.ndarray) -> np.ndarray:
+        """The different triples of units, sorted."""
+        every = np.unique(np.concatenate([keys.ravel() for keys, _ in cls.triples(units)]))
+        return every[every > 0]
+
+    @classmethod
+    def sums(cls, units: np.ndarray, known: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """The machine's value of each unit from its known triples; ``table`` starts with 0
+        for the others."""
+        total = sum(weight * table[_places(known, keys)].sum(axis=1) for keys, weight in cls.triples(units))
         return total / cls.sizes(units)
 
     @classmethod
     def values(cls, units: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
         """Kernel values of units with landmarks, both as rows of symbols."""
-        place = np.zeros(1 << 3 * _BITS, np.int32)
-        known = np.unique(np.concatenate([keys.ravel() for keys, _ in cls.triples(landmarks)]))
-        known = known[known > 0]
-        place[known] = np.arange(1, len(known) + 1)
+        known = cls.known(landmarks)
         weights = np.zeros((len(known) + 1, len(landmarks)), np.float32)
         of = np.arange(len(landmarks))[:, None]
         for keys, weight in cls.triples(landmarks):
-            np.add.at(weights, (place[keys], np.broadcast_to(of, keys.shape)), weight)
+            np.add.at(weights, (_places(known, keys), np.broadcast_to(of, keys.shape)), weight)
         weights[0] = 0
         weights /= cls.sizes(landmarks)
         out = np.zeros((len(units), len(landmarks)), np.float32)
         for start in range(0, len(units), 4096):
             some = units[start : start + 4096]
             for keys, weight in cls.triples(some):
-                for column in place[keys].T:
+                for column in _places(known, keys).T:
                     out[start : start + 4096] += np.float32(weight) * weights[column]
         return out / cls.sizes(units)[:, None]
 
@@ -146,8 +165,7 @@ class Scorer:
     def __init__(self, model: ToxicityModel) -> None:
         self.model = model
         self.kernel = Kernel(model.alphabet)
-        self.table = np.zeros(1 << 3 * _BITS, np.float32)
-        self.table[model.triples] = model.weights
+        self.table = np.concatenate([np.zeros(1, np.float32), model.weights])
         self.known: dict[str, float] = {}
 
     def values(self, texts: list[str | None]) -> np.ndarray:
@@ -164,7 +182,7 @@ class Scorer:
         out = np.full(len(words), _NONE)
         for start in range(0, len(words), 65536):
             units, owner = self.kernel.units(words[start : start + 65536])
-            np.maximum.at(out, owner + start, self.kernel.sums(units, self.table))
+            np.maximum.at(out, owner + start, self.kernel.sums(units, self.model.triples, self.table))
         return out
 
     def probabilities(self, texts: list[str | None]) -> np.ndarray:
@@ -234,7 +252,7 @@ def _bags(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     """Words of each toxic text, and words of the others with their number of texts.
 
     Copies of a text would make all of its words look toxic. Texts whose words have the
-    same smallest hash, as near copies mostly do, count as one text.
+    same COPY_HASHES smallest hashes, as copies and most near copies do, count as one text.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,8 +261,9 @@ def _bags(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
             labels = batch.column("label").to_pylist()
             for label, text in zip(labels, batch.column("text").to_pylist(), strict=True):
                 words = words_of(text or "")
-                least = min((xxhash.xxh3_64_intdigest(word) >> 1 for word in words), default=0)
-                rows += [(least, label, word) for word in words]
+                least = sorted(map(xxhash.xxh3_64_intdigest, words))[:COPY_HASHES]
+                copy = xxhash.xxh3_64_intdigest(np.array(least, np.uint64).tobytes()) >> 1
+                rows += [(copy, label, word) for word in words]
             i, label, word = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(i, pa.int64()), pa.array(label, pa.int32()), pa.array(word, pa.string())],
@@ -265,13 +284,6 @@ def _bags(sample: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
 
 def _fit(toxic: pd.DataFrame, clean: pd.DataFrame) -> ToxicityModel:
     """The machine without its probability curve."""
-    letters = letter_table()
-    every = pd.concat([toxic["word"], clean["word"]])
-    flat = np.frombuffer("".join(every).encode("utf-32-le", "replace"), np.uint32)
-    seen = np.bincount(letters[flat], minlength=1)
-    seen[0] = 0
-    alphabet = sorted(np.argsort(-seen, kind="stable")[: min(_LETTERS, int((seen > 0).sum()))].tolist())
-    kernel = Kernel(alphabet)
     rng = np.random.default_rng(11)
 
     of_toxic = toxic.groupby("word").size()
@@ -289,8 +301,11 @@ def _fit(toxic: pd.DataFrame, clean: pd.DataFrame) -> ToxicityModel:
     negative = set(names[some]) | set(often[: NEGATIVES // 4])
     half = LANDMARKS // 2
     chosen = [*odds.index[:half], *often[: half // 2], *sorted(negative)[: half - half // 2]]
+    alphabet = _alphabet(chosen)
+    kernel = Kernel(alphabet)
     marks, _ = kernel.units(list(dict.fromkeys(chosen)))
     marks = np.unique(marks, axis=0)
+    triples = kernel.known(marks)
     value, base = np.linalg.eigh(kernel.values(marks, marks).astype(np.float64))
     kept = value > 1e-6 * value.max()
     whiten = base[:, kept] / np.sqrt(value[kept])
@@ -314,13 +329,11 @@ def _fit(toxic: pd.DataFrame, clean: pd.DataFrame) -> ToxicityModel:
         for side in (1, -1):
             weight[y == side] *= 2000 / max(1.0, weight[y == side].sum())
         w = _svm(x, y, weight)
-        table = np.zeros(1 << 3 * _BITS)
+        table = np.zeros(len(triples) + 1)
         of_mark = whiten @ w[:-1] / kernel.sizes(marks)
         for keys, spread in kernel.triples(marks):
-            np.add.at(table, keys, of_mark[:, None] * spread)
-        table[0] = 0
-        triples = np.flatnonzero(table)
-        model = ToxicityModel(alphabet, triples, table[triples].astype(np.float32), 1.0, 0.0)
+            np.add.at(table, _places(triples, keys), of_mark[:, None] * spread)
+        model = ToxicityModel(alphabet, triples, table[1:].astype(np.float32), 1.0, 0.0)
         scorer = Scorer(model)
         score = dict(zip(odds.index, scorer.word_values(odds.index.tolist()), strict=True))
         if len(names):

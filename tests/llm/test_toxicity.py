@@ -92,3 +92,24 @@ def test_long_words_are_read_in_pieces():
     units, owner = kernel.units(["a" * 40, "", "!!", "bcd"])
     assert owner.tolist() == [0, 0, 0, 0, 3] and (units[:4] > 0).all()
     assert np.array_equal(units[4][:3] > 0, [True] * 3)
+
+
+def test_values_do_not_depend_on_how_other_letters_are_numbered():
+    """Only letters of landmarks matter: a kernel of these alone equals one of all letters."""
+    rng = random.Random(9)
+    letters = [chr(0x4E00 + i) for i in range(700)]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 12))) for _ in range(300)]
+    marks = words[:40]
+    few, many = t.Kernel(t._alphabet(marks)), t.Kernel([ord(c) for c in letters])
+    assert len(t._alphabet(marks)) > 150
+    found = [k.values(k.units(words)[0], k.units(marks)[0]) for k in (few, many)]
+    assert np.allclose(*found) and (found[0] > 0.99).sum() >= 40
+
+
+def test_different_texts_are_not_merged(spark):
+    """Texts that share their rarest words still count by themselves; copies count as one."""
+    rows = [(i, " ".join(f"w{i}{j}" for j in "abcdefghijkl") + " the and of") for i in range(50)]
+    rows += [(100 + i, rows[0][1]) for i in range(20)]
+    sample = spark.createDataFrame([(text, 1, 1) for _, text in rows], "text string, label int, part int")
+    toxic, clean = t._bags(sample)
+    assert toxic["id"].nunique() == 50 and clean.empty and len(toxic) == 50 * 15
