@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditgrade.operators import skew
 from creditgrade.operators.statistics import KeyStatistics
+from creditgrade.operators.wanted import wanted_keys
 
 
 def duplicate_keys(df: DataFrame, key: str = "member_id") -> DataFrame:
@@ -67,11 +68,16 @@ def loans_repaid_twice(
     rows_per_task: int = skew.ROWS_PER_TASK,
     statistics: KeyStatistics | None = None,
 ) -> DataFrame:
-    """Members of the loans whose loan id has several repayment rows, with their number."""
-    owners = skew.merged(loans.select("loan_id", "member_id"))
+    """Members of the loans whose loan id has several repayment rows, with their number.
+
+    Loans with other ids go before they are shuffled, but for a few.
+    """
+    twice = skew.write_shared(duplicate_keys(repayments, "loan_id"), "repaid-twice")
+    likely = wanted_keys(twice, "loan_id").keep(loans.select("loan_id", "member_id"), "loan_id")
+    owners = skew.merged(likely)
     return skew.join_few(
         owners,
-        duplicate_keys(repayments, "loan_id"),
+        twice,
         "loan_id",
         skew.crowds(owners, "loan_id", rows_per_task, statistics),
         "left_semi",
