@@ -21,7 +21,8 @@ from creditgrade.sources.sinks import write_shared
 
 # Keys with no more rows than this in any of four tables make a million rows at most.
 LIMIT = 31
-BUCKET_ROWS = 100_000
+# So few that the sketch of a bucket is exact, but for buckets with very uneven shares of keys.
+BUCKET_ROWS = 20_000
 LISTED = 64
 TRACKED = 16_384
 # Fixed values of the sketch: its table is the next power of two above 4/3 of the tracked keys,
