@@ -81,10 +81,13 @@ def numbered(df: DataFrame, times: str, name: str, spread: bool = False) -> Data
     """Each row ``times`` times, with a number from 0; rows without times go.
 
     Made in three steps, so that no array grows with the number. With ``spread``, the steps
-    of one row go to different tasks.
+    of one row go to different tasks; rows of one step are not moved.
     """
     columns = [f"`{column}`" for column in df.columns]
     large = _STEP * _STEP
+    if spread:
+        few = numbered(df.filter(f"{times} <= {_STEP}"), times, name)
+        df = df.filter(f"{times} > {_STEP}")
     blocks = df.filter(f"{times} > 0").selectExpr(
         "*", f"explode(sequence(0L, ({times} - 1) DIV {large})) AS _large"
     )
@@ -95,15 +98,16 @@ def numbered(df: DataFrame, times: str, name: str, spread: bool = False) -> Data
     ).selectExpr("*", f"_large * {large} + _small * {_STEP} AS _from")
     if spread:
         blocks = blocks.hint("rebalance")
-    return blocks.selectExpr(
+    rows = blocks.selectExpr(
         "*", f"explode(sequence(0L, least({_STEP}, {times} - _from) - 1)) AS _one"
     ).selectExpr(*columns, f"_from + _one AS {name}")
+    return few.union(rows) if spread else rows
 
 
 def repeat_rows(df: DataFrame, times: str = TIMES, spread: bool = True) -> DataFrame:
     """Each row as often as its ``times`` column says; the column is dropped.
 
-    With ``spread``, the copies of one row are made by several tasks.
+    With ``spread``, the copies of one row are made by several tasks where they are very many.
     """
     return numbered(df, times, "_copy", spread).drop("_copy", times)
 
@@ -115,6 +119,17 @@ def merged(df: DataFrame, times: str = TIMES) -> DataFrame:
     return df.groupBy(*columns).agg(F.expr(f"{count} AS {times}"))
 
 
+def merged_by(df: DataFrame, key: str, statistics: KeyStatistics | None) -> DataFrame:
+    """``merged``, for a join or grouping by the key that follows.
+
+    Where statistics say that no key has very many rows, rows are dealt by the key alone, so what
+    follows needs no other shuffle. Else copies are merged before they are dealt.
+    """
+    if statistics is None or not statistics.never_above(key, 1, ROWS_PER_TASK):
+        return merged(df)
+    return merged(df.repartition(key))
+
+
 def with_cells(df: DataFrame, key: str, parts: DataFrame, number: int) -> DataFrame:
     """Add the cells of table ``number`` of the join, a row for each of them.
 

@@ -53,7 +53,7 @@ def _joined(
     owned_loans = loans.select("loan_id", "member_id", *VERIFICATION_LOAN_COLUMNS)
     paid = repayments.select("loan_id", *VERIFICATION_REPAYMENT_COLUMNS)
     if count_all:
-        owned_loans, paid = skew.merged(owned_loans), skew.merged(paid)
+        owned_loans, paid = (skew.merged_by(table, "loan_id", statistics) for table in (owned_loans, paid))
     paid_loans, crowded = skew.counted_join(
         owned_loans, [paid], "loan_id", "left", rows_per_task, statistics
     )
@@ -71,7 +71,10 @@ def _joined(
         tables = [skew.write_shared(skew.merged(table), "merged") for table in tables]
         parts = skew.crowded_keys(tables, "member_id", rows_per_task, "left")
     elif count_all:
-        tables = [skew.merged(table) for table in tables]
+        # The joined loans are different rows already, as loans and repayments were.
+        tables = [
+            table if table is paid_loans else skew.merged_by(table, "member_id", statistics) for table in tables
+        ]
     joined = skew.star_join(tables[0], tables[1:], "member_id", parts, "left")
     return joined.selectExpr(*_COLUMNS, skew.TIMES), crowded
 
@@ -84,14 +87,18 @@ def verification_counted(
     records: DataFrame,
     rows_per_task: int = skew.ROWS_PER_TASK,
     statistics: KeyStatistics | None = None,
+    factorised: DataFrame | None = None,
 ) -> DataFrame:
     """Different rows of the verification table with the number of times each is there, in
     ``_times``.
 
     Copies of a member's records become counts before they are joined: a member with many
     copies of one application has one row here. Repayments join their loans first, so that
-    the other three tables need only one shuffle by member.
+    the other three tables need only one shuffle by member. Where the factorised form of the
+    same tables is stored, it is given as ``factorised``: its rows are combined where they lie.
     """
+    if factorised is not None:
+        return _combinations(factorised, True)
     tables = (customers, loans, repayments, delinquency, records)
     return _joined(*tables, rows_per_task, statistics, True)[0]
 
@@ -161,23 +168,27 @@ def verification_factorised(
     elements. Arrays without rows are null. The size is in proportion to the different rows
     of the tables, but for loan ids that several loans share: each holds the repayments.
     """
-    paid = skew.merged(repayments.select("loan_id", *VERIFICATION_REPAYMENT_COLUMNS))
+    paid = skew.merged_by(
+        repayments.select("loan_id", *VERIFICATION_REPAYMENT_COLUMNS), "loan_id", statistics
+    )
     parts = _crowded_arrays([paid], "loan_id", array_rows, statistics)
     if parts is None:
         paid = _as_array(paid, ["loan_id"], "repayments")
     else:
         dealt = skew.with_cells(paid, "loan_id", parts.selectExpr("loan_id", "p0", "1L AS p1"), 0)
         paid = _as_array(dealt.drop("p1"), ["loan_id", skew.CELL], "repayments").drop(skew.CELL)
-    owned_loans = skew.merged(loans.select("loan_id", "member_id", *VERIFICATION_LOAN_COLUMNS))
+    owned_loans = skew.merged_by(
+        loans.select("loan_id", "member_id", *VERIFICATION_LOAN_COLUMNS), "loan_id", statistics
+    )
     by_loan = skew.crowds(owned_loans, "loan_id", rows_per_task, statistics)
     owned_loans = skew.join_few(owned_loans, paid, "loan_id", by_loan, "left")
 
     names = ["customers", "loans", "delinquency", "records"]
     tables = [
-        skew.merged(customers.select(*VERIFICATION_CUSTOMER_COLUMNS)),
+        skew.merged_by(customers.select(*VERIFICATION_CUSTOMER_COLUMNS), "member_id", statistics),
         owned_loans,
-        skew.merged(delinquency.select("member_id", *VERIFICATION_DELINQUENCY_COLUMNS)),
-        skew.merged(records.select("member_id", *VERIFICATION_RECORD_COLUMNS)),
+        skew.merged_by(delinquency.select("member_id", *VERIFICATION_DELINQUENCY_COLUMNS), "member_id", statistics),
+        skew.merged_by(records.select("member_id", *VERIFICATION_RECORD_COLUMNS), "member_id", statistics),
     ]
     parts = _crowded_arrays(tables, "member_id", array_rows, statistics)
     if parts is None:
@@ -196,16 +207,35 @@ def verification_factorised(
     return joined.filter(" AND ".join(whole)).select("member_id", *names)
 
 
+def _owned(factorised: DataFrame) -> DataFrame:
+    """Each customer of a member with each of its loans, and the member's other arrays."""
+    people = factorised.selectExpr("member_id", "explode(customers) AS c", "loans", "delinquency", "records")
+    return people.selectExpr("member_id", "c", "explode_outer(loans) AS l", "delinquency", "records")
+
+
 def expanded(factorised: DataFrame, spread: bool = True) -> DataFrame:
     """The rows of the verification table from its factors.
 
     With ``spread``, the combinations of customers and loans of one member, and the copies of
-    one row, are made by several tasks.
+    one row, are made by several tasks where there are very many.
     """
-    people = factorised.selectExpr("member_id", "explode(customers) AS c", "loans", "delinquency", "records")
-    owned = people.selectExpr("member_id", "c", "explode_outer(loans) AS l", "delinquency", "records")
+    return skew.repeat_rows(_combinations(factorised, spread), spread=spread)
+
+
+def _combinations(factorised: DataFrame, spread: bool) -> DataFrame:
+    """Different rows of the verification table with their number, from its factors."""
     if spread:
-        owned = owned.hint("rebalance")
+        # Only what one task should not make is dealt anew: a pair of customer and loan takes the
+        # member's other arrays with it.
+        factors = ("customers", "delinquency", "records")
+        sizes = [f"greatest(double(coalesce(size({name}), 1)), 1)" for name in factors]
+        paid = "coalesce(aggregate(loans, 0D, (n, l) -> n + greatest(coalesce(size(l.repayments), 1), 1)), 1)"
+        many = f"{' * '.join(sizes)} * greatest({paid}, 1) > {skew.ROWS_PER_TASK}"
+        owned = _owned(factorised.filter(f"NOT ({many})")).union(
+            _owned(factorised.filter(many)).hint("rebalance")
+        )
+    else:
+        owned = _owned(factorised)
     rows = (
         owned.selectExpr("member_id", "c", "l", "explode_outer(l.repayments) AS r", "delinquency", "records")
         .selectExpr("member_id", "c", "l", "r", "explode_outer(delinquency) AS d", "records")
@@ -213,7 +243,7 @@ def expanded(factorised: DataFrame, spread: bool = True) -> DataFrame:
     )
     times = " * ".join(f"coalesce({arm}.{skew.TIMES}, 1L)" for arm in "clrde")
     own = [f"c.{name}" for name in VERIFICATION_CUSTOMER_COLUMNS if name != "member_id"]
-    counted = rows.selectExpr(
+    return rows.selectExpr(
         *(f"l.{name}" for name in VERIFICATION_LOAN_KEY),
         "member_id",
         *own,
@@ -223,4 +253,3 @@ def expanded(factorised: DataFrame, spread: bool = True) -> DataFrame:
         *(f"e.{name}" for name in VERIFICATION_RECORD_COLUMNS),
         f"{times} AS {skew.TIMES}",
     ).select(*_COLUMNS, skew.TIMES)
-    return skew.repeat_rows(counted, spread=spread)
