@@ -21,7 +21,7 @@ from creditgrade.plans.verification import (
 from creditgrade.scorecard import Scorecard
 from creditgrade.sources.bucketed import BUCKETS, open_bucketed, write_bucketed
 from creditgrade.sources.runs import Run, RunWriter
-from creditgrade.sources.sinks import write_parquet
+from creditgrade.sources.sinks import write_parquet, write_shared
 
 
 @dataclass(frozen=True)
@@ -49,8 +49,9 @@ class CuratedTables:
     def verification(self) -> DataFrame:
         return verification(*vars(self).values())
 
-    def verification_counted(self) -> DataFrame:
-        return verification_counted(*vars(self).values())
+    def verification_counted(self, factorised: DataFrame | None = None) -> DataFrame:
+        """Counted rows; ``factorised`` is the stored factorised form of these tables, if there."""
+        return verification_counted(*vars(self).values(), factorised=factorised)
 
     def verification_factorised(self) -> DataFrame:
         return verification_factorised(*vars(self).values())
@@ -67,20 +68,24 @@ def curate_keyed(
     rows_per_task: int = skew.ROWS_PER_TASK,
     statistics: KeyStatistics | None = None,
     audit: Audit | None = None,
+    different: DataFrame | None = None,
 ) -> CuratedTables:
     """The five cleaned tables of raw applications that have their member key.
 
     With an ``audit``, the rows that each filter leaves are counted when a table is written.
+    ``different`` are the ``tables.distinct_customers``, where they are stored (and seen) already.
     """
 
     def seen(name: str) -> tables.Seen | None:
         return partial(audit.seen, table=name) if audit else None
 
     defaulters = projections.defaulters(keyed)
+    if different is None:
+        customers = tables.clean_customers(projections.customers(keyed), ingest_time, seen("customers"))
+    else:
+        customers = tables.clean_different(different, ingest_time)
     return CuratedTables(
-        customers=tables.clean_customers(
-            projections.customers(keyed), ingest_time, seen("customers")
-        ),
+        customers=customers,
         loans=tables.clean_loans(projections.loans(keyed), ingest_time, seen("loans")),
         repayments=tables.clean_repayments(
             projections.repayments(keyed), ingest_time, seen("repayments")
@@ -200,16 +205,23 @@ def _run(
     keyed = write(projections.keyed_applications(raw), "applications")
     statistics = application_statistics(keyed)
     audit = Audit()
-    curated = curate_keyed(keyed, ingest_time, rows_per_task, audit=audit)
+    # Copies are taken out once for the customers and for the mean that two tables are filled with.
+    different = write_shared(
+        audit.seen(tables.distinct_customers(projections.customers(keyed)), "customers"),
+        "different-customers",
+    )
+    mean = tables.mean_employment(different)
+    curated = curate_keyed(keyed, ingest_time, rows_per_task, audit=audit, different=different)
     written = {name: write(df, name) for name, df in curated.tables().items()}
     write(audit.counts(raw.sparkSession), "audit")
     write(direct.bad_members(keyed, rows_per_task), "bad_members")
-    write(direct.good_customers(keyed, ingest_time, rows_per_task), "good_customers")
+    write(direct.good_customers(keyed, ingest_time, rows_per_task, mean), "good_customers")
     found = CuratedTables(**written, rows_per_task=rows_per_task, statistics=statistics)
+    factorised = None
     if with_factorised:
-        write(found.verification_factorised(), "verification_factorised")
+        factorised = write(found.verification_factorised(), "verification_factorised")
     if with_verification:
-        write(found.verification_counted(), "verification")
+        write(found.verification_counted(factorised), "verification")
     written["loan_score"] = write(
         direct.score_applications(keyed, card, rows_per_task), "loan_score"
     )

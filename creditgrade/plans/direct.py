@@ -116,25 +116,26 @@ def bad_members(raw: DataFrame, rows_per_task: int = skew.ROWS_PER_TASK) -> Data
 
 
 def good_customers(
-    raw: DataFrame, ingest_time: Column | None = None, rows_per_task: int = skew.ROWS_PER_TASK
+    raw: DataFrame,
+    ingest_time: Column | None = None,
+    rows_per_task: int = skew.ROWS_PER_TASK,
+    mean: DataFrame | None = None,
 ) -> DataFrame:
     """The cleaned customers of a raw application table without its bad members.
 
     A good member has one raw row, so its columns come out of the grouping that finds the
-    bad ones. The mean that fills employment lengths is that of all customers.
+    bad ones. The mean that fills employment lengths is that of all customers; it is given
+    where it is stored already.
     """
     rows = typed_applications(raw).withColumn("address_country", F.lit(COUNTRY))
     columns = [target for target, _ in CUSTOMER_FIELDS.values()]
     own = F.struct(*columns[1:])
     members = _members_with_bad(rows, [F.any_value(own).alias("own")], rows_per_task)
     good = members.filter("n = 1 AND twice IS NULL").select("member_id", "own.*")
-    keyed = projections.with_member_id(raw)
-    mean = tables.floor_mean(
-        tables.numbered_employment(
-            tables.with_income(tables.distinct_customers(projections.customers(keyed)))
-        ),
-        "emp_length",
-    )
+    if mean is None:
+        mean = tables.mean_employment(
+            tables.distinct_customers(projections.customers(projections.with_member_id(raw)))
+        )
     return tables.finished_customers(
         tables.numbered_employment(tables.with_income(good)), mean, ingest_time
     )

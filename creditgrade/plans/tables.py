@@ -95,6 +95,17 @@ def numbered_employment(customers: DataFrame) -> DataFrame:
     return customers.withColumn("emp_length", clean.digits_to_int("emp_length"))
 
 
+def mean_employment(different: DataFrame) -> DataFrame:
+    """The mean that fills employment years: that of the different customers with an income."""
+    return floor_mean(numbered_employment(with_income(different)), "emp_length")
+
+
+def clean_different(different: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """``clean_customers`` of stored ``distinct_customers``."""
+    rows = numbered_employment(with_income(different))
+    return finished_customers(rows, mean_employment(different), ingest_time)
+
+
 def clean_customers(
     customers: DataFrame, ingest_time: Column | None = None, seen: Seen | None = None
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditgrade.operators.statistics import KeyStatistics
-from creditgrade.sources.sinks import checked
+from creditgrade.sources.sinks import checked, smaller
 
 BUCKETS = 200
 _ABOUT = "_buckets.json"
@@ -51,7 +51,7 @@ def write_bucketed(
         counted.write.mode("errorifexists")
         .bucketBy(n_buckets, key)
         .sortBy(key)
-        .option("path", path)
+        .options(path=path, **smaller(spark))
         .saveAsTable(table)
     )
     n_rows = written.get.get("n_rows", 0)
