@@ -194,7 +194,9 @@ def _states(spark: SparkSession, sf_dir: str) -> str:
     about = (spark.sparkContext.applicationId, sf_dir)
     if about not in _added:
         root = shared_folder(spark)
-        raw = star.applications(spark, sf_dir)
+        # Both parts come from one reading of the tables.
+        keyed = projections.keyed_applications(star.applications(spark, sf_dir))
+        raw = sinks.write_shared(keyed, "applications")
         first = F.pmod(F.xxhash64("id", "loan_amnt"), F.lit(2)) == 0
         for part in (first, ~first):
             incremental.add_applications(raw.filter(part), root, CARD)

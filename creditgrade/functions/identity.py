@@ -22,3 +22,20 @@ def member_key(columns: Sequence[str] = MEMBER_KEY_COLUMNS) -> Column:
         for name in columns
     )
     return F.expr(f"sha2(concat_ws('{MEMBER_KEY_SEPARATOR}', {text}), 256)")
+
+
+def packed_key(name: str) -> Column:
+    """A text key as bytes, for shuffles: lower-case hex digits take half the room there.
+
+    The first byte tells how the rest is to be read, so different keys never become one.
+    """
+    return F.expr(
+        f"IF(lower(hex(unhex({name}))) = {name}, concat(X'01', unhex({name})),"
+        f" concat(X'00', CAST({name} AS BINARY)))"
+    )
+
+
+def unpacked_key(name: str) -> Column:
+    """The text of a ``packed_key``."""
+    rest = f"substring({name}, 2)"
+    return F.expr(f"IF(substring({name}, 1, 1) = X'01', lower(hex({rest})), CAST({rest} AS STRING))")

@@ -34,6 +34,16 @@ class WantedKeys:
         found = df.filter(F.col(key).isNotNull()).join(F.broadcast(self.words), place == F.col(_WORD))
         return found.filter(F.col(_BITS).bitwiseAND(_mask(key)) == _mask(key)).select(*df.columns)
 
+    def split(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+        """The rows whose key may be wanted or is null, and all others; None if that is unknown."""
+        if self.words is None:
+            return df, None
+        place = F.pmod(F.xxhash64(key), F.lit(self.n_words))
+        found = df.join(F.broadcast(self.words), place == F.col(_WORD), "left")
+        bits = F.coalesce(F.col(_BITS), F.lit(0))
+        likely = F.col(key).isNull() | (bits.bitwiseAND(_mask(key)) == _mask(key))
+        return found.filter(likely).select(*df.columns), found.filter(~likely).select(*df.columns)
+
 
 def _mask(key: str) -> Column:
     """Three bits of a word, which may coincide."""

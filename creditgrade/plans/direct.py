@@ -54,30 +54,42 @@ _COMPLETE_LOAN = (
 )
 
 
+def complete_loan() -> Column:
+    """Whether a row has a complete loan."""
+    return clean.present(*_COMPLETE_LOAN)
+
+
 def owns_loan() -> Column:
     """Whether a row has an income and a complete loan."""
-    return F.col("annual_income").isNotNull() & clean.present(*_COMPLETE_LOAN)
+    return F.col("annual_income").isNotNull() & complete_loan()
 
 
 def loan_rows(rows: DataFrame) -> DataFrame:
     """What the scorecard needs of each complete loan row."""
-    return rows.filter(clean.present(*_COMPLETE_LOAN)).select(
-        "loan_id", "monthly_installment", "funded_amount"
-    )
+    return rows.filter(complete_loan()).select("loan_id", "monthly_installment", "funded_amount")
 
 
-def repayments_by_loan(rows: DataFrame) -> DataFrame:
-    """Per loan id its number of repayments, and the repayment if there is one only."""
-    total = clean.reconciled_total(
+def total_paid() -> Column:
+    """The payments of a row, added up where their total is missing."""
+    return clean.reconciled_total(
         "total_payment_received",
         "total_principal_received",
         "total_interest_received",
         "total_late_fee_received",
     )
+
+
+def is_paid() -> Column:
+    """Whether a row has a complete repayment of a loan id."""
+    complete = clean.present((), REQUIRED_REPAYMENT_COLUMNS)
+    return complete & F.col("loan_id").isNotNull() & (total_paid() != 0)
+
+
+def repayments_by_loan(rows: DataFrame) -> DataFrame:
+    """Per loan id its number of repayments, and the repayment if there is one only."""
     return (
-        rows.filter(clean.present((), REQUIRED_REPAYMENT_COLUMNS))
-        .select("loan_id", "last_payment_amount", total.alias("total_payment_received"))
-        .filter("loan_id IS NOT NULL AND total_payment_received <> 0")
+        rows.filter(is_paid())
+        .select("loan_id", "last_payment_amount", total_paid().alias("total_payment_received"))
         .groupBy("loan_id")
         .agg(
             F.expr("count(*) AS n"),

@@ -3,7 +3,8 @@ from conftest import random_applications, rows_of
 from pyspark.sql import functions as F
 
 from creditgrade import Scorecard, score_applications
-from creditgrade.operators import projections
+from creditgrade.functions.identity import packed_key, unpacked_key
+from creditgrade.operators import projections, wanted
 from creditgrade.plans import direct, incremental, tables
 from creditgrade.sources.runs import RunWriter, complete_runs
 
@@ -83,3 +84,38 @@ def test_other_scorecard(spark, tmp_path):
     incremental.add_applications(raw, root)
     with pytest.raises(incremental.OtherScorecard):
         incremental.add_applications(raw, root, Scorecard(good_grade_pts=1))
+
+
+def test_parts_without_filters(spark, tmp_path, monkeypatch):
+    """With more keys than a Bloom filter may have, all rows go the exact way."""
+    monkeypatch.setattr(wanted, "MAX_KEYS", -1)
+    test_parts_give_the_rows_of_one_run(spark, tmp_path)
+
+
+def test_first_batch_is_stored_once(spark, tmp_path, monkeypatch):
+    """Without older states its own are the merged ones, and unused columns are not stored."""
+    stored, write = {}, incremental.write_shared
+    monkeypatch.setattr(incremental, "write_shared", lambda df, name: stored.setdefault(name, write(df, name)))
+    raw = random_applications(spark, 37, 60)
+    root = str(tmp_path / "states")
+    incremental.add_applications(raw, root)
+    assert list(stored) == ["new-applications"]
+    assert not {"title", "purpose", "int_rate", "issue_d"} & set(stored["new-applications"].columns)
+    check(spark, root, raw)
+
+
+def test_last_runs_are_dealt_once(spark, tmp_path, no_broadcast):
+    """They are dealt by the member for their grouping, and not again for the join."""
+    root = str(tmp_path / "states")
+    incremental.add_applications(random_applications(spark, 38, 60), root)
+    plan = incremental.current_scores(spark, root)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(member_id" in line]
+    assert len(dealt) == 2 and not any("run#" in line.split("hashpartitioning")[1] for line in dealt)
+
+
+def test_packed_keys(spark):
+    keys = ["", "0a", "0A", "abc", "00ff", "x", "ab" * 32, "\u00e9", "0", None]
+    rows = spark.createDataFrame([(key,) for key in keys], "k string").select("k", packed_key("k").alias("p"))
+    back = rows.select("k", "p", unpacked_key("p").alias("again")).collect()
+    assert all(row["k"] == row["again"] for row in back) and len({row["p"] and bytes(row["p"]) for row in back}) == len(keys)
+    assert max(len(row["p"]) for row in back if row["p"]) == 33
