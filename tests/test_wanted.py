@@ -23,12 +23,23 @@ def test_no_wanted_row_is_stopped(spark, n):
     assert len(found) - len(expected) <= 0.06 * 50_000
 
 
+def test_split_loses_no_row(spark):
+    keys = write_shared(spark.range(100).selectExpr("string(id) AS k"), "keys")
+    rows = spark.range(5_000).selectExpr("IF(id % 9 = 0, NULL, string(id)) AS k", "id AS _bits")
+    likely, others = wanted_keys(keys, "k").split(rows, "k")
+    assert rows_of(likely.union(others)) == rows_of(rows)
+    without = {r["k"] for r in others.collect()}
+    assert None not in without and not without & {str(i) for i in range(100)} and len(without) > 4_000
+
+
 def test_too_many_keys(spark, monkeypatch):
     monkeypatch.setattr(wanted, "MAX_KEYS", 10)
     keys = write_shared(spark.range(11).selectExpr("id AS k"), "keys")
     rows = spark.range(20).selectExpr("id AS k")
     assert wanted_keys(keys, "k").words is None
     assert rows_of(wanted_keys(keys, "k").keep(rows, "k")) == rows_of(rows)
+    likely, others = wanted_keys(keys, "k").split(rows, "k")
+    assert others is None and rows_of(likely) == rows_of(rows)
 
 
 def test_scores_with_and_without(spark, monkeypatch):
