@@ -10,7 +10,10 @@ Results of a member depend on its own rows and on those with the loan id of its
 batch touches the members it has rows of, and the members who own a loan id that it has a loan
 or a repayment of. Only those are judged and scored anew, from the states that concern them;
 states of other keys are left out by a Bloom filter before anything is shuffled. A member's
-results are those of the last run that touched it.
+results are those of the last run that touched it. Beyond the number of keys that such a
+filter may have, all old states are grouped or joined once. Joins and groupings that most rows
+do not need get the other rows only: members whose loan may be repaid twice, and customer rows
+of members with several.
 """
 
 from __future__ import annotations
