@@ -38,8 +38,6 @@ def test_too_many_keys(spark, monkeypatch):
     rows = spark.range(20).selectExpr("id AS k")
     assert wanted_keys(keys, "k").words is None
     assert rows_of(wanted_keys(keys, "k").keep(rows, "k")) == rows_of(rows)
-    likely, others = wanted_keys(keys, "k").split(rows, "k")
-    assert others is None and rows_of(likely) == rows_of(rows)
 
 
 def test_scores_with_and_without(spark, monkeypatch):
@@ -53,3 +51,11 @@ def test_scores_with_and_without(spark, monkeypatch):
     filtered = scores()
     monkeypatch.setattr(wanted, "MAX_KEYS", -1)
     assert filtered and filtered == scores()
+
+
+def test_split_of_too_many_keys(spark, monkeypatch):
+    monkeypatch.setattr(wanted, "MAX_KEYS", 10)
+    keys = write_shared(spark.range(11).selectExpr("id AS k"), "keys")
+    rows = spark.range(20).selectExpr("id AS k")
+    likely, others = wanted_keys(keys, "k").split(rows, "k")
+    assert others is None and rows_of(likely) == rows_of(rows)
