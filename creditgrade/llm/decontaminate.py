@@ -25,13 +25,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditgrade.llm.common import released
+
 WORDS = 5
 SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 BENCHMARK_BLOCK_BYTES = 16 << 20
 _FILTER_BITS = 22
-_MEMORY = 500_000
+_MEMORY = 100_000
 _HIT = "array<struct<item_id:long,similarity:double>>"
 
 # Words are runs of letters and digits: A-Z are lower-cased, other ASCII is white space.
@@ -190,13 +192,16 @@ class ItemIndex:
 
 
 def _search_udf(items: Broadcast, similarity: float) -> Callable[[str], Column]:
-    @F.pandas_udf(_HIT)
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = ItemIndex(items.value, similarity)
         for texts in batches:
             found = [[{"item_id": i, "similarity": s} for i, s in index.hits(t)] for t in texts]
             yield pd.Series(found, dtype=object)
 
+    @F.pandas_udf(_HIT)
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return released(hits(batches))
+
     return search
 
 

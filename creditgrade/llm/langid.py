@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditgrade.llm.common import bounded_sample, letter_table, pieces, schema_text, stored
+from creditgrade.llm.common import bounded_sample, letter_table, pieces, released, schema_text, stored
 
 SAMPLE_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 500
@@ -36,7 +36,7 @@ _SYMBOL, _PAIR = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1
 _FREQUENT = 8
 _RARE = sum((_SYMBOL >> _FREQUENT << _FREQUENT) << _BITS * i for i in range(3))
 _BATCH_BYTES = 1 << 18
-_MEMORY_BYTES = 128 << 20
+_MEMORY_BYTES = 32 << 20
 
 
 def packed(far: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -268,9 +268,11 @@ def train(
         codes = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(seen[codes])], ["code", "n"])
 
-    most = sample.select("text").mapInArrow(characters, "code long, n long").groupBy("code").agg(
-        F.sum("n").alias("n")
-    )
+    most = (
+        sample.select("text")
+        .mapInArrow(lambda batches: released(characters(batches)), "code long, n long")
+        .groupBy("code").agg(F.sum("n").alias("n"))
+    )
     alphabet = most.orderBy(F.desc("n"), "code").toArrow()["code"].to_numpy()
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +290,7 @@ def train(
 
     counted = (
         sample.filter("part > 0").select("lang", "text")
-        .mapInArrow(grams, "lang string, gram long, n long")
+        .mapInArrow(lambda batches: released(grams(batches)), "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         .orderBy("lang", "gram").toArrow().to_pandas()
     )
@@ -323,7 +325,7 @@ def _calibrated(model: LanguageModel, texts: DataFrame) -> LanguageModel:
             )
 
     found = texts.select("lang", "text").mapInArrow(
-        entropies, "lang string, n long, entropy array<double>"
+        lambda batches: released(entropies(batches)), "lang string, n long, entropy array<double>"
     ).toArrow().to_pandas()
     usual, worst, foreign = model.usual.copy(), model.worst.copy(), model.foreign.copy()
     for i, name in enumerate(model.languages):
@@ -360,5 +362,6 @@ def identify(
     schema = schema_text(docs, columns)
     kinds = zip(added, ("string", "double", "boolean"), strict=True)
     return docs.select(*columns).mapInArrow(
-        scan, ", ".join([schema, *(f"`{name}` {kind}" for name, kind in kinds)])
+        lambda batches: released(scan(batches)),
+        ", ".join([schema, *(f"`{name}` {kind}" for name, kind in kinds)]),
     )

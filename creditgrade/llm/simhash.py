@@ -25,13 +25,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditgrade.llm.common import pieces, stored, utf8
+from creditgrade.llm.common import pieces, released, stored, utf8
 
 BITS = 64
 SEED = 42
 SHARD_ROWS = 4096
 _CHUNK = 1 << 16
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 1 << 20
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -75,7 +75,8 @@ def fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(key), fp], [key, "fp"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, utf8(text).alias("_text")).mapInArrow(scan, f"`{key}` {kind}, fp long")
+    texts = docs.select(key, utf8(text).alias("_text"))
+    return texts.mapInArrow(lambda batches: released(scan(batches)), f"`{key}` {kind}, fp long")
 
 
 class BKTree:
@@ -167,7 +168,7 @@ def _links_in_shards(shards: DataFrame, radius: int, every: bool) -> DataFrame:
         yield _pairs(out + links(members))
 
     ordered = shards.repartition("shard").sortWithinPartitions("shard")
-    return ordered.mapInArrow(search, "fp long, other long")
+    return ordered.mapInArrow(lambda batches: released(search(batches)), "fp long, other long")
 
 
 def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
