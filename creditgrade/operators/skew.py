@@ -139,14 +139,20 @@ def with_cells(df: DataFrame, key: str, parts: DataFrame, number: int) -> DataFr
     """
     names = [name for name in parts.columns if name != key]
     columns = [f"`{name}`" for name in df.columns]
-    below = " * ".join(["1L", *names[:number]])
-    others = " * ".join(["1L", *(name for name in names if name != f"p{number}")])
     listed = parts.withColumnRenamed(key, "_crowded")
     placed = df.join(listed, F.col(key).eqNullSafe(F.col("_crowded")), "left").selectExpr(
         *columns,
         *(f"IF({key} IS NULL, 1L, coalesce({name}, 1L)) AS {name}" for name in names),
         f"coalesce(pmod(xxhash64(spark_partition_id(), {', '.join(columns)}), nullif(p{number}, 0)), 0L) AS _own",
     )
+    return _in_cells(placed, df.columns, names, number)
+
+
+def _in_cells(placed: DataFrame, kept: Sequence[str], names: Sequence[str], number: int) -> DataFrame:
+    """A row for each cell of the rows, which have the numbers of parts and their own part."""
+    columns = [f"`{name}`" for name in kept]
+    below = " * ".join(["1L", *names[:number]])
+    others = " * ".join(["1L", *(name for name in names if name != f"p{number}")])
     placed = placed.selectExpr("*", f"{below} AS _below", f"IF(p{number} = 0, 0L, {others}) AS _others")
     cell = f"_at % _below + _own * _below + _at DIV _below * _below * p{number}"
     return numbered(placed, "_others", "_at").selectExpr(
@@ -174,19 +180,23 @@ def star_join(
     if parts is None:
         joined = reduce(lambda left, arm: left.join(arm, key, how), tables)
     else:
-        cells = [with_cells(table, key, parts, n) for n, table in enumerate(tables)]
-        joined = reduce(lambda left, arm: left.join(arm, [key, CELL], how), cells)
-    if parts is not None and how == "left":
-        # A center row meets the parts of an arm in several cells. Where a part got no rows,
-        # it is left without a partner there; it has one in another cell.
-        for n in range(1, len(tables)):
-            joined = joined.filter(f"_times{n} IS NOT NULL OR p{n} = 1")
+        joined = _join_cells([with_cells(table, key, parts, n) for n, table in enumerate(tables)], key, how)
     columns = [f"`{name}`" for table in (center, *arms) for name in table.columns
                if name not in (key, TIMES)]
     product = " * ".join(f"coalesce(_times{n}, 1L)" for n in range(len(tables)))
     return joined.selectExpr(key, *columns, f"{product} AS {TIMES}")
 
 
+def _join_cells(cells: Sequence[DataFrame], key: str, how: str) -> DataFrame:
+    joined = reduce(lambda left, arm: left.join(arm, [key, CELL], how), cells)
+    if how == "left":
+        # A center row meets the parts of an arm in several cells. Where a part got no rows,
+        # it is left without a partner there; it has one in another cell.
+        for n in range(1, len(cells)):
+            joined = joined.filter(f"_times{n} IS NOT NULL OR p{n} = 1")
+    return joined
+
+
 def counted_join(
     center: DataFrame,
     arms: Sequence[DataFrame],
@@ -201,9 +211,12 @@ def counted_join(
     a task should make.
 
     Row counts without regard to copies tell that nothing is crowded. Where something is,
-    the tables are merged and stored, and what is still crowded then is dealt over a grid.
+    the tables are merged and stored, and what is still crowded then is dealt over a grid. Where
+    statistics say that a task can hold all rows of any key, that is done by ``dealt_join``.
     """
     tables = [center, *arms]
+    if dealt_at_once(key, len(tables), rows_per_task, statistics):
+        return dealt_join(center, arms, key, how, rows_per_task), True
     parts = crowded_keys(tables, key, rows_per_task, how, statistics)
     crowded = parts is not None
     if crowded:
@@ -212,6 +225,99 @@ def counted_join(
     return star_join(tables[0], tables[1:], key, parts, how), crowded
 
 
+def _with_pieces(counted: DataFrame, tables: int, rows_per_task: int) -> DataFrame:
+    """Add ``q0``, ``q1``, ...: the rows of each table that make ``rows_per_task`` together at most.
+
+    Cells repeat the fewest rows where pieces are of one size. A table that has fewer rows leaves
+    its room to the others, and so does what is lost by rounding down: tables are taken by their
+    number of rows ``n0``, ``n1``, ..., and each gets its root of the room that is left.
+    """
+    columns, places = counted.columns, range(tables)
+    sizes = ", ".join(f"struct(greatest(n{n}, 1L) AS n, {n} AS i)" for n in places)
+    df = counted.selectExpr("*", f"sort_array(array({sizes})) AS _sizes", f"bigint({rows_per_task}) AS _room0")
+    for place in places:
+        root = f"greatest(1L, bigint(floor(pow(_room{place}, 1D / {tables - place}) + 1e-9)))"
+        df = df.selectExpr("*", f"least(_sizes[{place}].n, {root}) AS _piece{place}")
+        df = df.selectExpr("*", f"_room{place} DIV _piece{place} AS _room{place + 1}")
+    found = [" ".join(f"WHEN _sizes[{place}].i = {n} THEN _piece{place}" for place in places) for n in places]
+    return df.selectExpr(*columns, *(f"CASE {cases} END AS q{n}" for n, cases in enumerate(found)))
+
+
+def dealt_at_once(key: str, tables: int, rows_per_task: int, statistics: KeyStatistics | None) -> bool:
+    """Whether keys may be crowded, but a task can hold all rows of any one key."""
+    if statistics is None or statistics.never_above(key, tables, rows_per_task):
+        return False
+    return statistics.never_above(key, 1, ROWS_PER_TASK)
+
+
+def dealt_join(
+    center: DataFrame,
+    arms: Sequence[DataFrame],
+    key: str,
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``star_join`` of tables of which a task can hold all rows of any one key.
+
+    Each table is dealt by the key once. There its copies are merged, its keys counted, and the
+    rows of keys that are not crowded joined; only rows of crowded keys are moved again, to the
+    cells of their grid. Nothing is written on the way.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported join type: {how!r}")
+    sources = [center, *arms]
+    numbers = range(len(sources))
+    # Other names, so that plans of one table read twice stay alike and share their shuffle.
+    names = [{c: f"_{n}_{c}" for c in table.columns if c not in (key, TIMES)} for n, table in enumerate(sources)]
+    nullable = center.schema[key].nullable
+    tables = []
+    for n, table in enumerate(sources):
+        there = table.filter(f"{key} IS NOT NULL") if table.schema[key].nullable else table
+        times = [F.col(TIMES).alias(f"_times{n}")] if TIMES in table.columns else []
+        own = there.select(F.col(key).alias("_key"), *(F.col(c).alias(name) for c, name in names[n].items()), *times)
+        tables.append(merged(own.repartition("_key"), f"_times{n}"))
+    # The counts read all columns of the rows, so that both come from one shuffle.
+    counts = [
+        table.groupBy("_key").agg(F.expr(f"count_if(_times{n} > 0) AS n{n}")) for n, table in enumerate(tables)
+    ]
+    every = reduce(lambda left, arm: left.join(arm, "_key", how), counts).selectExpr(
+        "_key", *(f"coalesce(n{n}, 0L) AS n{n}" for n in numbers)
+    )
+    made = " * ".join(f"greatest(double(n{n}), 1)" for n in numbers)
+    parts = _with_pieces(every.filter(f"{made} > {rows_per_task}"), len(numbers), rows_per_task)
+    parts = parts.selectExpr("_key", *(f"greatest(1L, bigint(ceil(n{n} / q{n}))) AS p{n}" for n in numbers))
+    cells = [
+        _in_cells(
+            table.join(parts, "_key").selectExpr(
+                "*", f"pmod(xxhash64({', '.join(f'`{name}`' for name in table.columns)}), p{n}) AS _own"
+            ),
+            table.columns, parts.columns[1:], n,
+        )
+        for n, table in enumerate(tables)
+    ]
+    few = reduce(
+        lambda left, arm: left.join(arm, "_key", how), [tables[0].join(parts, "_key", "left_anti"), *tables[1:]]
+    )
+    product = " * ".join(f"coalesce(_times{n}, 1L)" for n in numbers)
+    found, crowded = (
+        joined.select(
+            F.col("_key").alias(key),
+            *(F.col(name).alias(c) for own in names for c, name in own.items()),
+            F.expr(product).alias(TIMES),
+        )
+        for joined in (few, _join_cells(cells, "_key", how))
+    )
+    found = found.union(crowded)
+    if how == "left" and nullable:
+        # A null key meets nothing.
+        alone = merged(center.filter(f"{key} IS NULL"))
+        found = found.union(alone.select(
+            *(F.col(name) if name in alone.columns else F.lit(None).cast(found.schema[name].dataType).alias(name)
+              for name in found.columns)
+        ))
+    return found
+
+
 def crowds(
     center: DataFrame,
     key: str,

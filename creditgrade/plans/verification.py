@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditgrade.functions.identity import packed_key, unpacked_key
 from creditgrade.operators import skew
 from creditgrade.operators.statistics import KeyStatistics
 from creditgrade.schema import (
@@ -57,6 +58,28 @@ def _joined(
     paid_loans, crowded = skew.counted_join(
         owned_loans, [paid], "loan_id", "left", rows_per_task, statistics
     )
+    # A member's loans with their repayments are the most rows that a task would hold of it.
+    if (
+        skew.dealt_at_once("member_id", 4, rows_per_task, statistics)
+        and statistics.never_above("loan_id", 1, skew.ROWS_PER_TASK // max(1, statistics.most["member_id"]))
+    ):
+        tables = [
+            customers.select(*VERIFICATION_CUSTOMER_COLUMNS),
+            paid_loans,
+            delinquency.select("member_id", *VERIFICATION_DELINQUENCY_COLUMNS),
+            records.select("member_id", *VERIFICATION_RECORD_COLUMNS),
+        ]
+        # Null keys become bytes that no key is packed to, other ones in the customers than in the
+        # rest: they meet nothing, and no filter of theirs makes the customers' rows be read anew.
+        packed = [
+            table.withColumn("member_id", F.coalesce(packed_key("member_id"), F.lit(b"" if n == 0 else b"\x02")))
+            for n, table in enumerate(tables)
+        ]
+        joined = skew.dealt_join(packed[0], packed[1:], "member_id", "left", rows_per_task)
+        joined = joined.withColumn(
+            "member_id", F.when(F.octet_length("member_id") > 0, unpacked_key("member_id"))
+        )
+        return joined.selectExpr(*_COLUMNS, skew.TIMES), True
     # What repayments add to a member's loans has been looked at above, by loan id.
     owned = [table.select("member_id") for table in (customers, loans, delinquency, records)]
     parts = skew.crowded_keys(owned, "member_id", rows_per_task, "left", statistics)

@@ -7,6 +7,7 @@ from conftest import random_applications, rows_of
 from pyspark.sql import functions as F
 
 from creditgrade.operators import duplicates, skew
+from creditgrade.operators.statistics import KeyStatistics
 from creditgrade.plans import direct, scoring
 from creditgrade.plans.batch import CuratedTables, curate
 from creditgrade.scorecard import Scorecard
@@ -94,6 +95,22 @@ def test_verification(curated):
         assert counted == expected.count()
 
 
+def test_verification_dealt_by_member(curated):
+    """With statistics no table is merged and written; members without a key meet nothing."""
+    few = replace(curated, rows_per_task=4, statistics=KeyStatistics(31, {"member_id": 90, "loan_id": 400}))
+    customers = curated.customers
+    without_key = customers.withColumn("member_id", F.lit(None).cast("string"))
+    records = curated.records.withColumn("member_id", F.lit(None).cast("string"))
+    few = replace(few, customers=customers.union(without_key), records=curated.records.union(records))
+    expected = plain_verification(few)
+    built = few.verification()
+    assert built.columns == curated.verification().columns
+    assert rows_of(built.select(*expected.columns)) == rows_of(expected)
+    counted = few.verification_counted()
+    assert counted.count() == counted.drop(skew.TIMES).distinct().count()
+    assert counted.agg(F.sum(skew.TIMES)).first()[0] == expected.count()
+
+
 def test_fixture_has_crowded_keys(curated):
     loans = skew.crowded_keys([curated.loans, curated.repayments], "loan_id", 2)
     members = skew.crowds(curated.records, "member_id", 2)

@@ -5,8 +5,10 @@ import random
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
+from test_volume import shuffled_rows
 
 from creditgrade.operators import skew
+from creditgrade.operators.statistics import KeyStatistics
 
 
 def table(spark, seed, n, column, keys=12, hot_share=0.5, repartition=5):
@@ -125,3 +127,40 @@ def test_unknown_join_type(spark):
         skew.star_join(df, [], "key", None, "outer")
     with pytest.raises(ValueError):
         skew.join_few(df, df, "key", None, "right")
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 4, 50])
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot", [(0.6, 0.0, 0.0), (0.0, 0.1, 0.6), (0.4, 0.4, 0.2)])
+def test_dealt_join(spark, how, hot, rows_per_task, monkeypatch):
+    """Tables are dealt by the key and joined without a table being written on the way."""
+    monkeypatch.setattr(skew, "write_shared", None)
+    center = table(spark, 1, 60, "a", hot_share=hot[0])
+    arms = [
+        table(spark, 2, 50, "b", keys=9, hot_share=hot[1]),
+        skew.merged(table(spark, 3, 40, "c", keys=15, hot_share=hot[2])),
+    ]
+    plain = skew.repeat_rows(center.join(arms[0], "key", how).join(arms[1], "key", how)
+                             .withColumn(skew.TIMES, F.coalesce(skew.TIMES, F.lit(1))))
+    joined, spread = skew.counted_join(center, arms, "key", how, rows_per_task, KeyStatistics(31, {"key": 60}))
+    assert spread and joined.columns == ["key", "a", "b", "c", skew.TIMES]
+    assert rows_of(skew.merged(joined)) == rows_of(skew.merged(plain))
+
+
+def test_tables_are_dealt_by_their_key_once(spark):
+    """Only rows of crowded keys are moved again."""
+    left = spark.range(900).selectExpr("id DIV 3 AS key", "id AS a")
+    right = spark.range(1200).selectExpr("id DIV IF(id < 800, 4, 10) AS key", "id AS b")
+    joined, _ = skew.counted_join(left, [right], "key", "inner", 12, KeyStatistics(31, {"key": 14}))
+    assert rows_of(joined.drop(skew.TIMES)) == rows_of(left.join(right, "key"))
+    # 40 keys of 3 and 14 rows are moved to four cells, in pieces of 3 and 4 rows.
+    assert sum(shuffled_rows(spark, joined)) <= 900 + 1200 + 40 * (2 + 3 * 4 + 14)
+
+
+@pytest.mark.parametrize("counts, room, pieces", [
+    ((1, 3, 3, 3), 4, [1, 1, 2, 2]), ((3, 3, 3, 1), 4, [1, 2, 2, 1]), ((5, 1, 0, 1), 4, [4, 1, 1, 1]),
+    ((2, 2), 4, [2, 2]), ((20, 9), 100, [11, 9]), ((1000, 1000, 1000), 1000, [10, 10, 10]), ((7, 7), 1, [1, 1]),
+])
+def test_pieces_fill_their_room(spark, counts, room, pieces):
+    row = spark.createDataFrame([counts], ", ".join(f"n{n} long" for n in range(len(counts))))
+    assert list(skew._with_pieces(row, len(counts), room).first())[len(counts) :] == pieces
